@@ -14,9 +14,21 @@ from svcvitals.functions.columns import environment, json_scalar
 EVENT_COLUMNS = ["publish_time", "status", "service_name", "environment", "is_rollback", "event_category"]
 
 
-def _parse(col: str, schema) -> Column:
-    # One JSON parse per row; every leaf is a string, like a JSON scalar extraction.
-    return F.from_json(F.col(col), schema)
+def _with_payload(df: DataFrame, col: str, schema, keep: list[str]) -> DataFrame:
+    """Parse the JSON payload once per row and expose its fields as columns.
+
+    The parse sits in a generator (``inline`` of the one-element array), so its output
+    fields are plain attributes: predicates and projections above read them instead of
+    re-running the parse (a projected ``from_json`` would be inlined into every
+    predicate by filter pushdown and evaluated once per reference).
+    """
+    return df.select(*keep, F.inline_outer(F.array(F.from_json(F.col(col), schema))))
+
+
+def _with_fields(df: DataFrame, col: str, fields: list[str], keep: list[str]) -> DataFrame:
+    """Top-level JSON fields as strings, one streaming parse per row (``json_tuple``).
+    Objects/arrays come back as their JSON text; missing keys and JSON null as NULL."""
+    return df.select(*keep, F.json_tuple(F.col(col), *fields)).toDF(*keep, *fields)
 
 
 # --------------------------------------------------------------------------- E2
@@ -28,12 +40,12 @@ def build_events(builds_raw: DataFrame) -> DataFrame:
     missing, ``cloud-deploy-*`` or ``trigger-*``. Service = first tag with ``::``
     replaced by ``--``.
     """
-    j = _parse("data", S.BUILD_PAYLOAD)
-    b = builds_raw.select(
+    j = _with_payload(builds_raw, "data", S.BUILD_PAYLOAD, ["publish_time"])
+    b = j.select(
         "publish_time",
-        json_scalar(j["status"]).alias("status"),
-        json_scalar(j["tags"].getItem(0)).alias("_tag0"),
-        json_scalar(j["buildTriggerId"]).alias("_trigger"))
+        json_scalar("status").alias("status"),
+        json_scalar(F.col("tags").getItem(0)).alias("_tag0"),
+        json_scalar("buildTriggerId").alias("_trigger"))
     tag = F.coalesce(F.col("_tag0"), F.lit(""))
     keep = (~F.coalesce(F.col("_trigger"), F.lit("")).startswith(C.BUILD_EXCLUDED_TRIGGER_PREFIX)
             & (tag != ""))
@@ -57,13 +69,13 @@ def deploy_events(deploys_raw: DataFrame) -> DataFrame:
     Output keeps ``target_id`` for :func:`expand_targets`. Only the exact action
     ``Succeed`` is renamed ``SUCCEEDED``; other actions are upper-cased.
     """
-    j = _parse("attributes", S.DEPLOY_PAYLOAD)
-    d = deploys_raw.select(
+    j = _with_fields(deploys_raw, "attributes", [f.name for f in S.DEPLOY_PAYLOAD.fields], ["publish_time"])
+    d = j.select(
         "publish_time",
-        json_scalar(j["Action"]).alias("_action"),
-        json_scalar(j["TargetId"]).alias("target_id"),
-        json_scalar(j["ResourceType"]).alias("_rtype"),
-        json_scalar(j["RollbackOfRollout"]).alias("_rollback_of"))
+        json_scalar("Action").alias("_action"),
+        json_scalar("TargetId").alias("target_id"),
+        json_scalar("ResourceType").alias("_rtype"),
+        json_scalar("RollbackOfRollout").alias("_rollback_of"))
     action_u = F.upper(F.col("_action"))
     rollback = F.col("_rollback_of").isNotNull()
     return (d.filter((F.col("_rtype") == C.DEPLOY_RESOURCE_TYPE) & action_u.isin(C.DEPLOY_ACTIONS_KEPT))

@@ -57,7 +57,21 @@ LEGACY_ARCHETYPES = {"apigee--proxy-autopush": "async", "cloudrun--batch-dev": "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one test table, spread over the cluster when it scans as too few tasks."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A file written as one row group scans as one task. When a scan yields fewer
+    tasks than the cluster's default parallelism, spread its rows round-robin so the
+    per-row work after it uses every core. Tables made of many files / row groups
+    already scan in parallel and are returned unchanged (no extra shuffle)."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the scan as it is
+        return df
+    return df.repartition(want) if n < want else df
 
 
 def _pick(values: list, idx: Column, cast: str = "string") -> Column:
