@@ -120,23 +120,33 @@ def response_class_rollup(keyed_counts: DataFrame) -> DataFrame:
     """Service-keyed class counts (M3 + M4 rows) -> per (day, service) totals.
 
     A missing class counts as 2xx; a class starting with 5 / 4 counts as 5xx / 4xx.
-    Grouped on exactly (day, service_name); prefix/label ride along (they are
-    determined by the key), so the output stays hash-partitioned on the join key.
+    Grouped on exactly (day, service_name); prefix/label are determined by the key.
     """
     return (keyed_counts.groupBy("day", "service_name")
-            .agg(F.first("prefix").alias("prefix"), F.first("label").alias("label"),
+            .agg(F.max("prefix").alias("prefix"), F.max("label").alias("label"),
                  *_class_sums(F.col("response_code_class"), F.col("request_count")),
                  F.max("project_id").alias("project_id")))
 
 
 def daily_service_counts(points: DataFrame, sources: DataFrame) -> DataFrame:
-    """M3 + M4 + M5 fused into one aggregation (sums are decomposable): one shuffle."""
+    """M3 + M4 + M5 in two aggregation levels.
+
+    Level 1 runs over the raw points with only numeric buffers (string columns are
+    grouping keys), so it is a hash aggregate with map-side partial aggregation: a hot
+    service costs one row per map task. Level 2 reduces the few (day, service, project)
+    rows to one row per (day, service_name), the key the latency side is also grouped
+    on, so the merge join reuses the partitioning.
+    """
     p = service_key(with_day(attach_sources(points, sources).filter(F.col("kind") == COUNTS)))
     cls = F.try_element_at(F.col("metric_labels"), F.lit("response_code_class"))
-    return (p.groupBy("day", "service_name")
-            .agg(F.first("prefix").alias("prefix"), F.first("label").alias("label"),
-                 *_class_sums(cls, F.col("int64_value")),
-                 F.max(_project_label()).alias("project_id")))
+    level1 = (p.withColumn("_project", _project_label())
+              .groupBy("day", "service_name", "prefix", "label", "_project")
+              .agg(*_class_sums(cls, F.col("int64_value"))))
+    return (level1.groupBy("day", "service_name")
+            .agg(F.max("prefix").alias("prefix"), F.max("label").alias("label"),
+                 *[F.sum(c).cast("long").alias(c)
+                   for c in ("total_requests", "error_5xx_requests", "error_4xx_requests")],
+                 F.max("_project").alias("project_id")))
 
 
 # --------------------------------------------------------------------------- M6
@@ -173,14 +183,13 @@ def daily_latency_percentiles(points: DataFrame, sources: DataFrame,
     p = service_key(with_day(attach_sources(points, sources).filter(F.col("kind") == LATENCY)))
     per_series = (p.select("day", "service_name", "prefix", "label", "latency_scale",
                            "double_value", *_series_key_cols())
-                  .groupBy("day", "service_name", "metric_type", "_rl", "_ml")
-                  .agg(F.first("prefix").alias("prefix"), F.first("label").alias("label"),
-                       F.first("latency_scale").alias("latency_scale"),
+                  .groupBy("day", "service_name", "prefix", "label", "metric_type", "_rl", "_ml")
+                  .agg(F.max("latency_scale").alias("latency_scale"),
                        *[_pct("double_value", q, method, accuracy).alias(f"_s_{name}")
                          for name, q in percentiles.items()]))
     return (per_series.groupBy("day", "service_name")
-            .agg(F.first("prefix").alias("prefix"), F.first("label").alias("label"),
-                 *[(_pct(f"_s_{name}", q, method, accuracy) * F.first("latency_scale")).alias(name)
+            .agg(F.max("prefix").alias("prefix"), F.max("label").alias("label"),
+                 *[(_pct(f"_s_{name}", q, method, accuracy) * F.max("latency_scale")).alias(name)
                    for name, q in percentiles.items()]))
 
 
