@@ -30,7 +30,8 @@ def read_survey(spark: SparkSession, path: str, skip_leading_rows: int = C.SURVE
     firsts = lines.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_first"))
     body = (lines.join(firsts, "_file", "left")
             .filter(~((F.col("_block") == 0) & (F.col("_id") < F.col("_first") + F.lit(skip_leading_rows)))))
-    return body.select(F.from_csv(F.col("value"), _DDL).alias("r")).select("r.*")
+    # RFC 4180 quoting (as sheet exports write it): a quote inside a quoted field is doubled.
+    return body.select(F.from_csv(F.col("value"), _DDL, {"escape": '"'}).alias("r")).select("r.*")
 
 
 def _csv_field(c: Column) -> Column:
