@@ -30,13 +30,32 @@ def metric_sources(spark: SparkSession, sources=None) -> DataFrame:
         rows, "metric_type string, kind string, prefix string, service_label string, latency_scale double")
 
 
-def attach_sources(points: DataFrame, sources: DataFrame) -> DataFrame:
-    """Keep points of registered metric types and attach source attributes.
-
-    ``sources`` is configuration (two rows per source), so broadcasting it is bounded
-    by the configuration, not by the data.
+def _registry(spark: SparkSession, sources) -> tuple[DataFrame, dict[str, list[str]] | None]:
+    """``sources`` is a registry DataFrame, or a config list (None = the default list).
+    From a config list the metric types are also known as literals."""
+    if isinstance(sources, DataFrame):
+        return sources, None
+    cfg = sources or C.METRIC_SOURCES
+    types = {COUNTS: [s[1] for s in cfg], LATENCY: [s[2] for s in cfg]}
+    return metric_sources(spark, cfg), types
+
+
+def attach_sources(points: DataFrame, sources=None, kind: str | None = None) -> DataFrame:
+    """Keep points of registered metric types (of one ``kind`` if given) and attach
+    source attributes.
+
+    The registry is configuration (two rows per source), so broadcasting it is bounded
+    by the configuration, not by the data. When the metric types are known literals,
+    they are also applied as an IN filter that reaches the points scan (row groups of
+    other metric types are skipped).
     """
-    return (points.join(F.broadcast(sources), "metric_type", "inner")
+    reg, types = _registry(points.sparkSession, sources)
+    if kind is not None:
+        reg = reg.filter(F.col("kind") == kind)
+    if types is not None:
+        wanted = types[kind] if kind is not None else types[COUNTS] + types[LATENCY]
+        points = points.filter(F.col("metric_type").isin(wanted))
+    return (points.join(F.broadcast(reg), "metric_type", "inner")
             .withColumn("label", F.try_element_at(F.col("resource_labels"), F.col("service_label"))))
 
 
@@ -90,13 +109,13 @@ def _project_label() -> Column:
     return F.when(p != "", p)
 
 
-def daily_request_counts(points: DataFrame, sources: DataFrame) -> DataFrame:
+def daily_request_counts(points: DataFrame, sources=None) -> DataFrame:
     """Per UTC day, source, service label and response-code class: summed request deltas.
 
     Output: day, prefix, label, response_code_class, request_count, project_id (the
     greatest non-empty ``project_id`` resource label seen in the group).
     """
-    p = with_day(attach_sources(points, sources).filter(F.col("kind") == COUNTS))
+    p = with_day(attach_sources(points, sources, COUNTS))
     return (p.withColumn("response_code_class",
                          F.try_element_at(F.col("metric_labels"), F.lit("response_code_class")))
             .groupBy("day", "prefix", "label", "response_code_class")
@@ -128,7 +147,7 @@ def response_class_rollup(keyed_counts: DataFrame) -> DataFrame:
                  F.max("project_id").alias("project_id")))
 
 
-def daily_service_counts(points: DataFrame, sources: DataFrame) -> DataFrame:
+def daily_service_counts(points: DataFrame, sources=None) -> DataFrame:
     """M3 + M4 + M5 in two aggregation levels.
 
     Level 1 runs over the raw points with only numeric buffers (string columns are
@@ -137,7 +156,7 @@ def daily_service_counts(points: DataFrame, sources: DataFrame) -> DataFrame:
     rows to one row per (day, service_name), the key the latency side is also grouped
     on, so the merge join reuses the partitioning.
     """
-    p = service_key(with_day(attach_sources(points, sources).filter(F.col("kind") == COUNTS)))
+    p = service_key(with_day(attach_sources(points, sources, COUNTS)))
     cls = F.try_element_at(F.col("metric_labels"), F.lit("response_code_class"))
     level1 = (p.withColumn("_project", _project_label())
               .groupBy("day", "service_name", "prefix", "label", "_project")
@@ -166,7 +185,7 @@ def _pct(col: str, p, method: str, accuracy: int) -> Column:
     raise ValueError(f"unknown percentile method {method!r}")
 
 
-def daily_latency_percentiles(points: DataFrame, sources: DataFrame,
+def daily_latency_percentiles(points: DataFrame, sources=None,
                               percentiles: dict[str, float] | None = None,
                               method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Daily latency percentiles per service: align (percentile per series and day),
@@ -180,7 +199,7 @@ def daily_latency_percentiles(points: DataFrame, sources: DataFrame,
     ``percentile_approx`` whose per-group sketch has a fixed size, for very hot series.
     """
     percentiles = percentiles or {"latency_p50": 0.5, "latency_p95": 0.95}
-    p = service_key(with_day(attach_sources(points, sources).filter(F.col("kind") == LATENCY)))
+    p = service_key(with_day(attach_sources(points, sources, LATENCY)))
     per_series = (p.select("day", "service_name", "prefix", "label", "latency_scale",
                            "double_value", *_series_key_cols())
                   .groupBy("day", "service_name", "prefix", "label", "metric_type", "_rl", "_ml")
@@ -193,7 +212,7 @@ def daily_latency_percentiles(points: DataFrame, sources: DataFrame,
                    for name, q in percentiles.items()]))
 
 
-def daily_latency_percentile(points: DataFrame, sources: DataFrame, p: float,
+def daily_latency_percentile(points: DataFrame, sources, p: float,
                              name: str | None = None, method: str = "exact") -> DataFrame:
     """Single-percentile form of :func:`daily_latency_percentiles`."""
     name = name or f"latency_p{int(round(p * 100))}"
@@ -281,13 +300,13 @@ def raw_metrics_rows(df: DataFrame, ingested_at, archetype: str = C.DEFAULT_ARCH
 
 
 # --------------------------------------------------------------------------- M11 / M12
-def _daily_rollup(points: DataFrame, sources: DataFrame, mode: str, method: str) -> DataFrame:
+def _daily_rollup(points: DataFrame, sources, mode: str, method: str) -> DataFrame:
     counts = daily_service_counts(points, sources)
     lat = daily_latency_percentiles(points, sources, method=method)
     return project_attribution(merge_counts_latency(counts, lat), mode)
 
 
-def ingest_day(points: DataFrame, sources: DataFrame, as_of, ingested_at=None,
+def ingest_day(points: DataFrame, sources, as_of, ingested_at=None,
                method: str = "exact") -> DataFrame:
     """The daily job: yesterday (relative to ``as_of``) rolled up into raw_metrics rows."""
     day = (F.date_sub(as_of, 1) if isinstance(as_of, Column) else _as_date(as_of) - dt.timedelta(days=1))
@@ -296,7 +315,7 @@ def ingest_day(points: DataFrame, sources: DataFrame, as_of, ingested_at=None,
     return raw_metrics_rows(_daily_rollup(sliced, sources, "label", method), ingested_at)
 
 
-def backfill(points: DataFrame, sources: DataFrame, as_of, start_days_ago: int = 1,
+def backfill(points: DataFrame, sources, as_of, start_days_ago: int = 1,
              end_days_ago: int = 51, ingested_at=None, method: str = "exact") -> DataFrame:
     """Every day from ``as_of - end_days_ago`` to ``as_of - start_days_ago`` inclusive,
     in one job (one scan, grouped by day), with host project attribution and the stored

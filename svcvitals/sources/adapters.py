@@ -200,8 +200,10 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-def sources(spark: SparkSession) -> DataFrame:
-    return M.metric_sources(spark)
+def sources(spark: SparkSession):
+    """The metric-source registry as configuration (operators build the broadcast
+    registry from it and push the metric types into the points scan)."""
+    return C.METRIC_SOURCES
 
 
 def backfilled_raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact") -> DataFrame:
