@@ -6,6 +6,7 @@ the oracle SQL in :mod:`svcvitals.plans.oracle`.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,8 +48,8 @@ def q_metric_sources_join(spark, sf):
 
 def q_day_slice(spark, sf):
     p, _ = _pts(spark, sf)
-    first = A.METRICS_AS_OF - __import__("datetime").timedelta(days=A.BACKFILL_END_DAYS_AGO)
-    last = A.METRICS_AS_OF - __import__("datetime").timedelta(days=A.BACKFILL_START_DAYS_AGO)
+    first = A.METRICS_AS_OF - dt.timedelta(days=A.BACKFILL_END_DAYS_AGO)
+    last = A.METRICS_AS_OF - dt.timedelta(days=A.BACKFILL_START_DAYS_AGO)
     return M.day_slice(p, first, last).select("metric_type", "ts", "day", "int64_value", "double_value")
 
 
@@ -109,16 +110,20 @@ def q_backfill_range(spark, sf):
 
 # --------------------------------------------------------------------------- events
 def q_stream_events(spark, sf):
-    """Stream both envelope feeds (landed as JSON files) into their raw tables with
-    ``availableNow``, then read the tables back."""
+    """Stream both envelope feeds (landed as Parquet files) into their raw tables with
+    ``availableNow`` (both streams run concurrently), then read the tables back."""
     configure(spark)
-    out = []
-    for name, df in (("cloud_builds_raw", A.cloud_builds_raw(spark, sf)),
-                     ("cloud_deploy_raw", A.cloud_deploy_raw(spark, sf))):
+    feeds = (("cloud_builds_raw", A.cloud_builds_raw(spark, sf)), ("cloud_deploy_raw", A.cloud_deploy_raw(spark, sf)))
+    running, sinks = [], []
+    for name, df in feeds:
         landing, sink, ckpt = (shared_dir(spark, f"{name}-{x}") for x in ("landing", "sink", "ckpt"))
-        df.write.mode("overwrite").json(landing)
-        _stream_events(spark, landing, sink, ckpt).awaitTermination()
-        out.append(spark.read.schema(df.schema).parquet(sink).withColumn("table_name", F.lit(name)))
+        df.write.mode("overwrite").parquet(landing)
+        running.append(_stream_events(spark, landing, sink, ckpt, fmt="parquet"))
+        sinks.append((name, sink, df.schema))
+    for q in running:
+        q.awaitTermination()
+    out = [spark.read.schema(schema).parquet(sink).withColumn("table_name", F.lit(name))
+           for name, sink, schema in sinks]
     return out[0].unionByName(out[1])
 
 
@@ -180,10 +185,10 @@ def q_observability_scores(spark, sf):
 
 
 # --------------------------------------------------------------------------- scores
-def _stack(spark, sf, fanout=True, materialized=True) -> HealthStack:
+def _stack(spark, sf, fanout=True, materialized=True, backfilled=None) -> HealthStack:
     configure(spark)
-    rm = A.raw_metrics(spark, sf)
-    if materialized:
+    rm = A.raw_metrics(spark, sf, backfilled=backfilled)
+    if materialized and backfilled is None:
         rm = materialize(rm)
     return HealthStack(rm, A.cloud_builds_raw(spark, sf), A.cloud_deploy_raw(spark, sf),
                        A.survey(spark, sf), as_of=A.AS_OF, epoch=A.EPOCH, fanout=fanout)
@@ -259,9 +264,10 @@ def q_legacy_final_score(spark, sf):
 # --------------------------------------------------------------------------- views
 def q_registered_views(spark, sf):
     """Publish the whole view stack, then count rows of every published view."""
-    st = _stack(spark, sf)
-    lm = materialize(A.legacy_metrics(spark, sf))
-    names = register_views(spark, st, lm)
+    configure(spark)
+    backfilled = materialize(A.backfilled_raw_metrics(spark, sf))  # shared by both inputs
+    st = _stack(spark, sf, backfilled=backfilled)
+    names = register_views(spark, st, A.legacy_metrics(spark, sf, backfilled=backfilled))
     parts = [spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(n).alias("view_name"), "row_count") for n in names]
     out = parts[0]

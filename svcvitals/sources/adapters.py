@@ -211,9 +211,9 @@ def backfilled_raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exac
                       BACKFILL_START_DAYS_AGO, BACKFILL_END_DAYS_AGO, INGESTED_AT, method=method)
 
 
-def raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact") -> DataFrame:
+def raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact", backfilled: DataFrame | None = None) -> DataFrame:
     """Backfilled raw_metrics with archetypes overridden for score tests."""
-    rm = backfilled_raw_metrics(spark, sf_dir, method)
+    rm = backfilled_raw_metrics(spark, sf_dir, method) if backfilled is None else backfilled
     svc = F.col("service_name")
     odd = (F.dayofmonth(F.col("target_date").cast("date")) % 2) == 1
     arch = F.when((svc == ODD_DAY_ARCHETYPE[0]) & odd, F.lit(ODD_DAY_ARCHETYPE[1]))
@@ -222,8 +222,10 @@ def raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact") -> Data
     return rm.withColumn("archetype", arch.otherwise(F.lit(C.DEFAULT_ARCHETYPE)))
 
 
-def legacy_metrics(spark: SparkSession, sf_dir: str, method: str = "exact") -> DataFrame:
-    rm = backfilled_raw_metrics(spark, sf_dir, method)
+def legacy_metrics(spark: SparkSession, sf_dir: str, method: str = "exact",
+                   backfilled: DataFrame | None = None) -> DataFrame:
+    """Legacy-query input: backfilled rows + error-log counts per service and day."""
+    rm = backfilled_raw_metrics(spark, sf_dir, method) if backfilled is None else backfilled
     logs = L.error_log_counts(L.route_logs(log_entries(spark, sf_dir)))
     j = rm.join(logs, ["target_date", "service_name"], "left")
     dom = F.dayofmonth(F.col("target_date").cast("date"))
