@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from svcvitals import config as C
 from svcvitals.functions.columns import py_round
+from svcvitals.operators.quantiles import choose_method, exact_percentiles
 
 COUNTS, LATENCY = "counts", "latency"
 
@@ -178,38 +179,67 @@ def _series_key_cols() -> list[Column]:
 
 
 def _pct(col: str, p, method: str, accuracy: int) -> Column:
-    if method == "exact":
+    if method in ("exact", "builtin"):
         return F.percentile(col, p)
     if method == "approx":
         return F.percentile_approx(col, p, accuracy)
     raise ValueError(f"unknown percentile method {method!r}")
 
 
+SERIES_KEYS = ["day", "service_name", "prefix", "label", "metric_type", "_rl", "_ml"]
+
+
 def daily_latency_percentiles(points: DataFrame, sources=None,
                               percentiles: dict[str, float] | None = None,
-                              method: str = "exact", accuracy: int = 10000) -> DataFrame:
+                              method: str = "exact", accuracy: int = 10000,
+                              max_distinct: int = 100_000) -> DataFrame:
     """Daily latency percentiles per service: align (percentile per series and day),
     then reduce (same percentile across the service's series), then scale to ms.
 
-    ``percentiles`` maps output column -> p, default p50 and p95. All requested
-    percentiles are computed in the same two aggregations.
-
-    ``method='exact'`` uses linear interpolation between closest ranks (``percentile``);
-    its per-group buffer holds the group's distinct values. ``method='approx'`` uses
-    ``percentile_approx`` whose per-group sketch has a fixed size, for very hot series.
+    ``percentiles`` maps output column -> p, default p50 and p95; all are computed in
+    the same passes. Methods (all but ``approx`` give identical, exact results):
+
+    - ``exact`` (default): linear interpolation between closest ranks with bounded
+      per-task memory. A cheap pre-check (one job of hash aggregates) estimates the
+      largest group at each level; a level whose groups all hold well under
+      ``max_distinct`` distinct values runs Spark's single-pass ``percentile`` (buffer
+      bounded by that check); otherwise the level runs the range-refinement selection of
+      :func:`svcvitals.operators.quantiles.exact_percentiles`, which never holds a hot
+      series-day in one task.
+    - ``builtin``: Spark's ``percentile`` without the check (buffer = a group's distinct
+      values).
+    - ``approx``: ``percentile_approx`` (fixed-size mergeable sketch per group).
     """
     percentiles = percentiles or {"latency_p50": 0.5, "latency_p95": 0.95}
+    names = list(percentiles)
     p = service_key(with_day(attach_sources(points, sources, LATENCY)))
-    per_series = (p.select("day", "service_name", "prefix", "label", "latency_scale",
-                           "double_value", *_series_key_cols())
-                  .groupBy("day", "service_name", "prefix", "label", "metric_type", "_rl", "_ml")
-                  .agg(F.max("latency_scale").alias("latency_scale"),
-                       *[_pct("double_value", q, method, accuracy).alias(f"_s_{name}")
-                         for name, q in percentiles.items()]))
-    return (per_series.groupBy("day", "service_name")
+    p = p.select("day", "service_name", "prefix", "label", "latency_scale", "double_value", *_series_key_cols())
+    series_small = upper_small = method != "exact"
+    if method == "exact":
+        series_small, upper_small = choose_method(p, SERIES_KEYS, "double_value", ["day", "service_name"],
+                                                  max_distinct)
+    scale = [F.max("latency_scale").alias("latency_scale")]
+    if series_small:
+        per_series = (p.groupBy(*SERIES_KEYS)
+                      .agg(*scale, *[_pct("double_value", q, method, accuracy).alias(f"_s_{n}")
+                                     for n, q in percentiles.items()]))
+    else:
+        per_series = exact_percentiles(p, SERIES_KEYS, "double_value",
+                                       {f"_s_{n}": q for n, q in percentiles.items()}, max_distinct, extra=scale)
+    if upper_small:
+        return (per_series.groupBy("day", "service_name")
+                .agg(F.max("prefix").alias("prefix"), F.max("label").alias("label"),
+                     *[(_pct(f"_s_{n}", q, method, accuracy) * F.max("latency_scale")).alias(n)
+                       for n, q in percentiles.items()]))
+    # one row per (series, percentile name): each name is reduced over its own values
+    long = per_series.select("day", "service_name", "prefix", "label", "latency_scale", F.inline(F.array(
+        *[F.struct(F.lit(n).alias("_q"), F.col(f"_s_{n}").alias("_sv")) for n in names])))
+    across = exact_percentiles(long, ["day", "service_name", "prefix", "label", "_q"], "_sv",
+                               percentiles, max_distinct, extra=scale)
+    return (across.groupBy("day", "service_name")
             .agg(F.max("prefix").alias("prefix"), F.max("label").alias("label"),
-                 *[(_pct(f"_s_{name}", q, method, accuracy) * F.max("latency_scale")).alias(name)
-                   for name, q in percentiles.items()]))
+                 *[F.max(F.when(F.col("_q") == n, F.col(n) * F.col("latency_scale"))).alias(n)
+                   for n in names]))
 
 
 def daily_latency_percentile(points: DataFrame, sources, p: float,
