@@ -7,13 +7,14 @@ from conftest import SF_SMALL
 
 from svcvitals.plans.jobs import run_backfill, run_daily
 from svcvitals.sources import adapters as A
+from svcvitals.sources.tables import read_raw_metrics
 
 
 def test_backfill_and_daily_jobs(spark, tmp_dir):
     pts, out = os.path.join(tmp_dir, "points"), os.path.join(tmp_dir, "raw_metrics")
     A.metric_points(spark, SF_SMALL).write.parquet(pts)
     n = run_backfill(spark, pts, out, 1, 31, dt.date(2024, 2, 1))
-    got = spark.read.parquet(out).drop("timestamp")
+    got = read_raw_metrics(spark, out).drop("timestamp")
     want = A.backfilled_raw_metrics(spark, SF_SMALL).drop("timestamp")
     cols = sorted(want.columns)
     assert n == want.count() > 0
