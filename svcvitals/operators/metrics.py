@@ -200,10 +200,9 @@ def daily_latency_percentiles(points: DataFrame, sources=None,
     the same passes. Methods (all but ``approx`` give identical, exact results):
 
     - ``exact`` (default): linear interpolation between closest ranks with bounded
-      per-task memory. A cheap pre-check (one job of hash aggregates) estimates the
-      largest group at each level; a level whose groups all hold well under
-      ``max_distinct`` distinct values runs Spark's single-pass ``percentile`` (buffer
-      bounded by that check); otherwise the level runs the range-refinement selection of
+      per-task memory. A cheap pre-check (one job of count aggregates) finds the largest
+      group at each level; a level whose groups all hold at most ``max_distinct`` rows
+      runs Spark's single-pass ``percentile`` (buffer bounded by that check); otherwise the level runs the range-refinement selection of
       :func:`svcvitals.operators.quantiles.exact_percentiles`, which never holds a hot
       series-day in one task.
     - ``builtin``: Spark's ``percentile`` without the check (buffer = a group's distinct

@@ -25,9 +25,9 @@ The driver runs only the level loop (one small emptiness check per level, no dat
 per-level state (one row per big group and target rank) is written to the shared
 checkpoint folder, which also cuts the lineage between levels.
 
-:func:`choose_method` is the cheap pre-check used by the roll-up: when every group is
-comfortably under ``max_distinct`` distinct values, Spark's single-pass ``percentile`` is
-already bounded and is used instead.
+:func:`choose_method` is the cheap pre-check used by the roll-up: when no group holds
+more than ``max_distinct`` rows, Spark's single-pass ``percentile`` is already bounded and
+is used instead.
 """
 
 from __future__ import annotations
@@ -154,13 +154,11 @@ def choose_method(df: DataFrame, group_keys: list[str], value: str, upper_keys:
     group results; ``upper_keys`` is a subset of ``group_keys``): are both levels small
     enough for the single-pass ``percentile``?
 
-    One job of hash aggregates (HyperLogLog distinct estimate per group, group count per
-    upper group); a margin of 2 covers the estimate's error. Returns
-    (groups_small, upper_groups_small).
+    One job of hash aggregates with 8-byte buffers: rows per group (an upper bound of its
+    distinct values) and groups per upper group. Returns (groups_small, upper_groups_small).
     """
-    per_group = (df.groupBy(*group_keys)
-                 .agg(F.approx_count_distinct(value, 0.02).alias("_d")))
-    per_upper = per_group.groupBy(*upper_keys).agg(F.max("_d").alias("_dmax"), F.count(F.lit(1)).alias("_k"))
-    row = per_upper.agg(F.max("_dmax").alias("d"), F.max("_k").alias("k")).first()
-    d, k = (row["d"] or 0), (row["k"] or 0)
-    return d * 2 <= max_distinct, k * 2 <= max_distinct
+    per_group = df.filter(F.col(value).isNotNull()).groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_c"))
+    per_upper = per_group.groupBy(*upper_keys).agg(F.max("_c").alias("_cmax"), F.count(F.lit(1)).alias("_k"))
+    row = per_upper.agg(F.max("_cmax").alias("c"), F.max("_k").alias("k")).first()
+    c, k = (row["c"] or 0), (row["k"] or 0)
+    return c <= max_distinct, k <= max_distinct
