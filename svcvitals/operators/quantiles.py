@@ -34,14 +34,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-G = "_g"
-
+from svcvitals.sources.tables import materialize
 
-def _materialize(df: DataFrame, purpose: str) -> DataFrame:
-    from svcvitals.session import shared_dir
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+G = "_g"
 
 
 def _targets(st: DataFrame, percentiles: dict[str, float]) -> DataFrame:
@@ -86,7 +81,7 @@ def _rank_in_range(values: DataFrame, state: DataFrame) -> DataFrame:
 
 def _select_big(values: DataFrame, st_big: DataFrame, percentiles: dict[str, float],
                 max_distinct: int, buckets: int, max_levels: int) -> DataFrame:
-    state = _materialize(_targets(st_big, percentiles), "quantile-state")
+    state = materialize(_targets(st_big, percentiles), "quantile-state")
     done = []
     for _ in range(max_levels):
         small = (F.col("d") <= max_distinct) | (F.col("a") == F.col("b"))
@@ -94,7 +89,7 @@ def _select_big(values: DataFrame, st_big: DataFrame, percentiles: dict[str, flo
         open_ = state.filter(~small)
         if open_.isEmpty():
             break
-        state = _materialize(_refine(values, open_, buckets), "quantile-state")
+        state = materialize(_refine(values, open_, buckets), "quantile-state")
     else:
         done.append(state)
     resolved = done[0]
@@ -139,7 +134,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, percentiles: d
              .groupBy(G).agg(*[F.max(c).alias(c) for c in extra_names],
                              *[F.percentile("_v", float(p), F.col("_w")).alias(name)
                                for name, p in percentiles.items()]))
-    big_st = _materialize(st.filter(F.col("_d") > max_distinct), "quantile-groups")
+    big_st = materialize(st.filter(F.col("_d") > max_distinct), "quantile-groups")
     out = small
     if not big_st.isEmpty():
         big = (_select_big(values, big_st, percentiles, max_distinct, buckets, max_levels)

@@ -8,22 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from svcvitals import config as C
 from svcvitals.operators import events as E, scores as SC, survey as SV
-from svcvitals.session import shared_dir
-
-
-def materialize(df: DataFrame, purpose: str = "materialized") -> DataFrame:
-    """Cut lineage by writing a Parquet table into the shared checkpoint folder and
-    reading it back.
-
-    Used where one derived table feeds two branches of a plan (the performance view
-    feeds both the composite and the delivery scores). The data is computed once (an
-    eager ``checkpoint()`` would compute it a second time for the checkpoint write),
-    survives executor loss, and the re-read table carries real size statistics for the
-    planner's join choices.
-    """
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from svcvitals.sources.tables import materialize  # noqa: F401  (re-exported)
 
 
 @dataclass

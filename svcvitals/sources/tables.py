@@ -28,3 +28,18 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def materialize(df: DataFrame, purpose: str = "materialized") -> DataFrame:
+    """Cut lineage by writing a Parquet table into the shared checkpoint folder and
+    reading it back.
+
+    Used where one derived table feeds several later steps. The data is computed once (an
+    eager ``checkpoint()`` would compute it a second time for the checkpoint write),
+    survives executor loss, and the re-read table carries real size statistics for the
+    planner's join choices.
+    """
+    from svcvitals.session import shared_dir
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
