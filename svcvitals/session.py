@@ -35,19 +35,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _checkpoint_root(spark: SparkSession) -> str | None:
+    try:
+        root = spark.sparkContext.getCheckpointDir()
+    except Exception:  # sessions without a SparkContext handle (e.g. Spark Connect)
+        root = None
+    return root or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names a folder every executor can reach. It is read from
     the session; only when it is unset (local tests) is a local one created and set.
     """
-    root = spark.sparkContext.getCheckpointDir()
+    root = _checkpoint_root(spark)
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = tempfile.mkdtemp(prefix="svcvitals-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        root = tempfile.mkdtemp(prefix="svcvitals-ckpt-")
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+            root = spark.sparkContext.getCheckpointDir() or root
+        except Exception:
+            spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

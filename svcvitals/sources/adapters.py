@@ -66,10 +66,10 @@ def spread(df: DataFrame) -> DataFrame:
     tasks than the cluster's default parallelism, spread its rows round-robin so the
     per-row work after it uses every core. Tables made of many files / row groups
     already scan in parallel and are returned unchanged (no extra shuffle)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
     try:
+        want = df.sparkSession.sparkContext.defaultParallelism
         n = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as it is
+    except Exception:  # sessions without RDD / SparkContext access: leave the scan as it is
         return df
     return df.repartition(want) if n < want else df
 
