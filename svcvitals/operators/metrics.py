@@ -115,13 +115,20 @@ def daily_request_counts(points: DataFrame, sources=None) -> DataFrame:
 
     Output: day, prefix, label, response_code_class, request_count, project_id (the
     greatest non-empty ``project_id`` resource label seen in the group).
+
+    Level 1 runs over the raw points with the project label as a grouping key and only a
+    numeric buffer (hash aggregate with map-side partial aggregation); level 2 takes the
+    greatest project over the few level-1 rows of each group.
     """
     p = with_day(attach_sources(points, sources, COUNTS))
-    return (p.withColumn("response_code_class",
-                         F.try_element_at(F.col("metric_labels"), F.lit("response_code_class")))
-            .groupBy("day", "prefix", "label", "response_code_class")
-            .agg(F.sum("int64_value").alias("request_count"),
-                 F.max(_project_label()).alias("project_id")))
+    keys = ["day", "prefix", "label", "response_code_class"]
+    level1 = (p.withColumn("response_code_class",
+                           F.try_element_at(F.col("metric_labels"), F.lit("response_code_class")))
+              .withColumn("_project", _project_label())
+              .groupBy(*keys, "_project")
+              .agg(F.sum("int64_value").alias("request_count")))
+    return (level1.groupBy(*keys)
+            .agg(F.sum("request_count").alias("request_count"), F.max("_project").alias("project_id")))
 
 
 # --------------------------------------------------------------------------- M5

@@ -67,3 +67,17 @@ def test_preaggregated_equals_naive(spark, perf_rows, ev_rows, fanout):
     assert sorted(fast.collect(), key=key) == sorted(naive.collect(), key=key)
     for r in SC.pipeline_scores_from_base(fast).collect():
         assert 0 <= r.delivery_success_score <= 100
+
+
+_answer = st.one_of(st.none(), st.sampled_from(["TRUE", "true", " TRUE ", "FALSE", "yes", "True", "no", "1", "t", "Y"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(*[_answer] * 11), min_size=1, max_size=30))
+def test_observability_in_range(spark, rows):
+    from svcvitals import schemas as S
+    from svcvitals.operators import survey as SV
+    df = spark.createDataFrame([(f"s{i}",) + r for i, r in enumerate(rows)], S.SURVEY)
+    for r in SV.observability_scores(df).collect():
+        assert 0.0 <= r.observability_score <= 125.0
+        assert r.feature_flag_score in (0.0, 100.0)
