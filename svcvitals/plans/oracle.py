@@ -477,7 +477,11 @@ ORACLE_SQL: dict[str, str] = {
 }
 ORACLE_SQL["registered_views"] = (
     _with(*_STACK, base_sql("perf"), PIPE, COMPOSITE, LOGS, LEGACY_IN, W1, W2, W3) +
-    "SELECT 'deployment_events_raw' AS view_name, CAST(count(*) AS BIGINT) AS row_count FROM evs "
+    "SELECT 'raw_metrics' AS view_name, CAST(count(*) AS BIGINT) AS row_count FROM rm "
+    "UNION ALL SELECT 'cloud_builds_raw', count(*) FROM br "
+    "UNION ALL SELECT 'cloud_deploy_raw', count(*) FROM dr "
+    "UNION ALL SELECT 'observability_survey_sheet', count(*) FROM sv "
+    "UNION ALL SELECT 'deployment_events_raw', count(*) FROM evs "
     "UNION ALL SELECT 'service_performance_scores', count(*) FROM perf "
     "UNION ALL SELECT 'observability_scores', count(*) FROM obs "
     "UNION ALL SELECT 'pipeline_robustness_scores', count(*) FROM pipe "

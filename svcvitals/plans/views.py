@@ -8,13 +8,15 @@ from svcvitals.functions.sql import register_sql_functions
 from svcvitals.operators import legacy as W
 from svcvitals.plans.health import HealthStack
 
+TABLE_NAMES = ["raw_metrics", "cloud_builds_raw", "cloud_deploy_raw", "observability_survey_sheet"]
 VIEW_NAMES = ["deployment_events_raw", "service_performance_scores", "observability_scores",
               "pipeline_robustness_scores", "composite_health_scores", "final_service_health_scores"]
 
 
 def register_views(spark: SparkSession, stack: HealthStack,
                    legacy_metrics: DataFrame | None = None) -> list[str]:
-    """Create/replace temp views; returns the names published.
+    """Create/replace temp views for the input tables and the view stack; returns the
+    names published.
 
     The survey-dependent pair (observability, composite) is skipped when the stack
     has no survey; ``final_service_health_scores`` needs ``legacy_metrics``.
@@ -27,6 +29,11 @@ def register_views(spark: SparkSession, stack: HealthStack,
         df.createOrReplaceTempView(name)
         published.append(name)
 
+    put("raw_metrics", stack.raw_metrics)
+    put("cloud_builds_raw", stack.builds_raw)
+    put("cloud_deploy_raw", stack.deploys_raw)
+    if stack.survey is not None:
+        put("observability_survey_sheet", stack.survey)
     put("deployment_events_raw", stack.deployment_events())
     put("service_performance_scores", stack.performance())
     obs = stack.observability()
