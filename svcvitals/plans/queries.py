@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from svcvitals import config as C
 from svcvitals.functions.columns import environment, is_async_like
 from svcvitals.functions.sql import register_sql_functions
 from svcvitals.operators import events as E, legacy as W, logs as L, metrics as M, scores as SC, survey as SV
@@ -164,7 +165,7 @@ def q_environment_classifier(spark, sf):
 def q_route_logs(spark, sf):
     configure(spark)
     return L.route_logs(A.log_entries(spark, sf)).select(
-        "ts", "severity", F.col("labels")["datacommons-service"].alias("service_name"))
+        "ts", "severity", F.try_element_at(F.col("labels"), F.lit(C.LOG_SERVICE_LABEL)).alias("service_name"))
 
 
 def q_error_log_counts(spark, sf):
