@@ -9,7 +9,7 @@ Duplicated messages are kept, as in the raw tables (no dedup by message id).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from svcvitals import schemas as S
@@ -24,6 +24,28 @@ def read_envelope_stream(spark: SparkSession, path: str, fmt: str = "json",
     return r.load(path)
 
 
+def read_envelope_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
+                        starting_offsets: str = "earliest") -> DataFrame:
+    """Message envelopes from a Kafka topic (needs the Spark Kafka connector on the
+    classpath). Mapping: topic -> subscription_name, partition/offset (or key when set)
+    -> message_id, record timestamp -> publish_time, value -> data, headers -> attributes
+    (a JSON object of header name -> value)."""
+    raw = (spark.readStream.format("kafka")
+           .option("kafka.bootstrap.servers", bootstrap_servers)
+           .option("subscribe", topic)
+           .option("startingOffsets", starting_offsets)
+           .option("includeHeaders", "true")
+           .load())
+    headers = F.map_from_entries(F.transform(
+        F.coalesce(F.col("headers"), F.array()),
+        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+    msg_id = F.coalesce(F.col("key").cast("string"),
+                        F.concat_ws("-", F.col("partition").cast("string"), F.col("offset").cast("string")))
+    return raw.select(F.col("topic").alias("subscription_name"), msg_id.alias("message_id"),
+                      F.col("timestamp").alias("publish_time"), F.col("value").cast("string").alias("data"),
+                      F.to_json(headers).alias("attributes"))
+
+
 def _sink(df: DataFrame, sink_path: str, checkpoint_path: str, available_now: bool,
           processing_time: str | None, partition_by: list[str] | None = None) -> StreamingQuery:
     w = (df.writeStream.format("parquet").outputMode("append")

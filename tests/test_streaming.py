@@ -49,3 +49,15 @@ def test_stream_route_logs_equals_batch(spark, tmp_dir):
     got = spark.read.parquet(sink).selectExpr("ts", "severity", "labels['datacommons-service'] AS s")
     want = L.route_logs(logs).selectExpr("ts", "severity", "labels['datacommons-service'] AS s")
     assert _rows(got) == _rows(want)
+
+
+def test_kafka_source_needs_connector(spark):
+    import pytest
+    from svcvitals.streaming.ingest import read_envelope_kafka
+    try:
+        df = read_envelope_kafka(spark, "localhost:9", "builds")
+    except Exception as e:  # connector not on the classpath in this image
+        assert "kafka" in str(e).lower()
+        return
+    assert df.columns == [f.name for f in S.EVENT_ENVELOPE.fields]
+    pytest.skip("connector present; schema checked")
