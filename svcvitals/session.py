@@ -9,6 +9,27 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def recommended_conf(executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
+    """Settings for large clusters (pass to the session builder / cluster config).
+
+    Shuffle partitions start at ~3 waves of the cluster's cores; AQE coalesces them to
+    ~128 MB each at runtime and splits skewed join partitions (a hot service or series),
+    so partitions stay well inside executor memory whatever the day's volume. Scan
+    splits of 256 MB keep task counts sane on 100 TB of points.
+    """
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(3 * cores),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "svcvitals", extra: dict | None = None) -> SparkSession:
     """Session for tests and local runs. On a cluster, use the cluster's own session
