@@ -54,3 +54,13 @@ def test_rollup_bounded_equals_builtin(spark):
     want = sorted(M.daily_latency_percentiles(p, None, method="builtin").collect(), key=key)
     got = sorted(M.daily_latency_percentiles(p, None, method="exact", max_distinct=2).collect(), key=key)
     assert got == want
+
+
+def test_single_hot_group(spark):
+    """Every latency sample in one group; refinement must narrow it level by level."""
+    p = A.metric_points(spark, SF_SMALL).filter(F.col("double_value").isNotNull())
+    hot = p.select(F.lit("hot").alias("g"), F.col("double_value").alias("v"))
+    ps = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    want = hot.groupBy("g").agg(*[F.percentile("v", q).alias(n) for n, q in ps.items()]).collect()
+    got = exact_percentiles(hot, ["g"], "v", ps, max_distinct=20, buckets=8).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
