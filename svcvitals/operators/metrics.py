@@ -356,8 +356,11 @@ def backfill(points: DataFrame, sources, as_of, start_days_ago: int = 1,
     """Every day from ``as_of - end_days_ago`` to ``as_of - start_days_ago`` inclusive,
     in one job (one scan, grouped by day), with host project attribution and the stored
     availability ratio."""
-    first = _as_date(as_of) - dt.timedelta(days=end_days_ago)
-    last = _as_date(as_of) - dt.timedelta(days=start_days_ago)
+    if isinstance(as_of, Column):
+        first, last = F.date_sub(as_of, end_days_ago), F.date_sub(as_of, start_days_ago)
+    else:
+        first = _as_date(as_of) - dt.timedelta(days=end_days_ago)
+        last = _as_date(as_of) - dt.timedelta(days=start_days_ago)
     sliced = day_slice(points, first, last)
     ingested_at = F.current_timestamp() if ingested_at is None else ingested_at
     rolled = stored_availability(_daily_rollup(sliced, sources, "host", method))

@@ -102,3 +102,13 @@ def test_survey_sheet_roundtrip_multi_file(spark, tmp_dir):
     got = read_survey(spark, path)
     assert sorted(map(tuple, got.collect())) == sorted(rows)
     assert got.filter(F.col("service_name") == "service_name").count() == 0
+
+
+def test_as_of_column(spark):
+    rows = [(RUN_C, "service_name", "a", {"project_id": "p"}, "2xx", T(d, 6), 10, None) for d in (1, 2, 3)]
+    p = _points(spark, rows)
+    as_of = F.lit("2026-07-04").cast("date")
+    assert M.backfill(p, None, as_of, 1, 3, "2026-07-04 00:00:00").count() == 3
+    assert M.backfill(p, None, "2026-07-04", 1, 3, "2026-07-04 00:00:00").count() == 3
+    assert M.ingest_day(p, None, as_of, "2026-07-04 00:00:00").collect()[0].target_date == "2026-07-03"
+    assert M.ingest_day(p, None, F.current_date()).count() == 0
