@@ -258,7 +258,8 @@ def daily_latency_percentile(points: DataFrame, sources, p: float,
 # --------------------------------------------------------------------------- M7
 def merge_counts_latency(counts: DataFrame, latencies: DataFrame) -> DataFrame:
     """Full outer merge on (day, service_name): a service seen on either side gets a
-    row; missing counts -> 0, missing latencies -> NULL, missing project -> unknown.
+    row; missing counts -> 0, missing latencies -> NULL; a missing project stays NULL
+    here and becomes ``unknown`` in :func:`project_attribution`.
 
     Both inputs are aggregated on exactly (day, service_name), so the join reuses that
     partitioning (no extra exchange).
