@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,4 +85,4 @@ def local_path(uri: str) -> str:
     return uri[5:] if uri.startswith("file:") else uri
 
 
-__all__ = ["build_session", "configure", "shared_dir", "local_path", "os"]
+__all__ = ["build_session", "configure", "recommended_conf", "shared_dir", "local_path"]
