@@ -20,6 +20,7 @@ from svcvitals.plans.views import register_views
 from svcvitals.session import configure, shared_dir
 from svcvitals.sources import adapters as A
 from svcvitals.sources.survey_sheet import read_survey, write_survey
+from svcvitals.sources.tables import read_envelopes
 from svcvitals.streaming.ingest import stream_events as _stream_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,8 +124,7 @@ def q_stream_events(spark, sf):
         sinks.append((name, sink, df.schema))
     for q in running:
         q.awaitTermination()
-    out = [spark.read.schema(schema).parquet(sink).withColumn("table_name", F.lit(name))
-           for name, sink, schema in sinks]
+    out = [read_envelopes(spark, sink).withColumn("table_name", F.lit(name)) for name, sink, _ in sinks]
     return out[0].unionByName(out[1])
 
 

@@ -25,6 +25,15 @@ EVENT_ENVELOPE = T.StructType([
     T.StructField("attributes", T.StringType(), True),
 ])
 
+DEPLOYMENT_EVENTS = T.StructType([
+    T.StructField("publish_time", T.TimestampType(), True),
+    T.StructField("status", T.StringType(), True),
+    T.StructField("service_name", T.StringType(), True),
+    T.StructField("environment", T.StringType(), True),
+    T.StructField("is_rollback", T.BooleanType(), True),
+    T.StructField("event_category", T.StringType(), True),
+])
+
 # Payload shapes, parsed once per row. Every leaf is a string so that numbers and
 # booleans come back as their JSON text, like a JSON scalar extraction.
 BUILD_PAYLOAD = T.StructType([

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from svcvitals import schemas as S
 
@@ -19,8 +19,32 @@ def read_raw_metrics(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet(spark, path, S.RAW_METRICS)
 
 
-def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    return read_parquet(spark, path, S.EVENT_ENVELOPE)
+DATE_PARTITION = "publish_date"
+
+
+def read_by_day(spark: SparkSession, path: str, schema, since=None) -> DataFrame:
+    """Read a table stored partitioned by ``publish_date`` (as the stream sinks write it).
+
+    ``since`` (date, 'yyyy-MM-dd' or Column) becomes a partition filter, so only the
+    folders of those days are listed and read; the result has exactly ``schema``'s columns.
+    Tables without the partition column are read whole (the caller's own time filter
+    still applies).
+    """
+    df = read_parquet(spark, path, schema)
+    if since is not None and DATE_PARTITION in df.columns:
+        bound = since if isinstance(since, Column) else F.lit(str(since)).cast("date")
+        df = df.filter(F.col(DATE_PARTITION) >= bound.cast("date"))
+    return df.select(*[f.name for f in schema.fields])
+
+
+def read_envelopes(spark: SparkSession, path: str, since=None) -> DataFrame:
+    """A raw build / deploy envelope table (``schemas.EVENT_ENVELOPE``)."""
+    return read_by_day(spark, path, S.EVENT_ENVELOPE, since)
+
+
+def read_deployment_events(spark: SparkSession, path: str, since=None) -> DataFrame:
+    """A stored ``deployment_events_raw`` table (written by the streaming E5 path)."""
+    return read_by_day(spark, path, S.DEPLOYMENT_EVENTS, since)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from svcvitals import schemas as S
+from svcvitals.sources.tables import DATE_PARTITION
 from svcvitals.operators import events as E, logs as L
 
 
@@ -46,6 +47,13 @@ def read_envelope_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                       F.to_json(headers).alias("attributes"))
 
 
+def _by_day(df: DataFrame, partition_by_day: bool) -> tuple[DataFrame, list[str] | None]:
+    """Add the ``publish_date`` partition column (UTC day of publish_time) when asked."""
+    if not partition_by_day:
+        return df, None
+    return df.withColumn(DATE_PARTITION, F.to_date("publish_time")), [DATE_PARTITION]
+
+
 def _sink(df: DataFrame, sink_path: str, checkpoint_path: str, available_now: bool,
           processing_time: str | None, partition_by: list[str] | None = None) -> StreamingQuery:
     w = (df.writeStream.format("parquet").outputMode("append")
@@ -61,20 +69,24 @@ def _sink(df: DataFrame, sink_path: str, checkpoint_path: str, available_now: bo
 
 def stream_events(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,
                   fmt: str = "json", available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
+                  processing_time: str | None = None, partition_by_day: bool = True,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append every message envelope (subscription, id, publish time, data, attributes)
-    from ``source_path`` to the raw table at ``sink_path``."""
-    return _sink(read_envelope_stream(spark, source_path, fmt), sink_path, checkpoint_path,
-                 available_now, processing_time)
+    from ``source_path`` to the raw table at ``sink_path``, partitioned by publish day
+    (read it back with ``sources.tables.read_envelopes(path, since=...)``)."""
+    df, parts = _by_day(read_envelope_stream(spark, source_path, fmt, max_files_per_trigger), partition_by_day)
+    return _sink(df, sink_path, checkpoint_path, available_now, processing_time, parts)
 
 
 def stream_deployment_events(spark: SparkSession, builds_path: str, deploys_path: str,
                              sink_path: str, checkpoint_path: str, fmt: str = "json",
-                             available_now: bool = True) -> StreamingQuery:
-    """Normalised deployment events computed on the fly from both envelope streams."""
+                             available_now: bool = True, partition_by_day: bool = True) -> StreamingQuery:
+    """Normalised deployment events computed on the fly from both envelope streams,
+    stored partitioned by publish day (``sources.tables.read_deployment_events``)."""
     ev = E.deployment_events_raw(read_envelope_stream(spark, builds_path, fmt),
                                  read_envelope_stream(spark, deploys_path, fmt))
-    return _sink(ev, sink_path, checkpoint_path, available_now, None)
+    ev, parts = _by_day(ev, partition_by_day)
+    return _sink(ev, sink_path, checkpoint_path, available_now, None, parts)
 
 
 def stream_route_logs(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,

@@ -7,9 +7,14 @@ from conftest import SF_SMALL
 from svcvitals import schemas as S
 from svcvitals.operators import events as E, logs as L
 from svcvitals.sources import adapters as A
+from svcvitals.sources.tables import read_deployment_events, read_envelopes
 from svcvitals.streaming.ingest import stream_deployment_events, stream_events, stream_route_logs
 
 
+def _formatted(df) -> str:
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
@@ -19,7 +24,7 @@ def test_stream_events_equals_batch_and_restart(spark, tmp_dir):
     landing, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "sink", "ckpt"))
     builds.write.json(os.path.join(landing, "batch1"))
     stream_events(spark, landing + "/*", sink, ckpt).awaitTermination()
-    got = spark.read.schema(S.EVENT_ENVELOPE).parquet(sink)
+    got = read_envelopes(spark, sink)
     assert _rows(got) == _rows(builds)
     # restart from the checkpoint: nothing new -> nothing appended
     stream_events(spark, landing + "/*", sink, ckpt).awaitTermination()
@@ -37,7 +42,12 @@ def test_stream_deployment_events_equals_batch(spark, tmp_dir):
     d.write.json(dp)
     sink, ckpt = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt")
     stream_deployment_events(spark, bp, dp, sink, ckpt).awaitTermination()
-    assert _rows(spark.read.parquet(sink)) == _rows(E.deployment_events_raw(b, d))
+    assert _rows(read_deployment_events(spark, sink)) == _rows(E.deployment_events_raw(b, d))
+    # the sink is partitioned by publish day: a since-bound prunes folders
+    since = read_deployment_events(spark, sink, since="2001-02-01")
+    assert "PartitionFilters: [isnotnull(publish_date" in _formatted(since)
+    want = E.deployment_events_raw(b, d).filter("to_date(publish_time) >= date'2001-02-01'")
+    assert _rows(since) == _rows(want)
 
 
 def test_stream_route_logs_equals_batch(spark, tmp_dir):
