@@ -20,10 +20,12 @@ def read_raw_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 DATE_PARTITION = "publish_date"
+LOG_DATE_PARTITION = "log_date"
 
 
-def read_by_day(spark: SparkSession, path: str, schema, since=None) -> DataFrame:
-    """Read a table stored partitioned by ``publish_date`` (as the stream sinks write it).
+def read_by_day(spark: SparkSession, path: str, schema, since=None,
+                partition_col: str = DATE_PARTITION) -> DataFrame:
+    """Read a table stored partitioned by a day column (as the stream sinks write it).
 
     ``since`` (date, 'yyyy-MM-dd' or Column) becomes a partition filter, so only the
     folders of those days are listed and read; the result has exactly ``schema``'s columns.
@@ -31,9 +33,9 @@ def read_by_day(spark: SparkSession, path: str, schema, since=None) -> DataFrame
     still applies).
     """
     df = read_parquet(spark, path, schema)
-    if since is not None and DATE_PARTITION in df.columns:
+    if since is not None and partition_col in df.columns:
         bound = since if isinstance(since, Column) else F.lit(str(since)).cast("date")
-        df = df.filter(F.col(DATE_PARTITION) >= bound.cast("date"))
+        df = df.filter(F.col(partition_col) >= bound.cast("date"))
     return df.select(*[f.name for f in schema.fields])
 
 
@@ -42,6 +44,11 @@ def read_envelopes(spark: SparkSession, path: str, since=None) -> DataFrame:
     return read_by_day(spark, path, S.EVENT_ENVELOPE, since)
 
 
+def read_routed_logs(spark: SparkSession, path: str, since=None) -> DataFrame:
+    """A routed-log table (``schemas.LOG_ENTRIES``) written by the streaming L1 path."""
+    return read_by_day(spark, path, S.LOG_ENTRIES, since, LOG_DATE_PARTITION)
+
+
 def read_deployment_events(spark: SparkSession, path: str, since=None) -> DataFrame:
     """A stored ``deployment_events_raw`` table (written by the streaming E5 path)."""
     return read_by_day(spark, path, S.DEPLOYMENT_EVENTS, since)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from svcvitals import schemas as S
-from svcvitals.sources.tables import DATE_PARTITION
+from svcvitals.sources.tables import DATE_PARTITION, LOG_DATE_PARTITION
 from svcvitals.operators import events as E, logs as L
 
 
@@ -47,11 +47,14 @@ def read_envelope_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                       F.to_json(headers).alias("attributes"))
 
 
-def _by_day(df: DataFrame, partition_by_day: bool) -> tuple[DataFrame, list[str] | None]:
-    """Add the ``publish_date`` partition column (UTC day of publish_time) when asked."""
+def _by_day(df: DataFrame, partition_by_day: bool, ts_col: str = "publish_time",
+            partition_col: str = DATE_PARTITION) -> tuple[DataFrame, list[str] | None]:
+    """Add a day partition column (UTC day of ``ts_col``) when asked, and cluster each
+    micro-batch by it so every day gets one file per batch (not one per task)."""
     if not partition_by_day:
         return df, None
-    return df.withColumn(DATE_PARTITION, F.to_date("publish_time")), [DATE_PARTITION]
+    df = df.withColumn(partition_col, F.to_date(ts_col))
+    return df.repartition(partition_col), [partition_col]
 
 
 def _sink(df: DataFrame, sink_path: str, checkpoint_path: str, available_now: bool,
@@ -69,20 +72,23 @@ def _sink(df: DataFrame, sink_path: str, checkpoint_path: str, available_now: bo
 
 def stream_events(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,
                   fmt: str = "json", available_now: bool = True,
-                  processing_time: str | None = None, partition_by_day: bool = True,
+                  processing_time: str | None = None, partition_by_day: bool = False,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append every message envelope (subscription, id, publish time, data, attributes)
-    from ``source_path`` to the raw table at ``sink_path``, partitioned by publish day
-    (read it back with ``sources.tables.read_envelopes(path, since=...)``)."""
+    from ``source_path`` to the raw table at ``sink_path``. With ``partition_by_day`` the
+    table is partitioned by publish day (for high-volume feeds; read it back with
+    ``sources.tables.read_envelopes(path, since=...)`` to prune days). Unpartitioned by
+    default, like the raw tables it mirrors: sparse feeds spread over years would
+    otherwise write one small file per day."""
     df, parts = _by_day(read_envelope_stream(spark, source_path, fmt, max_files_per_trigger), partition_by_day)
     return _sink(df, sink_path, checkpoint_path, available_now, processing_time, parts)
 
 
 def stream_deployment_events(spark: SparkSession, builds_path: str, deploys_path: str,
                              sink_path: str, checkpoint_path: str, fmt: str = "json",
-                             available_now: bool = True, partition_by_day: bool = True) -> StreamingQuery:
+                             available_now: bool = True, partition_by_day: bool = False) -> StreamingQuery:
     """Normalised deployment events computed on the fly from both envelope streams,
-    stored partitioned by publish day (``sources.tables.read_deployment_events``)."""
+    optionally partitioned by publish day (``sources.tables.read_deployment_events``)."""
     ev = E.deployment_events_raw(read_envelope_stream(spark, builds_path, fmt),
                                  read_envelope_stream(spark, deploys_path, fmt))
     ev, parts = _by_day(ev, partition_by_day)
@@ -90,7 +96,10 @@ def stream_deployment_events(spark: SparkSession, builds_path: str, deploys_path
 
 
 def stream_route_logs(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,
-                      fmt: str = "parquet", available_now: bool = True) -> StreamingQuery:
-    """Route warning-and-above service logs from a log stream into a table."""
+                      fmt: str = "parquet", available_now: bool = True,
+                      partition_by_day: bool = False) -> StreamingQuery:
+    """Route warning-and-above service logs from a log stream into a table, optionally
+    partitioned by log day (``sources.tables.read_routed_logs``)."""
     logs = spark.readStream.schema(S.LOG_ENTRIES).format(fmt).load(source_path)
-    return _sink(L.route_logs(logs), sink_path, checkpoint_path, available_now, None)
+    routed, parts = _by_day(L.route_logs(logs), partition_by_day, "ts", LOG_DATE_PARTITION)
+    return _sink(routed, sink_path, checkpoint_path, available_now, None, parts)

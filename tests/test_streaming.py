@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 from svcvitals import schemas as S
 from svcvitals.operators import events as E, logs as L
 from svcvitals.sources import adapters as A
-from svcvitals.sources.tables import read_deployment_events, read_envelopes
+from svcvitals.sources.tables import read_deployment_events, read_envelopes, read_routed_logs
 from svcvitals.streaming.ingest import stream_deployment_events, stream_events, stream_route_logs
 
 
@@ -41,7 +41,7 @@ def test_stream_deployment_events_equals_batch(spark, tmp_dir):
     b.write.json(bp)
     d.write.json(dp)
     sink, ckpt = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt")
-    stream_deployment_events(spark, bp, dp, sink, ckpt).awaitTermination()
+    stream_deployment_events(spark, bp, dp, sink, ckpt, partition_by_day=True).awaitTermination()
     assert _rows(read_deployment_events(spark, sink)) == _rows(E.deployment_events_raw(b, d))
     # the sink is partitioned by publish day: a since-bound prunes folders
     since = read_deployment_events(spark, sink, since="2001-02-01")
@@ -55,8 +55,8 @@ def test_stream_route_logs_equals_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "logs")
     logs.write.parquet(src)
     sink, ckpt = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt")
-    stream_route_logs(spark, src, sink, ckpt).awaitTermination()
-    got = spark.read.parquet(sink).selectExpr("ts", "severity", "labels['datacommons-service'] AS s")
+    stream_route_logs(spark, src, sink, ckpt, partition_by_day=True).awaitTermination()
+    got = read_routed_logs(spark, sink).selectExpr("ts", "severity", "labels['datacommons-service'] AS s")
     want = L.route_logs(logs).selectExpr("ts", "severity", "labels['datacommons-service'] AS s")
     assert _rows(got) == _rows(want)
 
