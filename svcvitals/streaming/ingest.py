@@ -25,26 +25,32 @@ def read_envelope_stream(spark: SparkSession, path: str, fmt: str = "json",
     return r.load(path)
 
 
+def kafka_to_envelopes(records: DataFrame) -> DataFrame:
+    """Kafka records (topic, key, value, partition, offset, timestamp, headers) -> message
+    envelopes. Mapping: topic -> subscription_name; key (else partition-offset) ->
+    message_id; record timestamp -> publish_time; value -> data; headers -> attributes
+    (a JSON object of header name -> value). Works on batch or streaming records."""
+    headers = F.map_from_entries(F.transform(
+        F.coalesce(F.col("headers"), F.array()),
+        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+    msg_id = F.coalesce(F.col("key").cast("string"),
+                        F.concat_ws("-", F.col("partition").cast("string"), F.col("offset").cast("string")))
+    return records.select(F.col("topic").alias("subscription_name"), msg_id.alias("message_id"),
+                          F.col("timestamp").alias("publish_time"), F.col("value").cast("string").alias("data"),
+                          F.to_json(headers).alias("attributes"))
+
+
 def read_envelope_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                         starting_offsets: str = "earliest") -> DataFrame:
-    """Message envelopes from a Kafka topic (needs the Spark Kafka connector on the
-    classpath). Mapping: topic -> subscription_name, partition/offset (or key when set)
-    -> message_id, record timestamp -> publish_time, value -> data, headers -> attributes
-    (a JSON object of header name -> value)."""
+    """Message envelopes streamed from a Kafka topic (needs the Spark Kafka connector on
+    the classpath); see :func:`kafka_to_envelopes` for the mapping."""
     raw = (spark.readStream.format("kafka")
            .option("kafka.bootstrap.servers", bootstrap_servers)
            .option("subscribe", topic)
            .option("startingOffsets", starting_offsets)
            .option("includeHeaders", "true")
            .load())
-    headers = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array()),
-        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
-    msg_id = F.coalesce(F.col("key").cast("string"),
-                        F.concat_ws("-", F.col("partition").cast("string"), F.col("offset").cast("string")))
-    return raw.select(F.col("topic").alias("subscription_name"), msg_id.alias("message_id"),
-                      F.col("timestamp").alias("publish_time"), F.col("value").cast("string").alias("data"),
-                      F.to_json(headers).alias("attributes"))
+    return kafka_to_envelopes(raw)
 
 
 def _by_day(df: DataFrame, partition_by_day: bool, ts_col: str = "publish_time",

@@ -71,3 +71,20 @@ def test_kafka_source_needs_connector(spark):
         return
     assert df.columns == [f.name for f in S.EVENT_ENVELOPE.fields]
     pytest.skip("connector present; schema checked")
+
+
+def test_kafka_record_mapping(spark):
+    import datetime as dt
+    from svcvitals.streaming.ingest import kafka_to_envelopes
+    rec_t = ("topic string, key binary, value binary, partition int, offset long, timestamp timestamp, "
+             "headers array<struct<key:string, value:binary>>")
+    t = dt.datetime(2026, 7, 1, 12)
+    recs = spark.createDataFrame([
+        ("cloud-builds", b"m-1", b'{"status":"SUCCESS"}', 0, 5, t, [("buildId", b"42")]),
+        ("cloud-builds", None, b"{}", 3, 9, t, None),
+    ], rec_t)
+    got = sorted(map(tuple, kafka_to_envelopes(recs).collect()), key=lambda r: r[1])
+    assert got == [("cloud-builds", "3-9", t, "{}", "{}"),
+                   ("cloud-builds", "m-1", t, '{"status":"SUCCESS"}', '{"buildId":"42"}')]
+    env = kafka_to_envelopes(recs)
+    assert E.build_events(env).count() == 0  # no tags -> dropped, like any untagged build
