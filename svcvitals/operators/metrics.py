@@ -249,10 +249,11 @@ def daily_latency_percentiles(points: DataFrame, sources=None,
 
 
 def daily_latency_percentile(points: DataFrame, sources, p: float,
-                             name: str | None = None, method: str = "exact") -> DataFrame:
+                             name: str | None = None, method: str = "exact",
+                             max_distinct: int = 100_000) -> DataFrame:
     """Single-percentile form of :func:`daily_latency_percentiles`."""
     name = name or f"latency_p{int(round(p * 100))}"
-    return daily_latency_percentiles(points, sources, {name: p}, method=method)
+    return daily_latency_percentiles(points, sources, {name: p}, method=method, max_distinct=max_distinct)
 
 
 # --------------------------------------------------------------------------- M7

@@ -421,6 +421,7 @@ ORACLE_SQL: dict[str, str] = {
     "response_class_rollup": _with(EV, PTS, KEYED, COUNTS) + "SELECT * FROM cnt",
     "daily_latency_p50": _with(EV, PTS, KEYED, LAT) + "SELECT day, service_name, latency_p50 FROM latency_p50_t",
     "daily_latency_p95": _with(EV, PTS, KEYED, LAT) + "SELECT day, service_name, latency_p95 FROM latency_p95_t",
+    "daily_latency_p95_bounded": _with(EV, PTS, KEYED, LAT) + "SELECT day, service_name, latency_p95 FROM latency_p95_t",
     "merge_counts_latency": _with(ROLLUP) + "SELECT * FROM merged_full",
     "project_attribution_label": _with(ROLLUP) +
         "SELECT day, service_name, coalesce(project_id, 'unknown') AS project_id FROM merged_full",

@@ -79,6 +79,15 @@ def q_daily_latency_p95(spark, sf):
     return M.daily_latency_percentile(p, s, 0.95, "latency_p95").select("day", "service_name", "latency_p95")
 
 
+def q_daily_latency_p95_bounded(spark, sf):
+    """M6 with ``max_distinct=2``: every series-day with more than two distinct samples
+    (and every service-day with more than two series) goes through the bounded-memory
+    range-refinement selection instead of the single-pass percentile. Same result."""
+    p, s = _pts(spark, sf)
+    return M.daily_latency_percentile(p, s, 0.95, "latency_p95", max_distinct=2).select(
+        "day", "service_name", "latency_p95")
+
+
 def q_merge_counts_latency(spark, sf):
     return _merged(spark, sf)
 
@@ -285,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "response_class_rollup": q_response_class_rollup,
     "daily_latency_p50": q_daily_latency_p50,
     "daily_latency_p95": q_daily_latency_p95,
+    "daily_latency_p95_bounded": q_daily_latency_p95_bounded,
     "merge_counts_latency": q_merge_counts_latency,
     "project_attribution_label": q_project_attribution_label,
     "project_attribution_host": q_project_attribution_host,
