@@ -14,4 +14,42 @@ j AS (SELECT p.page_id, host, path, h || r.p AS rule, verdict,
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j WHERE k = 1
 """
 
-ORACLE_SQL = {"op10_url_filter": OP10}
+OP3 = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+      FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+OP7 = r"""
+WITH low(kind, id, t) AS (
+    SELECT 'd', CAST(doc_id AS VARCHAR), translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM documents
+    UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM low),
+pat AS (SELECT DISTINCT id AS item, least(len(ws), 13) AS n, array_to_string(ws[i:i + least(len(ws), 13) - 1], ' ') AS p
+        FROM (SELECT id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM w WHERE kind = 'b' AND len(ws) > 0)),
+lens AS (SELECT DISTINCT n FROM pat),
+win AS (SELECT id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS p
+        FROM (SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, lens WHERE kind = 'd' AND len(ws) >= n)),
+hits AS (SELECT id, i, win.n, item FROM win JOIN pat ON pat.p = win.p AND pat.n = win.n),
+hw AS (SELECT id, count(DISTINCT k) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY id),
+hi AS (SELECT id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS h FROM (SELECT DISTINCT id, item FROM hits) GROUP BY id)
+SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN hw USING (id) LEFT JOIN hi USING (id) WHERE kind = 'd'
+"""
+
+OP9 = """
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, min(doc_id) AS keeper FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND keeper <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN r USING (key) GROUP BY doc_id
+"""
+
+ORACLE_SQL = {"op3_exact_topk": OP3, "op7_benchmark_decontamination": OP7, "op9_line_dedup": OP9, "op10_url_filter": OP10}

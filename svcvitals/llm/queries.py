@@ -2,26 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals.llm import mixing, sharding, url_filter
+from svcvitals.llm import decontaminate, line_dedup, mixing, sharding, topk_search, url_filter
+from svcvitals.llm.columns import utf8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(utf8(F.array_join("items", ",")), 256).alias("items_sha256"), "contaminated")
+
+
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), 24)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    store = line_dedup.LineStore(spark, line_dedup.shards_for(docs)).insert(docs)
+    return store.clean(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(utf8(F.col("text")), 256).alias("kept_sha256"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op6_source_mixing, op8_jump_sharding, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (
+    op3_exact_topk, op6_source_mixing, op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter)}
