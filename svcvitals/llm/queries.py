@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals.llm import decontaminate, line_dedup, mixing, sharding, topk_search, url_filter
+from svcvitals.llm import decontaminate, line_dedup, mixing, sharding, token_records, topk_search, url_filter
 from svcvitals.llm.columns import utf8
 
 
@@ -12,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_records.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_records.read_tokens(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -42,4 +48,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_exact_topk, op6_source_mixing, op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter)}
+    op1_token_records, op3_exact_topk, op6_source_mixing, op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter)}
