@@ -132,7 +132,7 @@ def _refs(batches):
         yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "doc_id": pa.array(docs, pa.int64())})
 
 
-def _probe_and_add(key, new: pa.Table, filters: pa.Table) -> pa.Table:
+def _probe_and_add(key, new, filters):
     """cogroup by shard: which keys may be known; the shard's filter with the new ones."""
     shard = key[0].as_py()
     keys = new.column("key").to_pylist()
@@ -162,14 +162,14 @@ _ADDED = "shard int, filter binary, n_keys long, full boolean"
 _ADDED_ARROW = pa.schema([("shard", pa.int32()), ("filter", pa.binary()), ("n_keys", pa.int64()), ("full", pa.bool_())])
 
 
-def _add(key, more: pa.Table, filters: pa.Table) -> pa.Table:
+def _add(key, more, filters):
     had, keys = filters.to_pylist(), more.column("key").to_pylist()
     index = CuckooFilter.load(had[0]["filter"])
     full = had[0]["full"] or not index.insert(_halves(keys))
     return pa.table({"shard": [key[0].as_py()], "filter": [index.dump()], "n_keys": [had[0]["n_keys"] + len(keys)], "full": [full]}, schema=_ADDED_ARROW)
 
 
-def _build(key, counts: pa.Table) -> pa.Table:
+def _build(key, counts):
     """A shard's filter from its exact keys."""
     keys = counts.column("key").to_pylist()
     room = len(keys)
@@ -178,7 +178,7 @@ def _build(key, counts: pa.Table) -> pa.Table:
     return pa.table({"shard": [key[0].as_py()], "filter": [index.dump()], "n_keys": [len(keys)]}, schema=_FILTERS_ARROW)
 
 
-def _take_out(key, gone: pa.Table, filters: pa.Table) -> pa.Table:
+def _take_out(key, gone, filters):
     shard, had = key[0].as_py(), filters.column("filter").to_pylist()
     if not had:
         return pa.table({"shard": [], "filter": [], "n_keys": []}, schema=_FILTERS_ARROW)

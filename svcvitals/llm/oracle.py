@@ -23,6 +23,20 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+OP5 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+c AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM g x JOIN g y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b WHERE 100 * k >= 85 * (ca.n + cb.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.b FROM r JOIN e ON e.a = r.y)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN c USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) m USING (doc_id)
+"""
+
 OP7 = r"""
 WITH low(kind, id, t) AS (
     SELECT 'd', CAST(doc_id AS VARCHAR), translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM documents
@@ -52,4 +66,4 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND keep
 FROM k LEFT JOIN r USING (key) GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op3_exact_topk": OP3, "op7_benchmark_decontamination": OP7, "op9_line_dedup": OP9, "op10_url_filter": OP10}
+ORACLE_SQL = {"op3_exact_topk": OP3, "op5_ngram_jaccard_join": OP5, "op7_benchmark_decontamination": OP7, "op9_line_dedup": OP9, "op10_url_filter": OP10}

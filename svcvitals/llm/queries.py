@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals.llm import decontaminate, line_dedup, mixing, sharding, token_records, topk_search, url_filter
+from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, sharding, token_records, topk_search, url_filter
 from svcvitals.llm.columns import utf8
 
 
@@ -22,6 +22,11 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.join_documents(_table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -48,4 +53,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_records, op3_exact_topk, op6_source_mixing, op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter)}
+    op1_token_records, op3_exact_topk, op5_ngram_jaccard_join, op6_source_mixing,
+    op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter)}
