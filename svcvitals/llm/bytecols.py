@@ -71,6 +71,21 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: i
     return mixed((sums[ends] - sums[starts]) * powers(len(sums), which, True)[starts] + (ends - starts).astype(np.uint64))
 
 
+def window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """Hashes of many short ranges data[start:end], in chunks of the data."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    order = np.argsort(starts, kind="stable") if (np.diff(starts) < 0).any() else np.arange(len(starts))
+    ranked, i = starts[order], 0
+    while i < len(order):
+        a = int(ranked[i])
+        j = int(np.searchsorted(ranked, a + CHUNK))
+        at = order[i:j]
+        sums = prefix_sums(data[a:int(ends[at].max())], which)
+        out[at] = span_hashes(sums, starts[at] - a, ends[at] - a, which)
+        i = j
+    return out
+
+
 def _cuts(data: np.ndarray, a: int, b: int, separator: np.ndarray):
     """Split data[a:b] at separators into ranges of about CHUNK bytes."""
     while b - a > CHUNK:
@@ -123,5 +138,5 @@ def ragged(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-__all__ = ["ASCII_SPACE", "LOWER", "CHUNK", "string_bytes", "row_slices", "powers", "mixed", "prefix_sums", "span_hashes",
+__all__ = ["ASCII_SPACE", "LOWER", "CHUNK", "string_bytes", "row_slices", "powers", "mixed", "prefix_sums", "span_hashes", "window_hashes",
            "words", "rows_of", "ragged"]

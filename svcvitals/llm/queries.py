@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, sharding, token_records, topk_search, url_filter
+from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, sharding, suffix_dedup, token_records, topk_search, url_filter
 from svcvitals.llm.columns import utf8
 
 
@@ -18,6 +18,13 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read_tokens(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -53,5 +60,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_records, op3_exact_topk, op5_ngram_jaccard_join, op6_source_mixing,
+    op1_token_records, op2_suffix_dedup, op3_exact_topk, op5_ngram_jaccard_join, op6_source_mixing,
     op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter)}
