@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, sharding, suffix_dedup, token_records, topk_search, url_filter
+from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, sharding, suffix_dedup, token_records, topk_search, toxicity, url_filter
 from svcvitals.llm.columns import utf8
 
 
@@ -29,6 +29,13 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(toxicity.training_rows(docs, _table(spark, sf_dir, "labels")))
+    scored = toxicity.score_documents(docs, lexicon)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngram_join.join_documents(_table(spark, sf_dir, "documents"))
     return joined.select("doc_id", "n_shingles", "component_id")
@@ -60,5 +67,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_records, op2_suffix_dedup, op3_exact_topk, op5_ngram_jaccard_join, op6_source_mixing,
+    op1_token_records, op2_suffix_dedup, op3_exact_topk, op4_toxicity, op5_ngram_jaccard_join, op6_source_mixing,
     op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter)}
