@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from svcvitals.llm.bytecols import mixed, ragged, row_slices, rows_of, string_bytes, words
 from svcvitals.llm.columns import pick
 from svcvitals.llm.components import components
-from svcvitals.llm.signature_tree import SignatureTree, Union, spanning_links
+from svcvitals.llm.signature_tree import SignatureTree, Union, connect
 from svcvitals.sources.tables import materialize
 
 N = 4
@@ -181,15 +181,14 @@ def _sets(n: int):
     def run(batches):
         for batch in batches:
             data, offsets = string_bytes(batch.column("text"))
-            cids = batch.column("cid").to_pylist()
+            cids, nodes = batch.column("cid").to_pylist(), batch.column("class_id").to_pylist()
             for i, j in row_slices(offsets):
                 grams, counts = shingles(data, offsets[i:j + 1], n)
                 digests = set_digests(grams, counts).astype("<u8")
                 ends = np.cumsum(counts)
-                rows = [(c, int(k), grams[e - k:e].astype("<u8").tobytes())
-                        for c, k, e, d in zip(cids[i:j], counts.tolist(), ends.tolist(), digests) if d.tobytes() == c]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()),
-                                                  pa.array([r[2] for r in rows], pa.binary())], names=["cid", "n", "grams"])
+                rows = [(x, grams[e - k:e].astype("<u8").tobytes())
+                        for x, c, k, e, d in zip(nodes[i:j], cids[i:j], counts.tolist(), ends.tolist(), digests) if d.tobytes() == c]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["node", "grams"])
 
     return run
 
@@ -198,23 +197,23 @@ def _deal_sets(n_buckets: int):
     """mapInArrow: stored sets -> packed blocks of whole tokens."""
 
     def run(batches):
-        part, seq, cids, sets, size = TaskContext.get().partitionId(), 0, [], [], 0
+        part, seq, nodes, sets, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def flush():
-            nonlocal seq, cids, sets, size
+            nonlocal seq, nodes, sets, size
             counts = np.array([len(s) for s in sets], dtype=np.int64)
-            made = _deal(f"{part}-{seq}", np.concatenate(sets), counts, n_buckets, (b"".join(cids), None, None), "<u8")
-            seq, cids, sets, size = seq + 1, [], [], 0
+            made = _deal(f"{part}-{seq}", np.concatenate(sets), counts, n_buckets, (np.array(nodes, "<i8").tobytes(), None, None), "<u8")
+            seq, nodes, sets, size = seq + 1, [], [], 0
             return made
 
         for batch in batches:
-            for cid, grams in zip(batch.column("cid").to_pylist(), batch.column("grams").to_pylist()):
-                cids.append(cid)
+            for node, grams in zip(batch.column("node").to_pylist(), batch.column("grams").to_pylist()):
+                nodes.append(node)
                 sets.append(np.frombuffer(grams, "<u8"))
                 size += len(sets[-1])
                 if size >= BLOCK_TOKENS:
                     yield flush()
-        if cids:
+        if nodes:
             yield flush()
 
     return run
@@ -240,35 +239,33 @@ def _prefixes(percent: int):
 
     def run(key, table):
         rows = table.to_pylist()
-        head = next(r for r in rows if r["info"])["a"]
+        nodes = np.frombuffer(next(r for r in rows if r["info"])["a"], "<i8")
         parts = [r for r in rows if not r["info"]]
         tokens = np.concatenate([np.frombuffer(r["a"], "<u8") for r in parts])
         rank = np.concatenate([np.frombuffer(r["c"], np.uint8) for r in parts])
-        doc = np.concatenate([np.repeat(np.arange(len(head) // 16), np.frombuffer(r["b"], "<u4")) for r in parts])
+        doc = np.concatenate([np.repeat(np.arange(len(nodes)), np.frombuffer(r["b"], "<u4")) for r in parts])
         order = np.lexsort((tokens, rank, doc))
         tokens, rank, doc = tokens[order], rank[order], doc[order]
-        size = np.bincount(doc, minlength=len(head) // 16)
+        size = np.bincount(doc, minlength=len(nodes))
         place = ragged(size)
         keep = (place < np.repeat(size - (-(-percent * size // 100)) + 1, size)) & (rank > 1)
-        owner = doc[keep]
-        return pa.table({"token": tokens[keep].view("<i8"), "cid": pa.array([head[16 * k:16 * k + 16] for k in owner.tolist()], pa.binary())})
+        return pa.table({"token": tokens[keep].view("<i8"), "node": nodes[doc[keep]]})
 
     return run
 
 
 # --- joining the groups --------------------------------------------------------------------
 
-_LINK = "a binary, b binary"
-_LINK_ARROW = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+_LABEL = "node long, root long"
 
 
-def _tree_order(cids: list[bytes], sets: list[np.ndarray]) -> list[int]:
+def _tree_order(nodes: list[int], sets: list[np.ndarray]) -> list[int]:
     """Similar sets side by side: by smallest token, then size."""
-    return sorted(range(len(sets)), key=lambda k: (int(sets[k][0]), len(sets[k]), cids[k]))
+    return sorted(range(len(sets)), key=lambda k: (int(sets[k][0]), len(sets[k]), nodes[k]))
 
 
 def _join_tile(percent: int):
-    """One tile (or bundle of small groups): links that connect its classes.
+    """One tile (or bundle of small groups): each class with the smallest it is connected to.
 
     Rows with side 0 are joined with each other and with side 1; rows of side 1 are not
     joined among themselves (another tile does that). ``label`` marks what is connected.
@@ -283,59 +280,73 @@ def _join_tile(percent: int):
             sides = ([], [])
             for r in rows:
                 sides[r["side"]].append(r)
-            nodes, trees = [], []
+            nodes, labels, trees = [], [], []
             for side in sides:
                 sets = [np.frombuffer(r["grams"], "<u8") for r in side]
-                order = _tree_order([r["cid"] for r in side], sets)
-                nodes += [side[k] for k in order]
+                order = _tree_order([r["node"] for r in side], sets)
+                nodes += [side[k]["node"] for k in order]
+                labels += [side[k]["label"] for k in order]
                 trees.append(SignatureTree([sets[k] for k in order]))
             union, seen = Union(len(nodes)), {}
-            for k, r in enumerate(nodes):
-                union.join(k, seen.setdefault(r["label"], k))
+            for k, label in enumerate(labels):
+                union.join(k, seen.setdefault(label, k))
             own = len(trees[0].sets)
-            links = spanning_links(trees[0], trees[0], union, 0, 0, percent) if own else []
+            if own:
+                connect(trees[0], trees[0], union, 0, 0, percent)
             if own and trees[1].sets:
-                links += spanning_links(trees[0], trees[1], union, 0, own, percent)
-            found += [(nodes[x]["cid"], nodes[y]["cid"]) for x, y in links]
-        return pa.table([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], schema=_LINK_ARROW)
+                connect(trees[0], trees[1], union, 0, own, percent)
+            least: dict = {}
+            roots = union.roots().tolist()
+            for node, root in zip(nodes, roots):
+                least[root] = min(node, least.get(root, node))
+            found += [(node, least[root]) for node, root in zip(nodes, roots)]
+        return pa.table({"node": pa.array([f[0] for f in found], pa.int64()), "root": pa.array([f[1] for f in found], pa.int64())})
 
     return run
 
 
-def _links(sets: DataFrame, coarse: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Links that connect the classes of each coarse group as all its links would.
+def _labels(sets: DataFrame, coarse: DataFrame, percent: int, tile: int) -> DataFrame:
+    """node, component of the classes in coarse groups.
 
-    sets: cid, grams; coarse: node, component.
+    sets: node, grams; coarse: node, component.
     """
-    sizes = coarse.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    total = coarse.count()
-    rows = sets.join(coarse.select(F.col("node").alias("cid"), F.col("component").alias("grp")), "cid").join(
-        sizes.withColumnRenamed("component", "grp"), "grp")
-    rows = materialize(rows.select("cid", "grp", "members", "grams", F.ceil(F.col("members") / tile).cast("int").alias("chunks")).withColumn(
-        "chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")), "join-groups")
-    # every chunk with the first; groups of one chunk are bundled
-    n_bundles = max(1, total // BUNDLE)
+    sizes = coarse.groupBy("component").agg(F.count(F.lit(1)).alias("members")).select(
+        F.col("component").alias("grp"), F.ceil(F.col("members") / tile).cast("int").alias("chunks"))
+    rows = materialize(sets.join(coarse.withColumnRenamed("component", "grp"), "node").join(sizes, "grp").select(
+        "node", "grp", "grams", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")), "join-groups")
+    # every chunk with the first; groups of one chunk are bundled and done then
+    n_bundles = max(1, rows.count() // BUNDLE)
     small = rows.filter("chunks = 1").select(
-        F.format_string("s%d", F.pmod(F.xxhash64("grp"), F.lit(n_bundles))).alias("tile"), "grp", "cid", "grams", F.lit(0).alias("side"))
+        F.format_string("s%d", F.pmod(F.xxhash64("grp"), F.lit(n_bundles))).alias("tile"), "grp", "node", "grams", F.lit(0).alias("side"))
     large = rows.filter("chunks > 1").withColumn("to", F.when(F.col("chunk") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk")))
     large = large.select("*", F.explode("to").alias("t")).select(
-        F.concat_ws("-", F.hex("grp"), "t").alias("tile"), "grp", "cid", "grams", (F.col("t") != F.col("chunk")).cast("int").alias("side"))
-    first = materialize(small.unionByName(large).withColumn("label", F.col("cid")).groupBy("tile").applyInArrow(_join_tile(percent), _LINK), "links")
-    if not rows.filter("chunks > 1").head(1):
-        return first
-    # in large groups, classes outside the largest part meet every chunk
-    parts = components(first).withColumnsRenamed({"node": "cid", "component": "label"})
-    known = rows.filter("chunks > 1").join(parts, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        F.concat_ws("-", "grp", "t").alias("tile"), "grp", "node", "grams", (F.col("t") != F.col("chunk")).cast("int").alias("side"))
+    first = materialize(small.unionByName(large).withColumn("label", F.col("node")).groupBy("tile").applyInArrow(_join_tile(percent), _LABEL), "roots")
+    beyond = rows.filter("chunks > 1").select("node", "grp", "chunks", "chunk")
+    if not beyond.head(1):
+        return first.select("node", F.col("root").alias("component"))
+    # large groups: what the first chunk connects; then classes outside the largest part meet every chunk
+    in_large = first.join(beyond.select("node"), "node", "left_semi").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    parts = components(in_large).select("node", F.col("component").alias("label"))
+    known = materialize(beyond.join(parts, "node", "left").withColumn("label", F.coalesce("label", "node")), "large-groups")
     counts = known.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("k"))
     main = counts.groupBy("grp").agg(F.max(F.struct("k", "label"))["label"].alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"))
     main = main.filter("most < all").withColumn("pieces", F.ceil((F.col("all") - F.col("most")) / tile).cast("int"))
-    known = materialize(known.join(main, "grp").withColumn("piece", F.pmod(F.xxhash64(F.lit(1), "cid"), F.col("pieces")).cast("int")), "join-rest")
-    rest = known.filter("label <> main").select("grp", "cid", "grams", "label", F.lit(0).alias("side"), "piece",
-                                                F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"))
-    others = known.select("grp", "cid", "grams", "label", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
-                          F.col("chunk").alias("c"))
-    tiles = rest.unionByName(others).withColumn("tile", F.concat_ws("-", F.hex("grp"), "piece", "c"))
-    return first.unionByName(tiles.select("tile", "grp", "cid", "grams", "side", "label").groupBy("tile").applyInArrow(_join_tile(percent), _LINK))
+    known_sets = known.join(main, "grp").join(rows.select("node", "grams"), "node").withColumn(
+        "piece", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("pieces")).cast("int"))
+    known_sets = materialize(known_sets, "join-rest")
+    edges = known.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    if known_sets.head(1):
+        rest = known_sets.filter("label <> main").select("grp", "node", "grams", "label", F.lit(0).alias("side"), "piece",
+                                                         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"))
+        others = known_sets.select("grp", "node", "grams", "label", F.lit(1).alias("side"),
+                                   F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.col("chunk").alias("c"))
+        tiles = rest.unionByName(others).withColumn("tile", F.concat_ws("-", "grp", "piece", "c"))
+        more = tiles.select("tile", "grp", "node", "grams", "side", "label").groupBy("tile").applyInArrow(_join_tile(percent), _LABEL)
+        edges = components(edges.unionByName(more.select(F.col("node").alias("a"), F.col("root").alias("b")))).select(
+            F.col("node").alias("a"), F.col("component").alias("b"))
+    done = first.join(beyond.select("node"), "node", "left_anti").select("node", F.col("root").alias("component"))
+    return done.unionByName(edges.select(F.col("a").alias("node"), F.col("b").alias("component")))
 
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
@@ -344,8 +355,8 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Documents link when 100 * |A & B| >= percent * |A | B| over their sets of word n-grams;
     component_id is the smallest document reachable by links (itself included), class_id the
     smallest with the same set. Documents without words link with nothing. Repeated rows of
-    one id get the same row again; rows of one id with different texts are nodes of their
-    own. Rows with a null id keep null ids and link with nothing. Blocks are named by scan
+    one id get the same row again; rows of one id with different texts are classes of their
+    own, and classes with the same smallest document are one node. Rows with a null id keep null ids and link with nothing. Blocks are named by scan
     order, so ``docs`` should be read from a table rather than from an unordered shuffle.
     """
     spark = docs.sparkSession
@@ -357,17 +368,14 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = materialize(table.filter("n > 0").groupBy("cid").agg(
         F.min("doc_id").alias("class_id"), F.max("n").alias("n"), F.max("repeats").alias("repeats")), "classes")
     candidates = classes.filter(F.col("repeats") * 100 >= F.col("n") * percent).select("cid", F.col("class_id").alias("doc_id"))
-    sets = materialize(source.join(candidates, "doc_id").select("cid", "text").mapInArrow(_sets(n), "cid binary, n long, grams binary")
-                       .dropDuplicates(["cid"]), "sets")
-    shared = materialize(sets.select("cid", "grams").mapInArrow(_deal_sets(buckets), _PACKED).groupBy("bucket").applyInArrow(_count_classes, _ANSWER)
-                         .groupBy("block").applyInArrow(_prefixes(percent), "token long, cid binary"), "prefixes")
-    hubs = shared.groupBy("token").agg(F.min("cid").alias("hub"))
-    coarse = materialize(components(shared.join(hubs, "token").select(F.col("cid").alias("a"), F.col("hub").alias("b"))), "coarse")
-    linked = components(_links(sets.select("cid", "grams"), coarse, percent, tile))
-    named = linked.join(classes.select(F.col("cid").alias("node"), "class_id"), "node")
-    least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    named = named.join(least, "component").select(F.col("node").alias("cid"), "component_id")
-    of_class = classes.select("cid", "class_id").join(named, "cid", "left")
+    texts = source.join(candidates, "doc_id").select(F.col("doc_id").alias("class_id"), "cid", "text")
+    sets = materialize(texts.mapInArrow(_sets(n), "node long, grams binary").dropDuplicates(["node", "grams"]), "sets")
+    shared = materialize(sets.mapInArrow(_deal_sets(buckets), _PACKED).groupBy("bucket").applyInArrow(_count_classes, _ANSWER)
+                         .groupBy("block").applyInArrow(_prefixes(percent), "token long, node long"), "prefixes")
+    hubs = shared.groupBy("token").agg(F.min("node").alias("hub"))
+    coarse = materialize(components(shared.join(hubs, "token").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "coarse")
+    named = _labels(sets, coarse, percent, tile).groupBy("node").agg(F.min("component").alias("component_id"))
+    of_class = classes.select("cid", "class_id").join(named.withColumnRenamed("node", "class_id"), "class_id", "left")
     result = table.join(of_class, "cid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("component_id", "class_id", "doc_id").alias("component_id"))

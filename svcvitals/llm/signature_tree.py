@@ -125,10 +125,9 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def spanning_links(a: SignatureTree, b: SignatureTree, union: Union, base_a: int, base_b: int, percent: int) -> list[tuple[int, int]]:
-    """Links between documents of a and b (nodes base + position) that join what union held
-    apart. Pairs that are connected already need no test: they change no component."""
-    links = []
+def connect(a: SignatureTree, b: SignatureTree, union: Union, base_a: int, base_b: int, percent: int) -> None:
+    """Join in ``union`` (nodes: base + position) every linked pair of documents of a and b.
+    Pairs that are connected already need no test: they change no component."""
     for i, j in dual_traversal(a, b, percent):
         while len(i):
             roots = union.roots()
@@ -137,9 +136,7 @@ def spanning_links(a: SignatureTree, b: SignatureTree, union: Union, base_a: int
             for x, y in zip(i[:64].tolist(), j[:64].tolist()):
                 if union.find(x + base_a) != union.find(y + base_b) and similar(a.sets[x], b.sets[y], percent):
                     union.join(x + base_a, y + base_b)
-                    links.append((x + base_a, y + base_b))
             i, j = i[64:], j[64:]
-    return links
 
 
-__all__ = ["SignatureTree", "dual_traversal", "Union", "similar", "spanning_links"]
+__all__ = ["SignatureTree", "dual_traversal", "Union", "similar", "connect"]
