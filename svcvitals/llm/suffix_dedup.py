@@ -9,8 +9,9 @@ parse that follows. Two windows are equal if both agree.
 
 1. *Parse.* Each trigger sends a key of the bytes around it that every one of its windows
    holds, and a digest of all that its windows cover, to the key's bucket. A key that
-   occurs once has no repeated windows. Where all triggers of a key have one digest, all
-   their windows are repeated. Only the rest need a closer look (region borders).
+   occurs once has no repeated windows; a digest that occurs again has only repeated ones.
+   The rest need a closer look (borders of repeated regions), and one trigger of each
+   repeated digest whose key has others takes part in it.
 2. *Order.* In each block, the phrases before those triggers are sorted from their ends
    backwards (the suffix array of the dictionary, by suffixes that end in a trigger), the
    bytes behind them forwards (the suffix array of the parse), both with common lengths.
@@ -27,6 +28,8 @@ equal keys of a block are sent once, so a hot passage costs one entry per block.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -41,6 +44,9 @@ TRIGGER = 16
 PERIOD = 56
 REACH = 300
 BLOCK_BYTES = 4 << 20
+#: Digests of one key that a block sends, and the place of triggers with further ones.
+PER_KEY = 8
+NOT_SENT = 0xFFFFFFFF
 _U = np.uint64
 _PACKED = "bucket int, block string, info boolean, a binary, b binary, c binary, d binary"
 _PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("block", pa.string()), ("info", pa.bool_()),
@@ -191,8 +197,12 @@ def _split(n_buckets: int, bucket: np.ndarray) -> np.ndarray:
 
 
 def _send_triggers(shape: Shape, n_buckets: int):
-    """mapInArrow: texts -> per bucket the block's distinct trigger keys; per block what
-    leads from its documents' triggers to those keys."""
+    """mapInArrow: texts -> per bucket the block's distinct (key, digest) pairs; per block what
+    leads from its documents' triggers to those pairs.
+
+    Of one key a block sends PER_KEY digests at most; triggers with others stay open (code
+    2), which costs their windows a comparison and loses nothing.
+    """
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -204,20 +214,28 @@ def _send_triggers(shape: Shape, n_buckets: int):
             bucket = (key % _U(n_buckets)).astype(np.int64)
             order = np.lexsort((full, key, bucket))
             key, full, bucket = key[order], full[order], bucket[order]
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = key[1:] != key[:-1]
-            place = np.empty(len(key), dtype="<u4")
-            place[order] = np.cumsum(new) - 1
+            new_key = np.ones(len(key), dtype=bool)
+            new_key[1:] = key[1:] != key[:-1]
+            new = new_key.copy()
+            new[1:] |= full[1:] != full[:-1]
             first = np.flatnonzero(new)
-            last = np.append(first[1:], len(key)) - 1
-            state = np.where(first == last, 0, np.where(full[first] == full[last], 1, 2)).astype(np.uint8)[:len(first)]
-            sent, digest, bucket = (key[first] >> _U(32)).astype("<u4"), full[first].astype("<u8"), bucket[first]
+            pair = np.cumsum(new) - 1
+            times = np.bincount(pair, minlength=len(first))
+            of_key = np.cumsum(new_key)[first] - 1
+            nth = np.arange(len(first)) - np.searchsorted(of_key, of_key)
+            sent = nth < PER_KEY
+            more = np.bincount(of_key, minlength=int(new_key.sum()))[of_key] > PER_KEY
+            place = np.empty(len(key), dtype="<u4")
+            place[order] = np.where(sent, np.cumsum(sent) - 1, NOT_SENT)[pair]
+            at = first[sent]
+            state = ((times > 1) + 2 * more).astype(np.uint8)[sent]
+            short, digest, bucket = (key[at] >> _U(32)).astype("<u4"), full[at].astype("<u8"), bucket[at]
             k1, k2 = _keys_of(batch, i, j)
             plain = np.bincount(np.searchsorted(offsets, parse.plain(), side="right") - 1, minlength=j - i) > 0
             counts = np.bincount(parse.row, minlength=j - i).astype("<u4")
             rows = [(seq % n_buckets, block, True, k1 + k2, counts.tobytes(), place.tobytes(), plain.tobytes())]
             ends = _split(n_buckets, bucket)
-            rows += [(k, block, False, sent[a:b].tobytes(), digest[a:b].tobytes(), state[a:b].tobytes(), None)
+            rows += [(k, block, False, short[a:b].tobytes(), digest[a:b].tobytes(), state[a:b].tobytes(), None)
                      for k, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if b > a]
             yield _batch(rows)
 
@@ -225,7 +243,12 @@ def _send_triggers(shape: Shape, n_buckets: int):
 
 
 def _judge_triggers(key, table):
-    """One bucket: 0 for keys that occur once, 1 where all occurrences have one digest, else 2."""
+    """One bucket: the code of each pair sent.
+
+    0: the key occurs once. 1: the digest occurs again, so all windows are repeated. 2: the
+    digest occurs once, the key again. 3: as 1, and chosen to send its windows, because other
+    digests have the key. Digest 0 stands for triggers without windows of their own.
+    """
     out, own = [], []
     for r in table.to_pylist():
         if r["info"]:
@@ -236,12 +259,15 @@ def _judge_triggers(key, table):
         keys, digests, states = (np.concatenate([np.frombuffer(r[c], t) for r in own]) for c, t in (("a", "<u4"), ("b", "<u8"), ("c", np.uint8)))
         order = np.lexsort((digests, keys))
         k, d, s = keys[order], digests[order], states[order]
-        starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        ends = np.append(starts[1:], len(k))
-        mixed_up = (d[starts] != d[ends - 1]) | (np.maximum.reduceat(s, starts) == 2)
-        code = np.where(mixed_up, 2, np.where((ends - starts > 1) | (s[starts] > 0), 1, 0)).astype(np.uint8)
+        new_key = np.concatenate([[True], k[1:] != k[:-1]])
+        new_pair = new_key | np.concatenate([[True], d[1:] != d[:-1]])
+        key_at, pair_at = np.flatnonzero(new_key), np.flatnonzero(new_pair)
+        key_of, pair_of = np.cumsum(new_key) - 1, np.cumsum(new_pair) - 1
+        again = (np.bincount(pair_of) > 1) | (np.bitwise_or.reduceat(s & 1, pair_at) > 0)
+        various = (np.bincount(key_of[pair_at]) > 1) | (np.bitwise_or.reduceat(s & 2, key_at) > 0)
+        code = np.where(various[key_of], np.where(again[pair_of], np.where(new_pair, 3, 1), 2), again[pair_of]).astype(np.uint8)
         back = np.empty(len(k), np.uint8)
-        back[order] = np.repeat(code, ends - starts)
+        back[order] = code
         at = 0
         for r in own:
             n = len(r["c"])
@@ -255,8 +281,9 @@ def _codes_of_docs(key, table):
     rows = table.to_pylist()
     head = next(r for r in rows if r["info"])
     answers = sorted((r for r in rows if not r["info"]), key=lambda r: r["bucket"])
-    codes = np.frombuffer(b"".join(r["a"] for r in answers), np.uint8)
-    codes = codes[np.frombuffer(head["c"], "<u4")]
+    codes = np.frombuffer(b"".join(r["a"] for r in answers) + b"\x02", np.uint8)
+    place = np.frombuffer(head["c"], "<u4")
+    codes = codes[np.where(place == NOT_SENT, len(codes) - 1, place)]
     counts = np.frombuffer(head["b"], "<u4").astype(np.int64)
     keys = np.frombuffer(head["a"], "<i8").reshape(2, -1)
     plain = np.frombuffer(head["d"], bool)
@@ -265,7 +292,7 @@ def _codes_of_docs(key, table):
     for n, (a, b) in enumerate(zip((ends - counts).tolist(), ends.tolist())):
         own = codes[a:b]
         if own.any() or plain[n]:
-            out.append((int(keys[0, n]), int(keys[1, n]), own.tobytes(), bool(plain[n] or (own == 2).any())))
+            out.append((int(keys[0, n]), int(keys[1, n]), own.tobytes(), bool(plain[n] or (own >= 2).any())))
     return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.bool_()))],
                     names=["k1", "k2", "codes", "open"])
 
@@ -281,7 +308,7 @@ def _send_windows(shape: Shape, n_buckets: int):
             block = f"{part}-{seq}"
             parse = Parse(data, offsets, shape)
             codes = np.frombuffer(b"".join(batch.column("codes")[i:j].to_pylist()), np.uint8)
-            open_ = np.flatnonzero((codes == 2) & parse.first)
+            open_ = np.flatnonzero((codes >= 2) & parse.first)
             starts, classes = corpus_order(data, parse.at[open_], parse.least[open_], parse.most[open_], shape)
             # a window is out if a later trigger whose key lies in the window occurs nowhere else
             ahead = np.concatenate([[0], np.cumsum(codes == 0)])
@@ -290,20 +317,29 @@ def _send_windows(shape: Shape, n_buckets: int):
             keep = ahead[until] == ahead[np.minimum(after, until)]
             starts, classes = starts[keep], classes[keep]
             plain = parse.plain()
+            classes = np.concatenate([classes, -1 - np.arange(len(plain))])
             starts = np.concatenate([starts, plain])
-            _, first, place, times = np.unique(np.concatenate([classes, -1 - np.arange(len(plain))]), return_index=True, return_inverse=True, return_counts=True)
-            a, b = fingerprints(data, starts[first], shape.length)
-            bucket = (b.astype(np.uint64) % _U(n_buckets)).astype(np.int64)
-            order = np.lexsort((b, a, bucket))
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            a, b, bucket, times = a[order].astype("<u8"), b[order].astype("<u4"), bucket[order], (times[order] > 1).astype(np.uint8)
             by_start = np.argsort(starts, kind="stable")
-            starts, way = starts[by_start], rank[place[by_start]].astype("<u4")
+            starts, classes = starts[by_start], classes[by_start]
+            _, first, place, times = np.unique(classes, return_index=True, return_inverse=True, return_counts=True)
+            in_order = np.argsort(first)  # classes by their first window
+            number = np.empty(len(first), np.int64)
+            number[in_order] = np.arange(len(first))
+            first, times, place = first[in_order], times[in_order], number[place]
+            a, b = fingerprints(data, starts[first], shape.length)
+            bucket = (b % n_buckets).astype("<u2")
             k1, k2 = _keys_of(batch, i, j)
             rows = np.searchsorted(offsets, starts, side="right") - 1
             counts = np.bincount(rows, minlength=j - i).astype("<u4")
-            out = [(seq % n_buckets, block, True, k1 + k2, counts.tobytes(), (starts - offsets[rows]).astype("<u4").tobytes(), way.tobytes())]
+            again = np.ones(len(starts), dtype=bool)
+            again[first] = False
+            local = starts - offsets[rows]
+            new = np.flatnonzero(np.concatenate([np.ones(min(1, len(local)), bool), (np.diff(local) != 1) | (np.diff(rows) != 0)]))
+            runs = np.stack([local[new], np.diff(np.append(new, len(local)))]).astype("<u4")
+            way = struct.pack("<Q", len(first)) + bucket.tobytes() + place[again].astype("<u4").tobytes()
+            out = [(seq % n_buckets, block, True, k1 + k2, counts.tobytes(), runs.tobytes(), np.packbits(again).tobytes() + way)]
+            order = np.argsort(bucket, kind="stable")
+            a, b, times, bucket = a[order].astype("<u8"), b[order].astype("<u4"), (times[order] > 1).astype(np.uint8), bucket[order]
             ends = _split(n_buckets, bucket)
             out += [(k, block, False, a[x:y].tobytes(), b[x:y].tobytes(), times[x:y].tobytes(), None)
                     for k, (x, y) in enumerate(zip(ends[:-1], ends[1:])) if y > x]
@@ -312,6 +348,20 @@ def _send_windows(shape: Shape, n_buckets: int):
     return run
 
 
+def _way_back(packed: bytes, n: int) -> np.ndarray:
+    """For each of a block's n windows, in order, the place of its answer."""
+    size = -(-n // 8)
+    again = np.unpackbits(np.frombuffer(packed, np.uint8, size), count=n).astype(bool)
+    k = struct.unpack_from("<Q", packed, size)[0]
+    bucket = np.frombuffer(packed, "<u2", k, size + 8)
+    rank = np.empty(k, np.int64)
+    rank[np.argsort(bucket, kind="stable")] = np.arange(k)
+    number = np.empty(n, np.int64)
+    number[~again] = np.arange(k)
+    number[again] = np.frombuffer(packed, "<u4", offset=size + 8 + 2 * k)
+    return rank[number]
+
+
 def _judge_windows(key, table):
     """One bucket: which fingerprints occur more than once."""
     out, own = [], []
@@ -341,8 +391,10 @@ def _windows_of_docs(key, table):
     head = next(r for r in rows if r["info"])
     answers = sorted((r for r in rows if not r["info"]), key=lambda r: r["bucket"])
     more = np.frombuffer(b"".join(r["a"] for r in answers), np.uint8)
-    starts, way = np.frombuffer(head["c"], "<u4").astype(np.int64), np.frombuffer(head["d"], "<u4")
     counts = np.frombuffer(head["b"], "<u4").astype(np.int64)
+    first, length = np.frombuffer(head["c"], "<u4").astype(np.int64).reshape(2, -1)
+    starts = np.repeat(first, length) + ragged(length)
+    way = _way_back(head["d"], len(starts))
     keys = np.frombuffer(head["a"], "<i8").reshape(2, -1)
     ends, out = np.cumsum(counts), []
     for n, (a, b) in enumerate(zip((ends - counts).tolist(), ends.tolist())):
@@ -374,7 +426,7 @@ def _remove(shape: Shape):
                     first, last = [], []
                     if codes[i + n]:
                         own = slice(ends[n - 1] if n else 0, ends[n])
-                        sure = (np.frombuffer(codes[i + n], np.uint8) == 1) & parse.first[own]
+                        sure = (np.frombuffer(codes[i + n], np.uint8) % 2 == 1) & parse.first[own]
                         first.append((parse.at[own] - parse.most[own])[sure] - begin)
                         last.append((parse.at[own] - parse.least[own])[sure] - begin)
                     if runs[i + n]:
@@ -413,7 +465,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     shape = Shape(length, trigger, period)
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(1 << 16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("*", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("k1"), F.xxhash64("text").alias("k2"))
     codes = materialize(
