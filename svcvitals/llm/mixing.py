@@ -19,9 +19,9 @@ CAP = 2.0
 N_SEEDS = 32
 
 
-def draw(id_col: Column, seed: int) -> Column:
-    """A number in [0, 1) from the id and the seed; the same in each run."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_col), 11).cast("double") / float(1 << 53)
+def draw(id_col: Column, seed: Column) -> Column:
+    """A number in [0, 1) from the id and the (int) seed; the same in each run."""
+    return F.shiftrightunsigned(F.xxhash64(seed, id_col), 11).cast("double") / float(1 << 53)
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -52,40 +52,62 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, ca
                          F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(0.0).alias("rate"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, share: float = SHARE, cap: float = CAP, n_seeds: int = N_SEEDS) -> DataFrame:
+def _with_sources(df: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows with their source's row; null is a source too. Left to the planner: the sources'
+    table is broadcast where it is small."""
+    sources = sources.withColumnRenamed("source", "own_source")
+    return df.join(sources, F.col("source").eqNullSafe(F.col("own_source"))).drop("own_source")
+
+
+def _copies(seed: Column) -> Column:
+    """Copies of a row with doc_id and its source's rate, for a seed column."""
+    fraction = F.col("rate") - F.floor("rate")
+    return (F.floor("rate") + (draw(F.col("doc_id"), seed) < fraction).cast("long")).cast("long")
+
+
+def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, n_seeds: int = N_SEEDS) -> DataFrame:
+    """source, source_size, weight, target, rate, seed from rows (doc_id, source, size).
+
+    Of n_seeds hash seeds, each source gets the one whose draws come nearest to its target:
+    all are summed in one aggregation with map-side combine, so a hot source costs one
+    partial row per task.
+    """
+    targets = materialize(source_targets(sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")),
+                                         weights, share, cap), "mix-targets")
+    drawn = _with_sources(sized, targets).groupBy("source").agg(
+        *[F.sum(F.col("size") * _copies(F.lit(k))).alias(f"s{k}") for k in range(n_seeds)])
+    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"s{k}") - F.col("target")).alias("off"), F.lit(k).alias("seed")) for k in range(n_seeds)]))
+    seeds = _with_sources(drawn, targets).select("source", "source_size", "weight", "target", "rate", nearest["seed"].alias("seed"))
+    return materialize(seeds, "mix-plan")
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """doc_id, source, size, written once: texts are read once and never shuffled."""
+    return materialize(pick(docs, doc_id=id_col, source=source_col, text=text_col).select(
+        "doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies, taken, one row per input row.
 
-    Of n_seeds hash seeds, each source uses the one whose draws come nearest to its target:
-    all are summed in one aggregation over the sizes, with map-side combine, so a hot
-    source costs one partial row per task. Sizes are written once to the shared folder;
-    texts are read once and never shuffled. Null text: size 0. Null source: a source of its
-    own, last in order. Repeated rows draw alike. A source without words: target and rate 0.
+    Null text: size 0. Null source: a source of its own, last in order. Repeated rows draw
+    alike. A source without words: target and rate 0, so none of it is taken. Empty tables
+    give no rows. Options: weights, share, cap, n_seeds (see :func:`plan`).
     """
-    sized = materialize(pick(docs, doc_id=id_col, source=source_col, text=text_col).select(
-        F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size")), "mix-sizes")
-    targets = source_targets(sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")),
-                             weights, share, cap)
-    targets = materialize(targets, "mix-targets")
-    fraction = F.col("rate") - F.floor("rate")
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-
-    def with_targets(df: DataFrame, t: DataFrame) -> DataFrame:
-        t = t.withColumnRenamed("source", "t_source")
-        return df.join(t, same("source", "t_source")).drop("t_source")
-
-    drawn = with_targets(sized, targets).groupBy("source").agg(*[
-        F.sum(F.col("size") * (F.floor("rate") + (draw(F.col("doc_id"), k) < fraction).cast("long"))).alias(f"s{k}")
-        for k in range(n_seeds)])
-    off = with_targets(drawn, targets).select("source", F.array_min(F.array(*[
-        F.struct(F.abs(F.col(f"s{k}") - F.col("target")).alias("off"), F.lit(k).alias("seed"))
-        for k in range(n_seeds)]))["seed"].alias("seed"))
-    seeded = materialize(with_targets(off, targets), "mix-seeds")
-    chosen = F.shiftrightunsigned(F.xxhash64(F.col("seed"), F.col("doc_id")), 11).cast("double") / float(1 << 53)
-    copies = (F.floor("rate") + (chosen < fraction).cast("long")).cast("long")
-    return with_targets(sized, seeded).select(
-        "doc_id", "source", "size", "source_size", "target", "rate", copies.alias("copies"),
-        (F.col("size") * copies).alias("taken"))
-
-
-__all__ = ["draw", "source_targets", "mix", "WEIGHTS", "SHARE", "CAP", "N_SEEDS"]
+    sized = _sized(docs, id_col, text_col, source_col)
+    return _with_sources(sized, plan(sized, **options)).withColumn("copies", _copies(F.col("seed"))).select(
+        "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: the input's rows and columns, each row as often as it is taken."""
+    names = docs.columns
+    kept = [f"k{i}" for i in range(len(names))]
+    seeds = plan(_sized(docs, id_col, text_col, source_col), **options)
+    rows = docs.toDF(*kept).withColumns({"doc_id": F.col(kept[names.index(id_col)]), "source": F.col(kept[names.index(source_col)])})
+    taken = _with_sources(rows, seeds).withColumn("copies", _copies(F.col("seed"))).filter("copies > 0").select(
+        *kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    return taken.select(*[F.col(k).alias(n) for k, n in zip(kept, names)])
+
+
+__all__ = ["draw", "source_targets", "plan", "mix", "emit", "WEIGHTS", "SHARE", "CAP", "N_SEEDS"]
