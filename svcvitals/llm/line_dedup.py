@@ -235,7 +235,7 @@ class LineStore:
         counts = self._keep(counts, "counts")
         filters = probed.filter("filter IS NOT NULL").select("shard", "filter", "n_keys", "full")
         if not self.empty:  # new keys that the filter seemed to hold get their own fingerprint, so that deletion is exact
-            false = fresh.filter("maybe").select("shard", "key").join(self.counts.select("key"), "key", "left_anti")
+            false = self._keep(fresh.filter("maybe").select("shard", "key").join(self.counts.select("key"), "key", "left_anti"), "false")
             filters = self._keep(false.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(_add, _ADDED), "added")
         if filters.filter("full").head(1):  # some shard has outgrown its filter: build all anew from the exact keys
             filters = counts.groupBy("shard").applyInArrow(_build, _FILTERS)

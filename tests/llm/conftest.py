@@ -1,0 +1,17 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.fixture()
+def table(spark):
+    """Rows -> a stored table of two files, as operators read them."""
+    def make(rows, schema, files=2):
+        path = os.path.join(tempfile.mkdtemp(prefix="svcvitals-llm-"), "t.parquet")
+        spark.createDataFrame(rows, schema).repartition(files).write.parquet(path)
+        return spark.read.parquet(path)
+    return make
