@@ -27,15 +27,20 @@ def is_async_like(archetype, pattern: str = C.ASYNC_LIKE_PATTERN) -> Column:
     return _col(archetype).rlike(pattern)
 
 
-def json_scalar(c) -> Column:
+def json_scalar(c, doc=None, path: str | None = None) -> Column:
     """Keep a JSON-extracted value only when it is a scalar (objects/arrays -> NULL).
 
-    Input is a string produced by ``get_json_object`` or a string leaf of ``from_json``;
-    both return the raw text of nested objects/arrays. A string scalar whose text itself
-    starts with '{' or '[' is indistinguishable here and becomes NULL as well.
+    Input is a string produced by ``get_json_object``, ``json_tuple`` or a string leaf of
+    ``from_json``, which return the raw text of nested objects/arrays. Text that starts
+    with '{' or '[' may also be a string scalar: given the document and the value's path,
+    its JSON type decides (parsed for such rows only); without them it counts as nested.
     """
     c = _col(c)
-    return F.when(c.startswith("{") | c.startswith("["), F.lit(None).cast("string")).otherwise(c)
+    nested = c.startswith("{") | c.startswith("[")
+    if doc is not None:
+        value = F.try_variant_get(F.try_parse_json(_col(doc)), path, "variant")
+        nested = nested & ~F.coalesce(F.schema_of_variant(value) == F.lit("STRING"), F.lit(False))
+    return F.when(nested, F.lit(None).cast("string")).otherwise(c)
 
 
 def py_round(c, digits: int) -> Column:

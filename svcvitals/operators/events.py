@@ -40,12 +40,12 @@ def build_events(builds_raw: DataFrame) -> DataFrame:
     missing, ``cloud-deploy-*`` or ``trigger-*``. Service = first tag with ``::``
     replaced by ``--``.
     """
-    j = _with_payload(builds_raw, "data", S.BUILD_PAYLOAD, ["publish_time"])
+    j = _with_payload(builds_raw, "data", S.BUILD_PAYLOAD, ["publish_time", "data"])
     b = j.select(
         "publish_time",
-        json_scalar("status").alias("status"),
-        json_scalar(F.col("tags").getItem(0)).alias("_tag0"),
-        json_scalar("buildTriggerId").alias("_trigger"))
+        json_scalar("status", "data", "$.status").alias("status"),
+        json_scalar(F.col("tags").getItem(0), "data", "$.tags[0]").alias("_tag0"),
+        json_scalar("buildTriggerId", "data", "$.buildTriggerId").alias("_trigger"))
     tag = F.coalesce(F.col("_tag0"), F.lit(""))
     keep = (~F.coalesce(F.col("_trigger"), F.lit("")).startswith(C.BUILD_EXCLUDED_TRIGGER_PREFIX)
             & (tag != ""))
@@ -69,13 +69,13 @@ def deploy_events(deploys_raw: DataFrame) -> DataFrame:
     Output keeps ``target_id`` for :func:`expand_targets`. Only the exact action
     ``Succeed`` is renamed ``SUCCEEDED``; other actions are upper-cased.
     """
-    j = _with_fields(deploys_raw, "attributes", [f.name for f in S.DEPLOY_PAYLOAD.fields], ["publish_time"])
+    j = _with_fields(deploys_raw, "attributes", [f.name for f in S.DEPLOY_PAYLOAD.fields], ["publish_time", "attributes"])
     d = j.select(
         "publish_time",
-        json_scalar("Action").alias("_action"),
-        json_scalar("TargetId").alias("target_id"),
-        json_scalar("ResourceType").alias("_rtype"),
-        json_scalar("RollbackOfRollout").alias("_rollback_of"))
+        json_scalar("Action", "attributes", "$.Action").alias("_action"),
+        json_scalar("TargetId", "attributes", "$.TargetId").alias("target_id"),
+        json_scalar("ResourceType", "attributes", "$.ResourceType").alias("_rtype"),
+        json_scalar("RollbackOfRollout", "attributes", "$.RollbackOfRollout").alias("_rollback_of"))
     action_u = F.upper(F.col("_action"))
     rollback = F.col("_rollback_of").isNotNull()
     return (d.filter((F.col("_rtype") == C.DEPLOY_RESOURCE_TYPE) & action_u.isin(C.DEPLOY_ACTIONS_KEPT))

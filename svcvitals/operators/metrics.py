@@ -13,9 +13,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from svcvitals import config as C
+from svcvitals import config as C, schemas as S
 from svcvitals.functions.columns import py_round
-from svcvitals.operators.quantiles import choose_method, exact_percentiles
+from svcvitals.operators.quantiles import exact_percentiles
 
 COUNTS, LATENCY = "counts", "latency"
 
@@ -45,10 +45,10 @@ def attach_sources(points: DataFrame, sources=None, kind: str | None = None) ->
     """Keep points of registered metric types (of one ``kind`` if given) and attach
     source attributes.
 
-    The registry is configuration (two rows per source), so broadcasting it is bounded
-    by the configuration, not by the data. When the metric types are known literals,
-    they are also applied as an IN filter that reaches the points scan (row groups of
-    other metric types are skipped).
+    A registry made from the configuration has two rows per source and is broadcast; how a
+    caller's own registry is joined is left to the planner. When the metric types are
+    known literals, they are also applied as an IN filter that reaches the points scan
+    (row groups of other metric types are skipped).
     """
     reg, types = _registry(points.sparkSession, sources)
     if kind is not None:
@@ -56,7 +56,8 @@ def attach_sources(points: DataFrame, sources=None, kind: str | None = None) ->
     if types is not None:
         wanted = types[kind] if kind is not None else types[COUNTS] + types[LATENCY]
         points = points.filter(F.col("metric_type").isin(wanted))
-    return (points.join(F.broadcast(reg), "metric_type", "inner")
+        reg = F.broadcast(reg)
+    return (points.join(reg, "metric_type", "inner")
             .withColumn("label", F.try_element_at(F.col("resource_labels"), F.col("service_label"))))
 
 
@@ -70,17 +71,21 @@ def _day_start(d) -> Column:
 def day_slice(points: DataFrame, first_day, last_day=None, ts_col: str = "ts") -> DataFrame:
     """Points with ``first_day 00:00 <= ts < (last_day + 1) 00:00`` (UTC), plus ``day``.
 
-    Bounds are literals, so the range reaches the Parquet scan as a pushed filter (and
-    prunes date partitions when the points table is partitioned by day).
+    Bounds are literals, so the range reaches the Parquet scan as a pushed filter. A points
+    table stored by ``day`` (``sources.tables.write_points``) is also filtered on that
+    column, so only the folders of those days are read.
     """
     last_day = first_day if last_day is None else last_day
     if isinstance(last_day, Column):
-        end = F.date_add(last_day.cast("date"), 1).cast("timestamp")
+        last, end = last_day.cast("date"), F.date_add(last_day.cast("date"), 1).cast("timestamp")
     else:
+        last = F.lit(str(_as_date(last_day))).cast("date")
         end = F.lit(str(_as_date(last_day) + dt.timedelta(days=1))).cast("date").cast("timestamp")
     ts = F.col(ts_col)
-    return (points.filter((ts >= _day_start(first_day)) & (ts < end))
-            .withColumn("day", F.to_date(ts)))
+    sliced = points.filter((ts >= _day_start(first_day)) & (ts < end))
+    if "day" in points.columns:
+        return sliced.filter((F.col("day") >= _day_start(first_day).cast("date")) & (F.col("day") <= last))
+    return sliced.withColumn("day", F.to_date(ts))
 
 
 def _as_date(d) -> dt.date:
@@ -177,71 +182,56 @@ def daily_service_counts(points: DataFrame, sources=None) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M6
-def _series_key_cols() -> list[Column]:
-    # A series is its metric type plus both label sets; entries are sorted so the key
-    # does not depend on map order. Arrays of structs are valid grouping keys.
-    return [F.col("metric_type"),
-            F.array_sort(F.map_entries(F.coalesce(F.col("resource_labels"), F.create_map()))).alias("_rl"),
-            F.array_sort(F.map_entries(F.coalesce(F.col("metric_labels"), F.create_map()))).alias("_ml")]
+def _series_key() -> Column:
+    """128-bit digest of what makes a series: its metric type and both label sets. Entries
+    are sorted, so that map order does not matter; the digest is what is shuffled."""
+    parts = [F.col("metric_type")] + [F.array_sort(F.map_entries(F.coalesce(F.col(c), F.create_map())))
+                                      for c in ("resource_labels", "metric_labels")]
+    return F.struct(F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit("series"), *parts).alias("h2"))
 
 
-def _pct(col: str, p, method: str, accuracy: int) -> Column:
-    if method in ("exact", "builtin"):
-        return F.percentile(col, p)
-    if method == "approx":
-        return F.percentile_approx(col, p, accuracy)
-    raise ValueError(f"unknown percentile method {method!r}")
-
-
-SERIES_KEYS = ["day", "service_name", "prefix", "label", "metric_type", "_rl", "_ml"]
+SERIES_KEYS = ["day", "service_name", "prefix", "label", "_series"]
 
 
 def daily_latency_percentiles(points: DataFrame, sources=None,
                               percentiles: dict[str, float] | None = None,
-                              method: str = "exact", accuracy: int = 10000,
-                              max_distinct: int = 100_000) -> DataFrame:
+                              method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Daily latency percentiles per service: align (percentile per series and day),
     then reduce (same percentile across the service's series), then scale to ms.
 
     ``percentiles`` maps output column -> p, default p50 and p95; all are computed in
-    the same passes. Methods (all but ``approx`` give identical, exact results):
-
-    - ``exact`` (default): linear interpolation between closest ranks with bounded
-      per-task memory. A cheap pre-check (one job of count aggregates) finds the largest
-      group at each level; a level whose groups all hold at most ``max_distinct`` rows
-      runs Spark's single-pass ``percentile`` (buffer bounded by that check); otherwise the level runs the range-refinement selection of
-      :func:`svcvitals.operators.quantiles.exact_percentiles`, which never holds a hot
-      series-day in one task.
-    - ``builtin``: Spark's ``percentile`` without the check (buffer = a group's distinct
-      values).
+    the same passes. With none (``{}``) only the services seen are returned. Methods:
+
+    - ``exact`` (default): linear interpolation between closest ranks by
+      :func:`svcvitals.operators.quantiles.exact_percentiles`, which splits a hot
+      series-day over many tasks. Each of the two levels writes its distinct values once.
+    - ``builtin``: Spark's ``percentile``, the same results; one task holds a group's
+      distinct values.
     - ``approx``: ``percentile_approx`` (fixed-size mergeable sketch per group).
     """
-    percentiles = percentiles or {"latency_p50": 0.5, "latency_p95": 0.95}
+    percentiles = {"latency_p50": 0.5, "latency_p95": 0.95} if percentiles is None else percentiles
     names = list(percentiles)
     p = service_key(with_day(attach_sources(points, sources, LATENCY)))
-    p = p.select("day", "service_name", "prefix", "label", "latency_scale", "double_value", *_series_key_cols())
-    series_small = upper_small = method != "exact"
-    if method == "exact":
-        series_small, upper_small = choose_method(p, SERIES_KEYS, "double_value", ["day", "service_name"],
-                                                  max_distinct)
+    if not percentiles:
+        return (p.groupBy("day", "service_name", "prefix", "label").agg(F.count(F.lit(1)))
+                .groupBy("day", "service_name").agg(F.max("prefix").alias("prefix"), F.max("label").alias("label")))
+    p = p.select("day", "service_name", "prefix", "label", "latency_scale", "double_value", _series_key().alias("_series"))
     scale = [F.max("latency_scale").alias("latency_scale")]
-    if series_small:
-        per_series = (p.groupBy(*SERIES_KEYS)
-                      .agg(*scale, *[_pct("double_value", q, method, accuracy).alias(f"_s_{n}")
-                                     for n, q in percentiles.items()]))
-    else:
-        per_series = exact_percentiles(p, SERIES_KEYS, "double_value",
-                                       {f"_s_{n}": q for n, q in percentiles.items()}, max_distinct, extra=scale)
-    if upper_small:
+    if method != "exact":
+        if method not in ("builtin", "approx"):
+            raise ValueError(f"unknown percentile method {method!r}")
+
+        def pct(col, q):
+            return F.percentile(col, q) if method == "builtin" else F.percentile_approx(col, q, accuracy)
+        per_series = p.groupBy(*SERIES_KEYS).agg(*scale, *[pct("double_value", q).alias(f"_s_{n}") for n, q in percentiles.items()])
         return (per_series.groupBy("day", "service_name")
                 .agg(F.max("prefix").alias("prefix"), F.max("label").alias("label"),
-                     *[(_pct(f"_s_{n}", q, method, accuracy) * F.max("latency_scale")).alias(n)
-                       for n, q in percentiles.items()]))
+                     *[(pct(f"_s_{n}", q) * F.max("latency_scale")).alias(n) for n, q in percentiles.items()]))
+    per_series = exact_percentiles(p, SERIES_KEYS, "double_value", {f"_s_{n}": q for n, q in percentiles.items()}, extra=scale)
     # one row per (series, percentile name): each name is reduced over its own values
     long = per_series.select("day", "service_name", "prefix", "label", "latency_scale", F.inline(F.array(
         *[F.struct(F.lit(n).alias("_q"), F.col(f"_s_{n}").alias("_sv")) for n in names])))
-    across = exact_percentiles(long, ["day", "service_name", "prefix", "label", "_q"], "_sv",
-                               percentiles, max_distinct, extra=scale)
+    across = exact_percentiles(long, ["day", "service_name", "prefix", "label", "_q"], "_sv", percentiles, extra=scale)
     return (across.groupBy("day", "service_name")
             .agg(F.max("prefix").alias("prefix"), F.max("label").alias("label"),
                  *[F.max(F.when(F.col("_q") == n, F.col(n) * F.col("latency_scale"))).alias(n)
@@ -249,11 +239,10 @@ def daily_latency_percentiles(points: DataFrame, sources=None,
 
 
 def daily_latency_percentile(points: DataFrame, sources, p: float,
-                             name: str | None = None, method: str = "exact",
-                             max_distinct: int = 100_000) -> DataFrame:
+                             name: str | None = None, method: str = "exact") -> DataFrame:
     """Single-percentile form of :func:`daily_latency_percentiles`."""
     name = name or f"latency_p{int(round(p * 100))}"
-    return daily_latency_percentiles(points, sources, {name: p}, method=method, max_distinct=max_distinct)
+    return daily_latency_percentiles(points, sources, {name: p}, method=method)
 
 
 # --------------------------------------------------------------------------- M7
@@ -279,24 +268,23 @@ def merge_counts_latency(counts: DataFrame, latencies: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M8
-def project_attribution(df: DataFrame, mode: str = "label") -> DataFrame:
-    """Resolve ``project_id``.
+def host_projects(counts: DataFrame) -> DataFrame:
+    """Daily counts with the backfill's project rule: for endpoint services whose label
+    holds ``.endpoints.``, the project is the text between ``.endpoints.`` and
+    ``.cloud.goog`` (none when that text is empty); other services keep their label's.
 
-    ``label``: the project label seen on the counts (greatest non-empty stands in for
-    "last seen"), else ``unknown``. ``host``: for endpoint services whose label holds
-    ``.endpoints.``, the project is the text between ``.endpoints.`` and ``.cloud.goog``
-    (no project when that text is empty); other services as in ``label`` mode.
+    Applied to the counts, before the merge: a service seen only by its latencies gets no
+    project from its host.
     """
-    label_pid = F.col("project_id")
-    if mode == "label":
-        pid = label_pid
-    elif mode == "host":
-        host_rule = (F.col("prefix") == C.ENDPOINTS_PREFIX) & F.col("label").contains(".endpoints.")
-        host_pid = F.substring_index(F.split(F.col("label"), r"\.endpoints\.").getItem(1), ".cloud.goog", 1)
-        pid = F.when(host_rule, F.when(host_pid != "", host_pid)).otherwise(label_pid)
-    else:
-        raise ValueError(f"unknown attribution mode {mode!r}")
-    return df.withColumn("project_id", F.coalesce(pid, F.lit(C.UNKNOWN_PROJECT)))
+    host_rule = (F.col("prefix") == C.ENDPOINTS_PREFIX) & F.col("label").contains(".endpoints.")
+    host_pid = F.substring_index(F.split(F.col("label"), r"\.endpoints\.").getItem(1), ".cloud.goog", 1)
+    return counts.withColumn("project_id", F.when(host_rule, F.when(host_pid != "", host_pid)).otherwise(F.col("project_id")))
+
+
+def project_attribution(merged: DataFrame) -> DataFrame:
+    """Resolve ``project_id``: the project the counts gave (greatest non-empty label stands
+    in for "last seen", or :func:`host_projects`), else ``unknown``."""
+    return merged.withColumn("project_id", F.coalesce("project_id", F.lit(C.UNKNOWN_PROJECT)))
 
 
 # --------------------------------------------------------------------------- M10
@@ -308,8 +296,8 @@ def stored_availability(df: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M9
-def _stored_latency(c: str) -> Column:
-    v = F.col(c)
+def _stored_latency(df: DataFrame, c: str) -> Column:
+    v = F.col(c) if c in df.columns else F.lit(None).cast("double")
     return F.when(v.isNull() | (v == 0), F.lit(None).cast("double")).otherwise(py_round(v, 2))
 
 
@@ -332,16 +320,18 @@ def raw_metrics_rows(df: DataFrame, ingested_at, archetype: str = C.DEFAULT_ARCH
         avail.alias("availability_ratio"),
         "total_requests", "error_5xx_requests", "error_4xx_requests",
         (e5 + e4).alias("total_errors"),
-        _stored_latency("latency_p50").alias("latency_p50_ms"),
-        _stored_latency("latency_p95").alias("latency_p95_ms"),
+        _stored_latency(df, "latency_p50").alias("latency_p50_ms"),
+        _stored_latency(df, "latency_p95").alias("latency_p95_ms"),
     )
 
 
 # --------------------------------------------------------------------------- M11 / M12
-def _daily_rollup(points: DataFrame, sources, mode: str, method: str) -> DataFrame:
+def _daily_rollup(points: DataFrame, sources, mode: str, method: str, latency: bool = True) -> DataFrame:
     counts = daily_service_counts(points, sources)
-    lat = daily_latency_percentiles(points, sources, method=method)
-    return project_attribution(merge_counts_latency(counts, lat), mode)
+    if mode == "host":
+        counts = host_projects(counts)
+    lat = daily_latency_percentiles(points, sources, None if latency else {}, method=method)
+    return project_attribution(merge_counts_latency(counts, lat))
 
 
 def ingest_day(points: DataFrame, sources, as_of, ingested_at=None,
@@ -354,10 +344,11 @@ def ingest_day(points: DataFrame, sources, as_of, ingested_at=None,
 
 
 def backfill(points: DataFrame, sources, as_of, start_days_ago: int = 1,
-             end_days_ago: int = 51, ingested_at=None, method: str = "exact") -> DataFrame:
+             end_days_ago: int = 51, ingested_at=None, method: str = "exact",
+             latency: bool = True) -> DataFrame:
     """Every day from ``as_of - end_days_ago`` to ``as_of - start_days_ago`` inclusive,
-    in one job (one scan, grouped by day), with host project attribution and the stored
-    availability ratio."""
+    grouped by day, with host project attribution and the stored availability ratio.
+    Without ``latency`` the same rows come with NULL latencies and no percentile is computed."""
     if isinstance(as_of, Column):
         first, last = F.date_sub(as_of, end_days_ago), F.date_sub(as_of, start_days_ago)
     else:
@@ -365,13 +356,23 @@ def backfill(points: DataFrame, sources, as_of, start_days_ago: int = 1,
         last = _as_date(as_of) - dt.timedelta(days=start_days_ago)
     sliced = day_slice(points, first, last)
     ingested_at = F.current_timestamp() if ingested_at is None else ingested_at
-    rolled = stored_availability(_daily_rollup(sliced, sources, "host", method))
+    rolled = stored_availability(_daily_rollup(sliced, sources, "host", method, latency))
     return raw_metrics_rows(rolled, ingested_at)
 
 
+REQUIRED = ("timestamp", "target_date", "service_name")
+
+
 def append_raw_metrics(rows: DataFrame, path: str) -> None:
     """Append rows to the raw_metrics table, partitioned by ``target_date``.
 
-    Re-running a day appends its rows again (the stored table keeps duplicates).
+    The rows' columns and types must be those of ``schemas.RAW_METRICS``, and a NULL in a
+    required column fails the write. Re-running a day appends its rows again (the stored
+    table keeps duplicates).
     """
-    rows.write.mode("append").partitionBy("target_date").parquet(path)
+    want = {f.name: f.dataType for f in S.RAW_METRICS.fields}
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    if want != have:
+        raise ValueError(f"raw_metrics rows do not fit the table: {sorted(set(want.items()) ^ set(have.items()), key=str)}")
+    checked = [F.coalesce(c, F.raise_error(F.lit(f"raw_metrics.{c} is required"))).alias(c) if c in REQUIRED else F.col(c) for c in want]
+    rows.select(*checked).write.mode("append").partitionBy("target_date").parquet(path)

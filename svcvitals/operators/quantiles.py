@@ -4,30 +4,18 @@ Definition (the same as Spark's ``percentile``): for a group of n values sorted
 x[0..n-1], pos = (n - 1) * p, lo = floor(pos), hi = ceil(pos); the result is x[lo] when
 lo == hi or x[lo] == x[hi], else (hi - pos) * x[lo] + (pos - lo) * x[hi].
 
-Plan:
+One plan for every size:
 
 1. Values are reduced to distinct (group, value, weight) rows. The shuffle is keyed on
    (group, value), so a hot group spreads over every reducer, and map-side combining
    collapses repeated values before the shuffle.
-2. Groups with at most ``max_distinct`` distinct values are finished with the built-in
-   weighted ``percentile``; its per-group buffer holds at most ``max_distinct`` entries.
-3. Larger groups locate each target rank by range refinement: the target's candidate
-   range [a, b] is cut into ``buckets`` equal-width buckets, each bucket's weight, distinct
-   count and min/max are aggregated (at most ``buckets`` rows per target), a window over
-   those rows finds the bucket holding the rank, and that bucket's [min, max] becomes the
-   next range. Bucketing is monotone in the value, so the values inside [min, max] are
-   exactly that bucket's values. Every level leaves strictly fewer distinct values and a
-   range about ``buckets`` times narrower; once a range holds at most ``max_distinct``
-   distinct values (or a single value), a window over those values reads off the rank.
-
-Per-task memory is bounded by ``buckets`` and ``max_distinct`` whatever the group size.
-The driver runs only the level loop (one small emptiness check per level, no data); the
-per-level state (one row per big group and target rank) is written to the shared
-checkpoint folder, which also cuts the lineage between levels.
-
-:func:`choose_method` is the cheap pre-check used by the roll-up: when no group holds
-more than ``max_distinct`` rows, Spark's single-pass ``percentile`` is already bounded and
-is used instead.
+2. These rows are range-partitioned on (group, value) and written once to the shared
+   folder with the number of their range. A hot group spans many ranges, small groups
+   share one; the input is scanned once.
+3. Weights are summed per (group, range) and prefix-summed over a group's ranges: a few
+   rows per group, which give every range its first rank.
+4. Within each (group, range), at most one range's rows, a running sum gives each value
+   its ranks, and the values that hold a wanted rank are kept: two per percentile.
 """
 
 from __future__ import annotations
@@ -39,121 +27,49 @@ from svcvitals.sources.tables import materialize
 G = "_g"
 
 
-def _targets(st: DataFrame, percentiles: dict[str, float]) -> DataFrame:
-    """One row per (group, target rank): tid 2i / 2i+1 = lower / upper rank of p_i."""
-    items = []
-    for i, (_, p) in enumerate(percentiles.items()):
-        pos = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(p))
-        items.append(F.struct(F.lit(2 * i).alias("tid"), F.floor(pos).cast("long").alias("need")))
-        items.append(F.struct(F.lit(2 * i + 1).alias("tid"), F.ceil(pos).cast("long").alias("need")))
-    return (st.select(G, "_lo", "_hi", "_d", F.inline(F.array(*items)))
-            .select(G, "tid", "need", F.col("_lo").alias("a"), F.col("_hi").alias("b"), F.col("_d").alias("d")))
-
-
-def _refine(values: DataFrame, state: DataFrame, buckets: int) -> DataFrame:
-    """One level: narrow every target's range to the bucket that holds its rank."""
-    cand = (values.join(state, G)
-            .filter((F.col("_v") >= F.col("a")) & (F.col("_v") <= F.col("b"))))
-    width = F.col("b") - F.col("a")
-    bucket = F.least(F.lit(buckets - 1),
-                     F.floor((F.col("_v") - F.col("a")) / width * F.lit(float(buckets))).cast("long"))
-    h = (cand.withColumn("_bucket", bucket)
-         .groupBy(G, "tid", "need", "_bucket")
-         .agg(F.sum("_w").alias("c"), F.count(F.lit(1)).alias("d"),
-              F.min("_v").alias("a"), F.max("_v").alias("b")))
-    w = Window.partitionBy(G, "tid").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("c").over(w), F.lit(0))
-    return (h.withColumn("_before", before)
-            .filter((F.col("_before") <= F.col("need")) & (F.col("need") < F.col("_before") + F.col("c")))
-            .select(G, "tid", (F.col("need") - F.col("_before")).alias("need"), "a", "b", "d"))
-
-
-def _rank_in_range(values: DataFrame, state: DataFrame) -> DataFrame:
-    """Value at rank ``need`` among the values in [a, b] (at most max_distinct of them)."""
-    cand = (values.join(state, G)
-            .filter((F.col("_v") >= F.col("a")) & (F.col("_v") <= F.col("b"))))
-    w = Window.partitionBy(G, "tid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_w").over(w), F.lit(0))
-    return (cand.withColumn("_before", before)
-            .filter((F.col("_before") <= F.col("need")) & (F.col("need") < F.col("_before") + F.col("_w")))
-            .select(G, "tid", F.col("_v").alias("x")))
-
-
-def _select_big(values: DataFrame, st_big: DataFrame, percentiles: dict[str, float],
-                max_distinct: int, buckets: int, max_levels: int) -> DataFrame:
-    state = materialize(_targets(st_big, percentiles), "quantile-state")
-    done = []
-    for _ in range(max_levels):
-        small = (F.col("d") <= max_distinct) | (F.col("a") == F.col("b"))
-        done.append(state.filter(small))
-        open_ = state.filter(~small)
-        if open_.isEmpty():
-            break
-        state = materialize(_refine(values, open_, buckets), "quantile-state")
-    else:
-        done.append(state)
-    resolved = done[0]
-    for d in done[1:]:
-        resolved = resolved.unionByName(d)
-    single = resolved.filter(F.col("a") == F.col("b")).select(G, "tid", F.col("a").alias("x"))
-    ranked = _rank_in_range(values, resolved.filter(F.col("a") != F.col("b")))
-    picked = single.unionByName(ranked)
-    # interpolate between the lower / upper rank values of each percentile
-    out = (picked.groupBy(G).agg(*[F.max(F.when(F.col("tid") == k, F.col("x"))).alias(f"_x{k}")
-                                   for k in range(2 * len(percentiles))])
-           .join(st_big.select(G, "_n"), G))
-    cols = []
-    for i, (name, p) in enumerate(percentiles.items()):
+def _positions(percentiles: dict[str, float]) -> list[tuple[str, Column, Column, Column]]:
+    """(name, pos, lower rank, upper rank) of each percentile, from the group's total ``_n``."""
+    out = []
+    for name, p in percentiles.items():
         pos = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
-        xl, xh = F.col(f"_x{2 * i}"), F.col(f"_x{2 * i + 1}")
-        cols.append(F.when((hi == lo) | (xl == xh), xl)
-                    .otherwise((hi.cast("double") - pos) * xl + (pos - lo.cast("double")) * xh).alias(name))
-    return out.select(G, *cols)
+        out.append((name, pos, F.floor(pos).cast("long"), F.ceil(pos).cast("long")))
+    return out
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, percentiles: dict[str, float],
-                      max_distinct: int = 100_000, buckets: int = 4096, max_levels: int = 64,
                       extra: list[Column] | None = None) -> DataFrame:
     """Per group of ``keys``: one column per ``percentiles`` item (name -> p), NULL
     values ignored, groups whose values are all NULL give NULL. ``extra`` aggregate
     columns (fixed-width, e.g. ``F.max('scale')``) are computed per group alongside.
     """
-    gkey = F.struct(*[F.col(k) for k in keys]).alias(G)
-    vc = (df.groupBy(gkey, F.col(value).alias("_v"))
-          .agg(F.count(F.lit(1)).alias("_w"), *(extra or [])))
-    extra_names = [c for c in vc.columns if c not in (G, "_v", "_w")]
-    st = vc.groupBy(G).agg(
-        F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_w"))), F.lit(0)).alias("_n"),
-        F.count("_v").alias("_d"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-        *[F.max(c).alias(c) for c in extra_names])
-    values = vc.filter(F.col("_v").isNotNull()).select(G, "_v", "_w")
-
-    small_st = st.filter(F.col("_d") <= max_distinct)
-    small = (small_st.select(G, *extra_names).join(values, G, "left")
-             .groupBy(G).agg(*[F.max(c).alias(c) for c in extra_names],
-                             *[F.percentile("_v", float(p), F.col("_w")).alias(name)
-                               for name, p in percentiles.items()]))
-    big_st = materialize(st.filter(F.col("_d") > max_distinct), "quantile-groups")
-    out = small
-    if not big_st.isEmpty():
-        big = (_select_big(values, big_st, percentiles, max_distinct, buckets, max_levels)
-               .join(big_st.select(G, *extra_names), G))
-        out = small.unionByName(big)
-    return out.select(*[F.col(f"{G}.{k}").alias(k) for k in keys], *extra_names, *percentiles)
-
-
-def choose_method(df: DataFrame, group_keys: list[str], value: str, upper_keys: list[str],
-                  max_distinct: int = 100_000) -> tuple[bool, bool]:
-    """Cheap pre-check for a two-level roll-up (groups, then ``upper_keys`` groups of
-    group results; ``upper_keys`` is a subset of ``group_keys``): are both levels small
-    enough for the single-pass ``percentile``?
-
-    One job of hash aggregates with 8-byte buffers: rows per group (an upper bound of its
-    distinct values) and groups per upper group. Returns (groups_small, upper_groups_small).
-    """
-    per_group = df.filter(F.col(value).isNotNull()).groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_c"))
-    per_upper = per_group.groupBy(*upper_keys).agg(F.max("_c").alias("_cmax"), F.count(F.lit(1)).alias("_k"))
-    row = per_upper.agg(F.max("_cmax").alias("c"), F.max("_k").alias("k")).first()
-    c, k = (row["c"] or 0), (row["k"] or 0)
-    return c <= max_distinct, k <= max_distinct
+    distinct = (df.withColumns({G: F.struct(*[F.col(k) for k in keys]), "_v": F.col(value)}).groupBy(G, "_v")
+                .agg(F.count("_v").alias("_w"), *(extra or [])))
+    extra_names = [c for c in distinct.columns if c not in (G, "_v", "_w")]
+    ranged = materialize(distinct.repartitionByRange(G, "_v").withColumn("_range", F.spark_partition_id()), "quantile-ranges")
+
+    sums = ranged.groupBy(G, "_range").agg(F.sum("_w").alias("_c"), *[F.max(c).alias(c) for c in extra_names])
+    group = Window.partitionBy(G)
+    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(G, "_range", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_offset"),
+                          F.sum("_c").over(group).alias("_n"), *[F.max(c).over(group).alias(c) for c in extra_names])
+
+    within = Window.partitionBy(G, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = (ranged.select(G, "_range", "_v", "_w", F.sum("_w").over(within).alias("_upto"))
+             .join(offsets, [G, "_range"])
+             .select(G, "_v", "_n", *extra_names, (F.col("_offset") + F.col("_upto")).alias("_end"),
+                     (F.col("_offset") + F.col("_upto") - F.col("_w")).alias("_begin")))
+    wanted = _positions(percentiles)
+    holds = {(name, side): (F.col("_begin") <= rank) & (rank < F.col("_end"))
+             for name, _, lo, hi in wanted for side, rank in (("lo", lo), ("hi", hi))}
+    needed = F.lit(False)
+    for h in holds.values():
+        needed = needed | h
+    picked = (ranks.filter(needed | (F.col("_n") == 0)).groupBy(G)
+              .agg(F.max("_n").alias("_n"), *[F.max(c).alias(c) for c in extra_names],
+                   *[F.max(F.when(h, F.col("_v"))).alias(f"_{side}_{name}") for (name, side), h in holds.items()]))
+    cols = []
+    for name, pos, lo, hi in wanted:
+        xl, xh = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        cols.append(F.when((hi == lo) | (xl == xh), xl)
+                    .otherwise((hi.cast("double") - pos) * xl + (pos - lo.cast("double")) * xh).alias(name))
+    return picked.select(*[F.col(f"{G}.{k}").alias(k) for k in keys], *extra_names, *cols)

@@ -132,19 +132,6 @@ def deployment_base_metrics(perf: DataFrame, events: DataFrame, as_of=None,
     return _finish_base(joined, as_of, epoch, k)
 
 
-def deployment_base_metrics_naive(perf: DataFrame, events: DataFrame, as_of=None,
-                                  epoch=C.DEFAULT_EPOCH) -> DataFrame:
-    """The literal form: every perf row left-joined to every windowed event of its
-    service, then grouped. Rows grow as perf rows x events; kept for tests only."""
-    r = perf.select("service_name", "archetype").alias("r")
-    d = _window_events(events, as_of).alias("d")
-    j = r.join(d, F.col("r.service_name") == F.col("d.service_name"), "left").select(
-        F.col("r.service_name").alias("service_name"), F.col("r.archetype").alias("archetype"),
-        "d.publish_time", "d.status", "d.is_rollback")
-    g = j.groupBy("service_name", "archetype").agg(*_event_aggs(as_of))
-    return _finish_base(g, as_of, epoch, F.lit(1))
-
-
 # --------------------------------------------------------------------------- R2..R5
 def rollback_score(n="total_rollbacks_30d") -> Column:
     n = F.col(n)
@@ -257,7 +244,3 @@ def composite_health_scores(perf: DataFrame, obs: DataFrame | None, pipe: DataFr
          + (obs_score * F.lit(w["observability"]))
          + (cat2 * F.lit(w["pipeline"]))).alias("composite_service_health_score"),
     )
-
-
-def as_of_date(d) -> dt.date:
-    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from svcvitals import config as C
 from svcvitals.operators import events as E, scores as SC, survey as SV
@@ -39,8 +39,3 @@ class HealthStack:
 
     def composite(self) -> DataFrame:
         return SC.composite_health_scores(self.performance(), self.observability(), self.pipeline())
-
-
-def stack_from_tables(spark: SparkSession, raw_metrics: DataFrame, builds_raw: DataFrame,
-                      deploys_raw: DataFrame, survey: DataFrame | None = None, **kw) -> HealthStack:
-    return HealthStack(raw_metrics, builds_raw, deploys_raw, survey, **kw)

@@ -3,8 +3,8 @@
     python -m svcvitals.plans.jobs daily    --points P --raw-metrics R [--as-of YYYY-MM-DD]
     python -m svcvitals.plans.jobs backfill --points P --raw-metrics R --start-days-ago 2 --end-days-ago 42
 
-Both read a points table (``schemas.METRIC_POINTS``; partition it by day so the day
-window prunes folders) and append to ``raw_metrics`` partitioned by ``target_date``.
+Both read a points table (``schemas.METRIC_POINTS``; stored by day with
+``sources.tables.write_points``, only the window's folders are read) and append to ``raw_metrics`` partitioned by ``target_date``.
 A day without points writes nothing. Re-running a day appends its rows again, as the
 stored table does not deduplicate.
 """
@@ -16,13 +16,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals import schemas as S
 from svcvitals.operators import metrics as M
-from svcvitals.session import configure
-
-
-def _points(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.METRIC_POINTS).parquet(path)
+from svcvitals.session import configure, own_folders
+from svcvitals.sources.tables import read_points
 
 
 def _append_if_rows(rows: DataFrame, path: str) -> int:
@@ -40,8 +36,9 @@ def run_daily(spark: SparkSession, points_path: str, raw_metrics_path: str,
     """Ingest yesterday (UTC, relative to ``as_of``, default today)."""
     configure(spark)
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
-    rows = M.ingest_day(_points(spark, points_path), None, as_of, F.current_timestamp(), method=method)
-    return _append_if_rows(rows, raw_metrics_path)
+    with own_folders(spark):
+        rows = M.ingest_day(read_points(spark, points_path), None, as_of, F.current_timestamp(), method=method)
+        return _append_if_rows(rows, raw_metrics_path)
 
 
 def run_backfill(spark: SparkSession, points_path: str, raw_metrics_path: str,
@@ -50,9 +47,10 @@ def run_backfill(spark: SparkSession, points_path: str, raw_metrics_path: str,
     """Every day from ``end_days_ago`` to ``start_days_ago`` before ``as_of``, in one job."""
     configure(spark)
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
-    rows = M.backfill(_points(spark, points_path), None, as_of, start_days_ago, end_days_ago,
-                      F.current_timestamp(), method=method)
-    return _append_if_rows(rows, raw_metrics_path)
+    with own_folders(spark):
+        rows = M.backfill(read_points(spark, points_path), None, as_of, start_days_ago, end_days_ago,
+                          F.current_timestamp(), method=method)
+        return _append_if_rows(rows, raw_metrics_path)
 
 
 def main(argv=None) -> None:

@@ -55,7 +55,8 @@ _srcs = C.METRIC_SOURCES
 EV = f"""ev AS (
   SELECT CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         {_case('user_id % 12', A.SERVICE_LABELS)} AS label,
+         CASE user_id % 24 WHEN {A.LATENCY_ONLY[0]} THEN {_lit(A.LATENCY_ONLY[1])} WHEN {A.COUNTS_ONLY[0]} THEN {_lit(A.COUNTS_ONLY[1])}
+           ELSE {_case('user_id % 12', A.SERVICE_LABELS)} END AS label,
          {_case('(user_id % 12) % 4', [s[0] for s in _srcs])} AS prefix,
          {_case('(user_id % 12) % 4', [s[1] for s in _srcs])} AS counts_type,
          {_case('(user_id % 12) % 4', [s[2] for s in _srcs])} AS latency_type,
@@ -70,13 +71,13 @@ PTS = f"""pts AS (
          CASE WHEN event_type = 'error' AND k < 50 THEN '5xx' WHEN event_type = 'error' THEN '404'
               WHEN event_type = 'signup' THEN NULL ELSE '2xx' END AS cls,
          'proj-' || CAST(user_id % 3 AS VARCHAR) AS project, user_id
-  FROM ev
+  FROM ev WHERE user_id % 24 <> {A.LATENCY_ONLY[0]}
   UNION ALL
   SELECT latency_type, 'latency', prefix, label_key, label, ts, CAST(ts AS DATE),
          CAST(NULL AS BIGINT),
          CASE WHEN prefix = 'endpoints' THEN (value * {D(14)}) / {D(1000)} ELSE value * {D(14)} END,
          NULL, 'proj-' || CAST(user_id % 3 AS VARCHAR), user_id
-  FROM ev)"""
+  FROM ev WHERE user_id % 24 <> {A.COUNTS_ONLY[0]})"""
 
 KEYED = f"""keyed AS (
   SELECT *, prefix || '--' || label AS service_name FROM pts
@@ -137,12 +138,13 @@ merged AS (
          CAST(coalesce(c.total_requests, 0) AS BIGINT) AS total_requests,
          CAST(coalesce(c.error_5xx_requests, 0) AS BIGINT) AS error_5xx_requests,
          CAST(coalesce(c.error_4xx_requests, 0) AS BIGINT) AS error_4xx_requests,
-         c.project_id, l.latency_p50, l.latency_p95
+         c.project_id, c.service_name IS NOT NULL AS has_counts, l.latency_p50, l.latency_p95
   FROM cnt c FULL OUTER JOIN lat l ON c.day = l.day AND c.service_name = l.service_name),
 merged_full AS (
   SELECT m.*, p.prefix, p.label FROM merged m JOIN prefixes p ON m.day = p.day AND m.service_name = p.service_name)"""
 
-HOST_PID = ("CASE WHEN prefix = 'endpoints' AND contains(label, '.endpoints.') THEN "
+# a project is set only where a count point was seen
+HOST_PID = ("CASE WHEN NOT has_counts THEN NULL WHEN prefix = 'endpoints' AND contains(label, '.endpoints.') THEN "
             "nullif(split_part(split_part(label, '.endpoints.', 2), '.cloud.goog', 1), '') "
             "ELSE project_id END")
 
@@ -269,13 +271,13 @@ elc AS (
 
 
 def _answer(j: int) -> str:
-    return (f"CASE WHEN s_suppkey = 0 THEN 'TRUE' WHEN s_suppkey = 1 THEN NULL "
-            f"ELSE {_case(f'(s_suppkey * 3 + 5 * {j}) % 8', A.SURVEY_ANSWERS)} END")
+    return (f"CASE s_suppkey % 8 WHEN 0 THEN 'TRUE' WHEN 1 THEN NULL "
+            f"ELSE {_case(f'(s_suppkey % 8 * 3 + 5 * {j}) % 8', A.SURVEY_ANSWERS)} END")
 
 
-SURVEY = ("sv AS (SELECT " + f"{_case('s_suppkey', A.SURVEY_SERVICES)} AS service_name, "
+SURVEY = ("sv AS (SELECT " + f"coalesce({_case('s_suppkey', A.SURVEY_SERVICES)}, '{A.SURVEY_OTHER}' || CAST(s_suppkey AS VARCHAR)) AS service_name, "
           + ", ".join(f"{_answer(j)} AS {c}" for j, c in enumerate(C.SURVEY_ANSWER_COLUMNS, start=1))
-          + f", {_case('s_suppkey', A.SURVEY_FLAGS)} AS {C.SURVEY_FLAG_COLUMN} FROM supplier WHERE s_suppkey < 8)")
+          + f", {_case('s_suppkey % 8', A.SURVEY_FLAGS)} AS {C.SURVEY_FLAG_COLUMN} FROM supplier)")
 
 _true_sum = " + ".join(f"CASE WHEN lower({c}) = 'true' THEN 1 ELSE 0 END" for c in C.SURVEY_ANSWER_COLUMNS)
 OBS = f"""obs AS (
@@ -368,7 +370,7 @@ LEGACY_IN = f"""lm AS (
   SELECT b.service_name, CASE {_larch} ELSE 'sync' END AS archetype, b.availability_ratio, b.latency_p50_ms,
          CASE WHEN {_dom} % 5 = 0 THEN CAST(NULL AS DOUBLE) WHEN {_dom} % 5 = 1 THEN {D(0)} ELSE b.latency_p95_ms END
            AS latency_p95_ms,
-         CAST(e.error_log_count AS BIGINT) AS error_log_count, b.total_requests,
+         CAST(e.error_log_count AS BIGINT) AS error_log_count, nullif(b.total_requests, 0) AS total_requests,
          CASE WHEN {_dom} % 2 = 1 THEN CAST(NULL AS DOUBLE) ELSE {D(40)} + {_dom} END AS pipeline_robustness_score,
          CASE WHEN {_dom} % 2 = 1 THEN CAST(NULL AS DOUBLE) ELSE {D(100)} - {_dom} END AS observability_score
   FROM bf b LEFT JOIN elc e ON b.target_date = e.target_date AND b.service_name = e.service_name)"""
@@ -422,7 +424,7 @@ ORACLE_SQL: dict[str, str] = {
     "daily_latency_p50": _with(EV, PTS, KEYED, LAT) + "SELECT day, service_name, latency_p50 FROM latency_p50_t",
     "daily_latency_p95": _with(EV, PTS, KEYED, LAT) + "SELECT day, service_name, latency_p95 FROM latency_p95_t",
     "daily_latency_p95_bounded": _with(EV, PTS, KEYED, LAT) + "SELECT day, service_name, latency_p95 FROM latency_p95_t",
-    "merge_counts_latency": _with(ROLLUP) + "SELECT * FROM merged_full",
+    "merge_counts_latency": _with(ROLLUP) + "SELECT * EXCLUDE (has_counts) FROM merged_full",
     "project_attribution_label": _with(ROLLUP) +
         "SELECT day, service_name, coalesce(project_id, 'unknown') AS project_id FROM merged_full",
     "project_attribution_host": _with(ROLLUP) +
@@ -476,15 +478,55 @@ ORACLE_SQL: dict[str, str] = {
     "legacy_pillar_score": _with(*_LEGACY) + "SELECT * FROM w2",
     "legacy_final_score": _with(*_LEGACY) + "SELECT * FROM w3",
 }
+ORACLE_SQL["stream_deployment_events"] = ORACLE_SQL["deployment_events_raw"]
+ORACLE_SQL["stream_route_logs"] = ORACLE_SQL["route_logs"]
+
+# Columns of the published views by kind: s string, n number, b boolean, t timestamp, d date.
+_METRICS = "timestamp:t target_date:s project_id:s service_name:s archetype:s availability_ratio:n total_requests:n " \
+    "error_5xx_requests:n error_4xx_requests:n total_errors:n latency_p50_ms:n latency_p95_ms:n"
+VIEW_COLUMNS = {
+    "raw_metrics": ("rm", _METRICS),
+    "cloud_builds_raw": ("br", "subscription_name:s message_id:s publish_time:t data:s attributes:s"),
+    "cloud_deploy_raw": ("dr", "subscription_name:s message_id:s publish_time:t data:s attributes:s"),
+    "observability_survey_sheet": ("sv", " ".join(f"{c}:s" for c in C.SURVEY_COLUMNS)),
+    "deployment_events_raw": ("evs", "publish_time:t status:s service_name:s environment:s is_rollback:b event_category:s"),
+    "service_performance_scores": ("perf",
+        "target_date:s service_name:s project_id:s archetype:s environment:s availability_ratio:n "
+        "latency_p50_ms:n latency_p95_ms:n total_requests:n error_5xx_requests:n error_4xx_requests:n "
+        "total_errors:n p50_target_ms:n p95_target_ms:n performance_score:n"),
+    "observability_scores": ("obs",
+        "service_name:s feature_flag_score:n observability_score:n"),
+    "pipeline_robustness_scores": ("pipe",
+        "service_name:s last_successful_deployment:t total_deployments_in_window:n days_since_last_deploy:n "
+        "months_deployed_in_window:n raw_delivery_success:n total_rollbacks_30d:n rollback_score:n "
+        "delivery_success_score:n cadence_score:n code_lead_time_score:n feature_flag_score:n "
+        "pipeline_score:n"),
+    "composite_health_scores": ("comp",
+        "target_date:s project_id:s service_name:s archetype:s environment:s availability_ratio:n "
+        "latency_p50_ms:n latency_p95_ms:n total_requests:n error_5xx_requests:n error_4xx_requests:n "
+        "total_errors:n p50_target_ms:n p95_target_ms:n cat1_performance_score:n cat3_observability_score:n "
+        "cat2_pipeline_score:n pipeline_cadence_score:n pipeline_delivery_success_score:n "
+        "pipeline_code_lead_time_score:n pipeline_feature_flag_score:n total_rollbacks_30d:n "
+        "days_since_last_deploy:n months_deployed_in_window:n last_successful_deployment:t "
+        "total_deployments_in_window:n composite_service_health_score:n"),
+    "final_service_health_scores": ("w3",
+        "service_name:s archetype:s performance_pillar_score:n pipeline_robustness_score:n "
+        "observability_score:n final_service_health_score:n"),
+}
+
+
+def _cell(column: str) -> str:
+    name, kind = column.split(":")
+    return {"s": f"CAST('0x' || substr(md5({name}), 1, 7) AS BIGINT)", "n": f"CAST(round({name} * {D(1000)}) AS BIGINT)",
+            "b": f"CAST({name} AS BIGINT)", "t": f"CAST(floor(epoch({name})) AS BIGINT)",
+            "d": f"CAST(epoch({name}) / 86400 AS BIGINT)"}[kind]
+
+
+def _checksum(view: str, source: str, columns: str) -> str:
+    row = " + ".join(f"coalesce({_cell(c)}, 0) * {k}" for k, c in enumerate(sorted(columns.split(), key=lambda c: c.split(":")[0]), start=1))
+    return f"SELECT '{view}' AS view_name, count(*) AS row_count, CAST(coalesce(sum({row}), 0) AS BIGINT) AS checksum FROM {source}"
+
+
 ORACLE_SQL["registered_views"] = (
     _with(*_STACK, base_sql("perf"), PIPE, COMPOSITE, LOGS, LEGACY_IN, W1, W2, W3) +
-    "SELECT 'raw_metrics' AS view_name, CAST(count(*) AS BIGINT) AS row_count FROM rm "
-    "UNION ALL SELECT 'cloud_builds_raw', count(*) FROM br "
-    "UNION ALL SELECT 'cloud_deploy_raw', count(*) FROM dr "
-    "UNION ALL SELECT 'observability_survey_sheet', count(*) FROM sv "
-    "UNION ALL SELECT 'deployment_events_raw', count(*) FROM evs "
-    "UNION ALL SELECT 'service_performance_scores', count(*) FROM perf "
-    "UNION ALL SELECT 'observability_scores', count(*) FROM obs "
-    "UNION ALL SELECT 'pipeline_robustness_scores', count(*) FROM pipe "
-    "UNION ALL SELECT 'composite_health_scores', count(*) FROM comp "
-    "UNION ALL SELECT 'final_service_health_scores', count(*) FROM w3")
+    " UNION ALL ".join(_checksum(v, *VIEW_COLUMNS[v]) for v in VIEW_COLUMNS))

@@ -20,8 +20,11 @@ from svcvitals.plans.views import register_views
 from svcvitals.session import configure, shared_dir
 from svcvitals.sources import adapters as A
 from svcvitals.sources.survey_sheet import read_survey, write_survey
-from svcvitals.sources.tables import read_envelopes
-from svcvitals.streaming.ingest import stream_events as _stream_events
+from svcvitals.sources.tables import read_deployment_events, read_envelopes, read_routed_logs
+from svcvitals.streaming.ingest import (
+    stream_deployment_events as _stream_deployment_events, stream_events as _stream_events,
+    stream_route_logs as _stream_route_logs,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,9 +39,12 @@ def _keyed_counts(spark, sf):
     return M.service_key(M.daily_request_counts(p, s))
 
 
-def _merged(spark, sf):
+def _merged(spark, sf, latency=True, host=False):
+    """Merged rows; without ``latency`` the latency side gives its services only."""
     p, s = _pts(spark, sf)
-    return M.merge_counts_latency(M.daily_service_counts(p, s), M.daily_latency_percentiles(p, s))
+    counts = M.daily_service_counts(p, s)
+    return M.merge_counts_latency(M.host_projects(counts) if host else counts,
+                                  M.daily_latency_percentiles(p, s, None if latency else {}))
 
 
 # --------------------------------------------------------------------------- metrics
@@ -80,12 +86,11 @@ def q_daily_latency_p95(spark, sf):
 
 
 def q_daily_latency_p95_bounded(spark, sf):
-    """M6 with ``max_distinct=2``: every series-day with more than two distinct samples
-    (and every service-day with more than two series) goes through the bounded-memory
-    range-refinement selection instead of the single-pass percentile. Same result."""
+    """p95 out of a roll-up of several percentiles (one pass for all), with bounded memory
+    per task as every exact percentile."""
     p, s = _pts(spark, sf)
-    return M.daily_latency_percentile(p, s, 0.95, "latency_p95", max_distinct=2).select(
-        "day", "service_name", "latency_p95")
+    both = M.daily_latency_percentiles(p, s, {"latency_p50": 0.5, "latency_p95": 0.95})
+    return both.select("day", "service_name", "latency_p95")
 
 
 def q_merge_counts_latency(spark, sf):
@@ -93,19 +98,19 @@ def q_merge_counts_latency(spark, sf):
 
 
 def q_project_attribution_label(spark, sf):
-    return M.project_attribution(_merged(spark, sf), "label").select("day", "service_name", "project_id")
+    return M.project_attribution(_merged(spark, sf, latency=False)).select("day", "service_name", "project_id")
 
 
 def q_project_attribution_host(spark, sf):
-    return M.project_attribution(_merged(spark, sf), "host").select("day", "service_name", "project_id")
+    return M.project_attribution(_merged(spark, sf, latency=False, host=True)).select("day", "service_name", "project_id")
 
 
 def q_raw_metrics_rows(spark, sf):
-    return M.raw_metrics_rows(M.project_attribution(_merged(spark, sf), "label"), A.INGESTED_AT)
+    return M.raw_metrics_rows(M.project_attribution(_merged(spark, sf)), A.INGESTED_AT)
 
 
 def q_stored_availability(spark, sf):
-    return M.stored_availability(_merged(spark, sf)).select(
+    return M.stored_availability(_merged(spark, sf, latency=False)).select(
         "day", "service_name", "total_requests", "error_5xx_requests", "availability_ratio")
 
 
@@ -137,6 +142,28 @@ def q_stream_events(spark, sf):
     return out[0].unionByName(out[1])
 
 
+def q_stream_deployment_events(spark, sf):
+    """Both envelope feeds streamed through E2-E5 into a table stored by publish day."""
+    configure(spark)
+    landing = {}
+    for name, df in (("builds", A.cloud_builds_raw(spark, sf)), ("deploys", A.cloud_deploy_raw(spark, sf))):
+        landing[name] = shared_dir(spark, f"{name}-landing")
+        df.write.parquet(landing[name])
+    sink, ckpt = shared_dir(spark, "events-sink"), shared_dir(spark, "events-ckpt")
+    _stream_deployment_events(spark, landing["builds"], landing["deploys"], sink, ckpt, fmt="parquet").awaitTermination()
+    return read_deployment_events(spark, sink)
+
+
+def q_stream_route_logs(spark, sf):
+    """A log feed streamed through the router into a table stored by day."""
+    configure(spark)
+    landing, sink, ckpt = (shared_dir(spark, f"logs-{x}") for x in ("landing", "sink", "ckpt"))
+    A.log_entries(spark, sf).write.parquet(landing)
+    _stream_route_logs(spark, landing, sink, ckpt, partition_by_day=True).awaitTermination()
+    return read_routed_logs(spark, sink).select(
+        "ts", "severity", F.try_element_at(F.col("labels"), F.lit(C.LOG_SERVICE_LABEL)).alias("service_name"))
+
+
 def q_build_events(spark, sf):
     configure(spark)
     return E.build_events(A.cloud_builds_raw(spark, sf))
@@ -164,7 +191,7 @@ def q_environment_classifier(spark, sf):
     register_sql_functions(spark)
     names = (E.deployment_events_raw(A.cloud_builds_raw(spark, sf), A.cloud_deploy_raw(spark, sf))
              .select("service_name")
-             .unionByName(A.backfilled_raw_metrics(spark, sf).select("service_name"))
+             .unionByName(A.backfilled_raw_metrics(spark, sf, latency=False).select("service_name"))
              .groupBy("service_name").agg(F.count(F.lit(1)).alias("n_rows")))
     return names.select("service_name", "n_rows", environment("service_name").alias("environment"),
                         F.expr("get_environment(service_name)").alias("environment_sql"))
@@ -195,9 +222,9 @@ def q_observability_scores(spark, sf):
 
 
 # --------------------------------------------------------------------------- scores
-def _stack(spark, sf, fanout=True, materialized=True, backfilled=None) -> HealthStack:
+def _stack(spark, sf, fanout=True, materialized=True, backfilled=None, latency=True) -> HealthStack:
     configure(spark)
-    rm = A.raw_metrics(spark, sf, backfilled=backfilled)
+    rm = A.raw_metrics(spark, sf, backfilled=backfilled, latency=latency)
     if materialized and backfilled is None:
         rm = materialize(rm)
     return HealthStack(rm, A.cloud_builds_raw(spark, sf), A.cloud_deploy_raw(spark, sf),
@@ -209,12 +236,11 @@ def q_service_performance_scores(spark, sf):
 
 
 def q_deployment_base_metrics(spark, sf):
-    st = _stack(spark, sf, materialized=False)
-    return SC.deployment_base_metrics(st.performance(), st.deployment_events(), A.AS_OF, A.EPOCH)
+    return _base(spark, sf)
 
 
 def _base(spark, sf):
-    st = _stack(spark, sf, materialized=False)
+    st = _stack(spark, sf, materialized=False, latency=False)
     return SC.deployment_base_metrics(st.performance(), st.deployment_events(), A.AS_OF, A.EPOCH)
 
 
@@ -237,18 +263,18 @@ def q_cadence_score(spark, sf):
 
 def q_async_like_archetypes(spark, sf):
     configure(spark)
-    rm = A.raw_metrics(spark, sf)
+    rm = A.raw_metrics(spark, sf, latency=False)
     return (rm.groupBy("archetype").agg(F.count(F.lit(1)).alias("n_rows"))
             .select("archetype", F.coalesce(is_async_like("archetype"), F.lit(False)).alias("async_like"),
                     "n_rows"))
 
 
 def q_pipeline_robustness_scores(spark, sf):
-    return _stack(spark, sf, materialized=False).pipeline()
+    return _stack(spark, sf, materialized=False, latency=False).pipeline()
 
 
 def q_pipeline_robustness_scores_distinct(spark, sf):
-    return _stack(spark, sf, fanout=False, materialized=False).pipeline()
+    return _stack(spark, sf, fanout=False, materialized=False, latency=False).pipeline()
 
 
 def q_composite_health_scores(spark, sf):
@@ -272,14 +298,34 @@ def q_legacy_final_score(spark, sf):
 
 
 # --------------------------------------------------------------------------- views
+def _cell(c, kind: str):
+    """A cell as a long: what the checksum of a view adds up."""
+    if kind == "string":
+        return F.conv(F.substring(F.md5(c), 1, 7), 16, 10).cast("long")
+    if kind == "timestamp":
+        return F.unix_seconds(c)
+    if kind == "date":
+        return F.unix_date(c).cast("long")
+    return c.cast("long") if kind == "boolean" else F.round(c * F.lit(1000)).cast("long")
+
+
+def view_checksum(df: DataFrame):
+    """Row count and checksum of a view: every cell's code times its column's place by name."""
+    kinds = dict(df.dtypes)
+    cells = [F.coalesce(_cell(F.col(c), kinds[c]), F.lit(0)) * F.lit(k) for k, c in enumerate(sorted(kinds), start=1)]
+    row = cells[0]
+    for c in cells[1:]:
+        row = row + c
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(row), F.lit(0)).alias("checksum"))
+
+
 def q_registered_views(spark, sf):
-    """Publish the whole view stack, then count rows of every published view."""
+    """Publish the whole view stack, then count and checksum every published view."""
     configure(spark)
     backfilled = materialize(A.backfilled_raw_metrics(spark, sf))  # shared by both inputs
     st = _stack(spark, sf, backfilled=backfilled)
     names = register_views(spark, st, A.legacy_metrics(spark, sf, backfilled=backfilled))
-    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(n).alias("view_name"), "row_count") for n in names]
+    parts = [view_checksum(spark.table(n)).select(F.lit(n).alias("view_name"), "row_count", "checksum") for n in names]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -303,6 +349,8 @@ QUERIES: dict[str, Query] = {
     "ingest_day": q_ingest_day,
     "backfill_range": q_backfill_range,
     "stream_events": q_stream_events,
+    "stream_deployment_events": q_stream_deployment_events,
+    "stream_route_logs": q_stream_route_logs,
     "build_events": q_build_events,
     "deploy_events": q_deploy_events,
     "expand_targets": q_expand_targets,

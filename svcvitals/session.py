@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -63,26 +64,39 @@ def _checkpoint_root(spark: SparkSession) -> str | None:
     return root or spark.conf.get("spark.checkpoint.dir", None)
 
 
+_made: list[str] = []
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names a folder every executor can reach. It is read from
-    the session; only when it is unset (local tests) is a local one created and set.
+    ``spark.checkpoint.dir`` names a folder every executor can reach. It is read from the
+    session. Unset, it is an error on a cluster; in local mode, where driver and
+    executors are one process, a temporary folder is made and set.
     """
     root = _checkpoint_root(spark)
     if not root:
-        root = tempfile.mkdtemp(prefix="svcvitals-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-            root = spark.sparkContext.getCheckpointDir() or root
-        except Exception:
-            spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="svcvitals-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
+    _made.append(f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme (for local-only test code)."""
-    return uri[5:] if uri.startswith("file:") else uri
+@contextmanager
+def own_folders(spark: SparkSession):
+    """Delete, at the end of the block, the shared folders that were made within it: for a
+    job whose DataFrames nobody reads afterwards."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        while len(_made) > before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+            path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["build_session", "configure", "recommended_conf", "shared_dir", "local_path"]
+__all__ = ["build_session", "configure", "recommended_conf", "shared_dir", "own_folders"]

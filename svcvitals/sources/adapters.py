@@ -26,12 +26,19 @@ BACKFILL_END_DAYS_AGO = 31              # 2024-01-01 .. 2024-01-31
 INGEST_AS_OF = dt.date(2024, 1, 16)     # daily job: ingests 2024-01-15
 INGESTED_AT = "2024-02-01 01:00:00"
 
+# Two endpoint services of the target map, one with a project in its host and one without.
+HOST_SERVICE = C.TARGET_SERVICES["website-dev"][0]
+API_SERVICE = C.TARGET_SERVICES["mixer-prod"][0]
 # Service label by i = user_id % 12 (None = label missing); source by i % 4.
 SERVICE_LABELS = [
-    "web-prod", "lb-staging", "website-esp.endpoints.datcom-website-dev.cloud.goog",
+    "web-prod", "lb-staging", HOST_SERVICE.removeprefix("endpoints--"),
     "proxy-autopush", "batch-dev", "", "logging.googleapis.com", "autorater", "job-x",
-    "LB-PROD", "api.datacommons.org", None,
+    "LB-PROD", API_SERVICE.removeprefix("endpoints--"), None,
 ]
+# Services seen on one side only, by user_id % 24: latencies without requests (an endpoint
+# service with a project in its host), and requests without latencies.
+LATENCY_ONLY = (14, "lat-only.endpoints.proj-x.cloud.goog")
+COUNTS_ONLY = (12, "counts-only")
 # Build tag by o_custkey % 8.
 BUILD_TAGS = [
     "cloudrun::web-prod", "gke-lb::lb-staging", "apigee::proxy-autopush", "cloudrun::batch-dev",
@@ -41,13 +48,14 @@ BUILD_TAGS = [
 BUILD_TAG_LAST_DAY = {"cloudrun::job-x": "2001-06-15", "apigee::autorater": "2001-02-01"}
 # Deploy target by l_suppkey % 11 (None = TargetId missing).
 DEPLOY_TARGETS = list(C.TARGET_SERVICES) + ["custom-x", None]
-# Survey service by s_suppkey (0..7).
+# Survey service by s_suppkey 0..7; further suppliers are services of their own name.
 SURVEY_SERVICES = [
-    "cloudrun--web-prod", "gke-lb--lb-staging",
-    "endpoints--website-esp.endpoints.datcom-website-dev.cloud.goog", "apigee--proxy-autopush",
-    "cloudrun--batch-dev", "apigee--autorater", "gke-lb--LB-PROD", "endpoints--api.datacommons.org",
+    "cloudrun--web-prod", "gke-lb--lb-staging", HOST_SERVICE, "apigee--proxy-autopush",
+    "cloudrun--batch-dev", "apigee--autorater", "gke-lb--LB-PROD", API_SERVICE,
 ]
-SURVEY_ANSWERS = ["TRUE", "true", " TRUE ", "FALSE", "yes", None, "True", "no"]
+SURVEY_OTHER = "supplier--"
+# Answers and flags by s_suppkey % 8; one answer is a cell of two lines.
+SURVEY_ANSWERS = ["TRUE", "true", " TRUE ", "FALSE", "see\nrunbook", None, "True", "no"]
 SURVEY_FLAGS = ["  Yes ", "TRUE", "t", "no", None, "1", "Y", "maybe"]
 LOG_SEVERITIES = ["DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL", None]
 SCORE_ARCHETYPES = {"apigee--proxy-autopush": "async", "cloudrun--batch-dev": "Data-Pipeline",
@@ -57,21 +65,8 @@ LEGACY_ARCHETYPES = {"apigee--proxy-autopush": "async", "cloudrun--batch-dev": "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one test table, spread over the cluster when it scans as too few tasks."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A file written as one row group scans as one task. When a scan yields fewer
-    tasks than the cluster's default parallelism, spread its rows round-robin so the
-    per-row work after it uses every core. Tables made of many files / row groups
-    already scan in parallel and are returned unchanged (no extra shuffle)."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD / SparkContext access: leave the scan as it is
-        return df
-    return df.repartition(want) if n < want else df
+    """Read one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(values: list, idx: Column, cast: str = "string") -> Column:
@@ -93,7 +88,9 @@ def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-        _pick(SERVICE_LABELS, i).alias("label"),
+        F.when(F.col("user_id") % 24 == LATENCY_ONLY[0], F.lit(LATENCY_ONLY[1]))
+        .when(F.col("user_id") % 24 == COUNTS_ONLY[0], F.lit(COUNTS_ONLY[1]))
+        .otherwise(_pick(SERVICE_LABELS, i)).alias("label"),
         _pick([s[0] for s in srcs], src).alias("prefix"),
         _pick([s[1] for s in srcs], src).alias("counts_type"),
         _pick([s[2] for s in srcs], src).alias("latency_type"),
@@ -101,7 +98,8 @@ def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two points per event: a request-count delta and a latency sample."""
+    """Two points per event: a request-count delta and a latency sample; one point for the
+    services that are seen on one side only."""
     b = _event_base(spark, sf_dir)
     k10 = (F.col("k") % 10) + 1
     is_err = F.col("event_type") == "error"
@@ -123,7 +121,10 @@ def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat_pt = F.struct(F.col("latency_type").alias("metric_type"), lat_labels.alias("resource_labels"),
                       empty.alias("metric_labels"), F.lit(None).cast("long").alias("int64_value"),
                       lat.alias("double_value")).cast(point_t)
-    return (b.select("ts", F.inline(F.array(counts_pt, lat_pt)))
+    side = F.col("user_id") % 24
+    points = (F.when(side == LATENCY_ONLY[0], F.array(lat_pt)).when(side == COUNTS_ONLY[0], F.array(counts_pt))
+              .otherwise(F.array(counts_pt, lat_pt)))
+    return (b.select("ts", F.inline(points))
             .select("metric_type", "resource_labels", "metric_labels", "ts", "int64_value", "double_value"))
 
 
@@ -188,14 +189,15 @@ def cloud_deploy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") < 8)
-    key = F.col("s_suppkey")
-    cols = [_pick(SURVEY_SERVICES, key).alias("service_name")]
+    """One survey row per supplier."""
+    s = table(spark, sf_dir, "supplier")
+    key, k8 = F.col("s_suppkey"), F.col("s_suppkey") % 8
+    cols = [F.when(key < 8, _pick(SURVEY_SERVICES, k8)).otherwise(F.concat(F.lit(SURVEY_OTHER), key.cast("string"))).alias("service_name")]
     for j, c in enumerate(C.SURVEY_ANSWER_COLUMNS, start=1):
-        a = (F.when(key == 0, F.lit("TRUE")).when(key == 1, F.lit(None).cast("string"))
-             .otherwise(_pick(SURVEY_ANSWERS, (key * 3 + 5 * j) % 8)))
+        a = (F.when(k8 == 0, F.lit("TRUE")).when(k8 == 1, F.lit(None).cast("string"))
+             .otherwise(_pick(SURVEY_ANSWERS, (k8 * 3 + 5 * j) % 8)))
         cols.append(a.alias(c))
-    cols.append(_pick(SURVEY_FLAGS, key).alias(C.SURVEY_FLAG_COLUMN))
+    cols.append(_pick(SURVEY_FLAGS, k8).alias(C.SURVEY_FLAG_COLUMN))
     return s.select(*cols)
 
 
@@ -206,14 +208,16 @@ def sources(spark: SparkSession):
     return C.METRIC_SOURCES
 
 
-def backfilled_raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact") -> DataFrame:
+def backfilled_raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact", latency: bool = True) -> DataFrame:
     return M.backfill(metric_points(spark, sf_dir), sources(spark), METRICS_AS_OF,
-                      BACKFILL_START_DAYS_AGO, BACKFILL_END_DAYS_AGO, INGESTED_AT, method=method)
+                      BACKFILL_START_DAYS_AGO, BACKFILL_END_DAYS_AGO, INGESTED_AT, method=method, latency=latency)
 
 
-def raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact", backfilled: DataFrame | None = None) -> DataFrame:
-    """Backfilled raw_metrics with archetypes overridden for score tests."""
-    rm = backfilled_raw_metrics(spark, sf_dir, method) if backfilled is None else backfilled
+def raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact", backfilled: DataFrame | None = None,
+                latency: bool = True) -> DataFrame:
+    """Backfilled raw_metrics with archetypes overridden for score tests; without
+    ``latency`` for queries that read no latency."""
+    rm = backfilled_raw_metrics(spark, sf_dir, method, latency) if backfilled is None else backfilled
     svc = F.col("service_name")
     odd = (F.dayofmonth(F.col("target_date").cast("date")) % 2) == 1
     arch = F.when((svc == ODD_DAY_ARCHETYPE[0]) & odd, F.lit(ODD_DAY_ARCHETYPE[1]))
@@ -224,7 +228,8 @@ def raw_metrics(spark: SparkSession, sf_dir: str, method: str = "exact", backfil
 
 def legacy_metrics(spark: SparkSession, sf_dir: str, method: str = "exact",
                    backfilled: DataFrame | None = None) -> DataFrame:
-    """Legacy-query input: backfilled rows + error-log counts per service and day."""
+    """Legacy-query input: backfilled rows + error-log counts per service and day. A day without
+    requests has a NULL count (zero is a division error there)."""
     rm = backfilled_raw_metrics(spark, sf_dir, method) if backfilled is None else backfilled
     logs = L.error_log_counts(L.route_logs(log_entries(spark, sf_dir)))
     j = rm.join(logs, ["target_date", "service_name"], "left")
@@ -237,6 +242,6 @@ def legacy_metrics(spark: SparkSession, sf_dir: str, method: str = "exact",
     return j.select(
         "service_name", arch.otherwise(F.lit(C.DEFAULT_ARCHETYPE)).alias("archetype"),
         "availability_ratio", "latency_p50_ms", p95.alias("latency_p95_ms"),
-        F.col("error_log_count").cast("long").alias("error_log_count"), "total_requests",
+        F.col("error_log_count").cast("long").alias("error_log_count"), F.nullif("total_requests", F.lit(0)).alias("total_requests"),
         F.when(odd, F.lit(None).cast("double")).otherwise(F.lit(40.0) + dom).alias("pipeline_robustness_score"),
         F.when(odd, F.lit(None).cast("double")).otherwise(F.lit(100.0) - dom).alias("observability_score"))

@@ -1,37 +1,27 @@
 """The observability survey sheet: CSV files with a fixed 12-column string schema
-whose first two lines (title + header) are not data."""
+whose first two records (title + header) are not data."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from svcvitals import config as C, schemas as S
 
-_DDL = ", ".join(f"`{f.name}` STRING" for f in S.SURVEY.fields)
-
 
 def read_survey(spark: SparkSession, path: str, skip_leading_rows: int = C.SURVEY_LEADING_ROWS) -> DataFrame:
     """Read every CSV file under ``path`` with the survey schema (no inference),
-    dropping the first ``skip_leading_rows`` lines of each file.
+    dropping the first ``skip_leading_rows`` records of each file.
 
-    Lines are read as text; the first lines of a file are found by position: within
-    the split that starts at byte 0 of a file, rows keep file order and get
-    consecutive ids, so a file's leading lines are the ``skip`` smallest ids of that
-    split. The per-file minimum is a one-row-per-file aggregate.
+    Records follow RFC 4180 as sheet exports write it: a quoted cell may hold line breaks,
+    and a quote inside it is doubled. Blank lines are no records. A file is read by one
+    task (a record may span any line), files in parallel; a task numbers its records in
+    file order, and the smallest number of each file (one row per file) tells which lead.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"))
-    firsts = lines.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_first"))
-    body = (lines.join(firsts, "_file", "left")
-            .filter(~((F.col("_block") == 0) & (F.col("_id") < F.col("_first") + F.lit(skip_leading_rows)))))
-    # RFC 4180 quoting (as sheet exports write it): a quote inside a quoted field is doubled.
-    return body.select(F.from_csv(F.col("value"), _DDL, {"escape": '"'}).alias("r")).select("r.*")
+    records = (spark.read.schema(S.SURVEY).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+               .select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id")))
+    firsts = records.groupBy("_file").agg(F.min("_id").alias("_first"))
+    return (records.join(firsts, "_file").filter(F.col("_id") >= F.col("_first") + F.lit(skip_leading_rows))
+            .select(*[f.name for f in S.SURVEY.fields]))
 
 
 def _csv_field(c: Column) -> Column:
@@ -41,19 +31,14 @@ def _csv_field(c: Column) -> Column:
 
 
 def write_survey(survey: DataFrame, path: str, title: str = "Observability survey") -> None:
-    """Write survey rows as CSV text files, each starting with a title and a header line.
+    """Write survey rows as CSV text files, each starting with a title record, a header
+    record whose first cell has a line break, and a blank line.
 
-    Each partition becomes one file; the two leading lines are added per partition.
+    Each partition becomes one file; a partition's first row carries the leading records.
     """
-    header = ",".join(f.name for f in S.SURVEY.fields)
-    lines = survey.select(F.concat_ws(",", *[_csv_field(F.col(f.name)) for f in S.SURVEY.fields]).alias("value"))
-
-    def with_titles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = True
-        for b in batches:
-            if first and len(b):
-                yield pd.DataFrame({"value": [title, header]})
-                first = False
-            yield b
-
-    lines.mapInPandas(with_titles, "value string").write.mode("overwrite").text(path)
+    header = ",".join(['"service\nname"'] + [f.name for f in S.SURVEY.fields[1:]])
+    line = F.concat_ws(",", *[_csv_field(F.col(f.name)) for f in S.SURVEY.fields])
+    numbered = survey.select(line.alias("value"), F.monotonically_increasing_id().alias("_id"))
+    in_partition = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    numbered.select(F.when(in_partition == 0, F.concat(F.lit(f"{title}\n{header}\n\n"), "value")).otherwise(F.col("value")).alias("value")
+                    ).write.mode("overwrite").text(path)

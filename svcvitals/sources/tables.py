@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from svcvitals import schemas as S
 
@@ -19,6 +19,28 @@ def read_raw_metrics(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet(spark, path, S.RAW_METRICS)
 
 
+POINTS_DAY = "day"
+
+
+def write_points(points: DataFrame, path: str, mode: str = "append", files_per_day: int = 8) -> None:
+    """Store metric points by UTC day, each day in up to ``files_per_day`` files, so that a
+    day's volume is not one task's."""
+    salt = F.pmod(F.xxhash64("metric_type", "ts", "double_value", "int64_value"), F.lit(files_per_day))
+    names = [f.name for f in S.METRIC_POINTS.fields]
+    (points.select(*names, F.to_date("ts").alias(POINTS_DAY)).repartition(F.col(POINTS_DAY), salt)
+     .write.mode(mode).partitionBy(POINTS_DAY).parquet(path))
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """A metric-points table; with its ``day`` column when it is stored by day, so that
+    day windows (``operators.metrics.day_slice``) read only those days' folders."""
+    stored = spark.read.parquet(path)
+    schema = T.StructType(list(S.METRIC_POINTS.fields))
+    if POINTS_DAY in stored.columns:
+        schema = schema.add(POINTS_DAY, T.DateType())
+    return spark.read.schema(schema).parquet(path)
+
+
 DATE_PARTITION = "publish_date"
 LOG_DATE_PARTITION = "log_date"
 
@@ -54,7 +76,10 @@ def read_deployment_events(spark: SparkSession, path: str, since=None) -> DataFr
     return read_by_day(spark, path, S.DEPLOYMENT_EVENTS, since)
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def append(df: DataFrame, path: str, partition_by: list[str] | None = None, schema=None) -> None:
+    """Append rows; with ``schema``, rows of other columns or types are refused."""
+    if schema is not None and {(f.name, f.dataType) for f in schema.fields} != {(f.name, f.dataType) for f in df.schema.fields}:
+        raise ValueError(f"rows do not fit the table: {df.schema.simpleString()}")
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -9,7 +9,7 @@ Duplicated messages are kept, as in the raw tables (no dedup by message id).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from svcvitals import schemas as S
@@ -29,10 +29,12 @@ def kafka_to_envelopes(records: DataFrame) -> DataFrame:
     """Kafka records (topic, key, value, partition, offset, timestamp, headers) -> message
     envelopes. Mapping: topic -> subscription_name; key (else partition-offset) ->
     message_id; record timestamp -> publish_time; value -> data; headers -> attributes
-    (a JSON object of header name -> value). Works on batch or streaming records."""
-    headers = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array()),
-        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+    (a JSON object of header name -> value; of headers with one name the last counts).
+    Works on batch or streaming records."""
+    given = F.transform(F.coalesce(F.col("headers"), F.array()),
+                        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")))
+    last = F.filter(given, lambda h, i: ~F.exists(F.slice(given, i + F.lit(2), F.size(given)), lambda x: x["key"] == h["key"]))
+    headers = F.map_from_entries(last)
     msg_id = F.coalesce(F.col("key").cast("string"),
                         F.concat_ws("-", F.col("partition").cast("string"), F.col("offset").cast("string")))
     return records.select(F.col("topic").alias("subscription_name"), msg_id.alias("message_id"),
@@ -53,14 +55,21 @@ def read_envelope_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
     return kafka_to_envelopes(raw)
 
 
+#: Files that one day of a micro-batch is split over.
+FILES_PER_DAY = 8
+
+
 def _by_day(df: DataFrame, partition_by_day: bool, ts_col: str = "publish_time",
-            partition_col: str = DATE_PARTITION) -> tuple[DataFrame, list[str] | None]:
+            partition_col: str = DATE_PARTITION, files_per_day: int = FILES_PER_DAY) -> tuple[DataFrame, list[str] | None]:
     """Add a day partition column (UTC day of ``ts_col``) when asked, and cluster each
-    micro-batch by it so every day gets one file per batch (not one per task)."""
+    micro-batch by it. A live batch is mostly one day: a salt (a hash of the row) splits a
+    day over ``files_per_day`` tasks, each writing one file per day."""
     if not partition_by_day:
         return df, None
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_day))
     df = df.withColumn(partition_col, F.to_date(ts_col))
-    return df.repartition(partition_col), [partition_col]
+    return df.repartition(F.col(partition_col), salt), [partition_col]
 
 
 def _sink(df: DataFrame, sink_path: str, checkpoint_path: str, available_now: bool,

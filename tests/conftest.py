@@ -1,6 +1,7 @@
 import os
 import sys
 import tempfile
+from contextlib import contextmanager
 
 import pytest
 
@@ -24,3 +25,15 @@ def tmp_dir():
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@contextmanager
+def many_partitions(spark):
+    """Small test data keep their shuffle partitions, as large data would."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from helpers import approx
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def test_class_rollup_and_merge(spark):
             (RUN_L, "service_name", "b", None, None, T(1, 4), None, 12.5)]
     p, s = _points(spark, rows), M.metric_sources(spark)
     m = M.merge_counts_latency(M.daily_service_counts(p, s), M.daily_latency_percentiles(p, s))
-    got = {r.service_name: r for r in M.project_attribution(m, "label").collect()}
+    got = {r.service_name: r for r in M.project_attribution(m).collect()}
     a, b = got["cloudrun--a"], got["cloudrun--b"]
     assert (a.total_requests, a.error_5xx_requests, a.error_4xx_requests, a.project_id) == (115, 5, 3, "p2")
     assert a.latency_p50 is None
@@ -72,12 +73,34 @@ def test_percentiles_two_levels_and_scale(spark):
 
 def test_host_attribution(spark):
     df = spark.createDataFrame(
-        [("endpoints", "website-esp.endpoints.datcom-website-dev.cloud.goog", "p"),
+        [("endpoints", "web.endpoints.proj-y.cloud.goog", "p"),
          ("endpoints", "x.endpoints..cloud.goog", "p"),
          ("endpoints", "api.example.org", "p"),
          ("cloudrun", "a.endpoints.b.cloud.goog", None)], "prefix string, label string, project_id string")
-    got = [r.project_id for r in M.project_attribution(df, "host").collect()]
-    assert got == ["datcom-website-dev", "unknown", "p", "unknown"]
+    got = [r.project_id for r in M.project_attribution(M.host_projects(df)).collect()]
+    assert got == ["proj-y", "unknown", "p", "unknown"]
+
+
+def test_host_project_needs_a_count_point(spark):
+    label = "web.endpoints.proj-x.cloud.goog"
+    rows = [(EP_L, "service", label, {"project_id": "p"}, None, T(1, 5), None, 0.1),
+            (EP_L, "service", label, {"project_id": "p"}, None, T(2, 5), None, 0.1),
+            (EP_C, "service", label, {"project_id": "p"}, "2xx", T(2, 6), 10, None)]
+    got = {r.target_date: r.project_id for r in M.backfill(_points(spark, rows), None, "2026-07-04", 1, 3, "2026-07-04 00:00:00").collect()}
+    assert got == {"2026-07-01": "unknown", "2026-07-02": "proj-x"}
+
+
+def test_append_refuses_what_does_not_fit(spark, tmp_dir):
+    rows = [(RUN_C, "service_name", "a", {"project_id": "p"}, "2xx", T(1, 6), 10, None)]
+    good = M.ingest_day(_points(spark, rows), None, "2026-07-02", "2026-07-02 00:00:00")
+    M.append_raw_metrics(good, os.path.join(tmp_dir, "t"))
+    with pytest.raises(ValueError):
+        M.append_raw_metrics(good.drop("archetype"), os.path.join(tmp_dir, "t"))
+    with pytest.raises(ValueError):
+        M.append_raw_metrics(good.withColumn("total_requests", F.col("total_requests").cast("string")), os.path.join(tmp_dir, "t"))
+    with pytest.raises(Exception, match="service_name is required"):
+        M.append_raw_metrics(good.withColumn("service_name", F.lit(None).cast("string")), os.path.join(tmp_dir, "t"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "t")).count() == 1
 
 
 def test_backfill_equals_union_of_days(spark):
@@ -104,6 +127,18 @@ def test_survey_sheet_roundtrip_multi_file(spark, tmp_dir):
     assert got.filter(F.col("service_name") == "service_name").count() == 0
 
 
+def test_survey_records(spark, tmp_dir):
+    """Cells and headers of several lines, doubled quotes, blank lines; two records lead each file."""
+    rest = ",".join(["TRUE"] * 11)
+    for k in (1, 2):
+        with open(os.path.join(tmp_dir, f"s{k}.csv"), "w") as f:
+            f.write(f'"Survey, part\n{k}"\n"service\nname",' + ",".join(f"h{i}" for i in range(11)) + "\n\n")
+            f.write(f'a{k},"see\nrunbook",' + rest[:-5] + f'\n\n"b""{k}",,' + rest[:-5] + "\n")
+    got = {r.service_name: r for r in read_survey(spark, tmp_dir).collect()}
+    assert sorted(got) == ["a1", "a2", 'b"1', 'b"2']
+    assert got["a1"].has_staging == "see\nrunbook" and got['b"2'].has_staging is None and got["a2"].has_feature_flags == "TRUE"
+
+
 def test_as_of_column(spark):
     rows = [(RUN_C, "service_name", "a", {"project_id": "p"}, "2xx", T(d, 6), 10, None) for d in (1, 2, 3)]
     p = _points(spark, rows)

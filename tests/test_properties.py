@@ -6,6 +6,7 @@ from helpers import events_df, raw_metrics_df, ts
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from naive import deployment_base_metrics_naive
 from svcvitals.functions.columns import environment, py_round
 from svcvitals.operators import scores as SC
 
@@ -60,9 +61,9 @@ def test_preaggregated_equals_naive(spark, perf_rows, ev_rows, fanout):
     ev = events_df(spark, [(ts(AS_OF - dt.timedelta(days=d)), s, svc, rb) for d, s, svc, rb in ev_rows])
     fast = SC.deployment_base_metrics(perf, ev, AS_OF, EPOCH, fanout=fanout)
     if fanout:
-        naive = SC.deployment_base_metrics_naive(perf, ev, AS_OF, EPOCH)
+        naive = deployment_base_metrics_naive(perf, ev, AS_OF, EPOCH)
     else:
-        naive = SC.deployment_base_metrics_naive(perf.select("service_name", "archetype").distinct(), ev, AS_OF, EPOCH)
+        naive = deployment_base_metrics_naive(perf.select("service_name", "archetype").distinct(), ev, AS_OF, EPOCH)
     key = lambda r: (r.service_name, r.archetype or "")
     assert sorted(fast.collect(), key=key) == sorted(naive.collect(), key=key)
     for r in SC.pipeline_scores_from_base(fast).collect():

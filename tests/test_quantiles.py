@@ -1,12 +1,13 @@
-"""Bounded-memory exact percentiles equal Spark's percentile."""
+"""Exact percentiles equal Spark's percentile at every size, in one plan."""
+
 
 import random
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, many_partitions
 from pyspark.sql import functions as F
 
 from svcvitals.operators import metrics as M
-from svcvitals.operators.quantiles import choose_method, exact_percentiles
+from svcvitals.operators.quantiles import exact_percentiles
 from svcvitals.sources import adapters as A
 
 PS = {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0, "p33": 0.33}
@@ -28,39 +29,51 @@ def _want(df):
             df.groupBy("g", "h").agg(*[F.percentile("v", p).alias(n) for n, p in PS.items()]).collect()}
 
 
-def test_small_groups_path(spark):
+def test_equals_percentile(spark):
     df = _data(spark)
     got = {(r.g, r.h): tuple(r[2:]) for r in exact_percentiles(df, ["g", "h"], "v", PS).collect()}
     assert got == _want(df)
 
 
-def test_refinement_path(spark):
-    df = _data(spark)
-    for md, b in ((3, 2), (10, 4), (1, 4096)):
-        got = {(r.g, r.h): tuple(r[2:]) for r in
-               exact_percentiles(df, ["g", "h"], "v", PS, max_distinct=md, buckets=b).collect()}
-        assert got == _want(df), (md, b)
-
-
-def test_choose_method(spark):
-    df = _data(spark)
-    assert choose_method(df, ["g", "h"], "v", ["g"], 100_000) == (True, True)
-    assert choose_method(df, ["g", "h"], "v", ["g"], 10) == (False, True)
-
-
-def test_rollup_bounded_equals_builtin(spark):
+def test_rollup_equals_builtin(spark):
     p = A.metric_points(spark, SF_SMALL)
     key = lambda r: (r.day, r.service_name)
     want = sorted(M.daily_latency_percentiles(p, None, method="builtin").collect(), key=key)
-    got = sorted(M.daily_latency_percentiles(p, None, method="exact", max_distinct=2).collect(), key=key)
+    got = sorted(M.daily_latency_percentiles(p, None, method="exact").collect(), key=key)
     assert got == want
 
 
 def test_single_hot_group(spark):
-    """Every latency sample in one group; refinement must narrow it level by level."""
+    """Every latency sample in one group: its values are dealt over several ranges."""
     p = A.metric_points(spark, SF_SMALL).filter(F.col("double_value").isNotNull())
     hot = p.select(F.lit("hot").alias("g"), F.col("double_value").alias("v"))
     ps = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
     want = hot.groupBy("g").agg(*[F.percentile("v", q).alias(n) for n, q in ps.items()]).collect()
-    got = exact_percentiles(hot, ["g"], "v", ps, max_distinct=20, buckets=8).collect()
-    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    with many_partitions(spark):
+        got = exact_percentiles(hot, ["g"], "v", ps)
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want]
+    ranges = {row.r for row in spark.read.parquet(*got.inputFiles()).select(F.col("_range").alias("r")).collect()}
+    assert len(ranges) > 4
+
+
+def test_extreme_values_in_a_handful_of_jobs(spark):
+    """Ranges are cut by rank, not by width: values near the largest double are nothing special."""
+    values = [-1.7e308, -1.0, 0.0, 1.0, 2.0, 1.7e308]
+    df = spark.createDataFrame([(1, v) for v in values], "g int, v double")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("extreme", "extreme")
+    try:
+        got = exact_percentiles(df, ["g"], "v", {"p0": 0.0, "p50": 0.5, "p100": 1.0}).collect()
+        jobs = len(tracker.getJobIdsForGroup("extreme"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert [tuple(r) for r in got] == [(1, -1.7e308, 0.5, 1.7e308)]
+    assert jobs <= 12
+
+
+def test_points_are_scanned_once(spark, tmp_dir):
+    """The plan over the stored ranges holds no scan of the points."""
+    points = A.metric_points(spark, SF_SMALL)
+    points.write.parquet(tmp_dir + "/points")
+    got = M.daily_latency_percentiles(spark.read.parquet(tmp_dir + "/points"), None)
+    assert not any("/points/" in f for f in got.inputFiles())

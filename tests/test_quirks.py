@@ -59,9 +59,9 @@ def test_q5_python_rounding(spark):
 
 def test_q6_project_is_greatest_non_empty(spark):
     df = spark.createDataFrame([("d", "svc", "cloudrun", "x", "proj-b")], "day string, service_name string, prefix string, label string, project_id string")
-    assert one(M.project_attribution(df, "label")).project_id == "proj-b"
+    assert one(M.project_attribution(df)).project_id == "proj-b"
     df = df.withColumn("project_id", F.lit(None).cast("string"))
-    assert one(M.project_attribution(df, "label")).project_id == "unknown"
+    assert one(M.project_attribution(df)).project_id == "unknown"
 
 
 def test_q7_zero_latency_stored_null_scores_one(spark):
@@ -81,6 +81,15 @@ def test_q8_json_scalar(spark):
     assert tuple(rows[1]) == (None, None, None, None)
 
 
+def test_json_string_that_looks_nested(spark):
+    df = spark.createDataFrame([('{"a": "[beta]svc", "b": ["x"], "c": "{", "d": {"e": 1}}',), (None,)], "j string")
+    got = df.select(*[json_scalar(F.get_json_object("j", f"$.{k}"), "j", f"$.{k}").alias(k) for k in "abcd"]).collect()
+    assert tuple(got[0]) == ("[beta]svc", None, "{", None) and tuple(got[1]) == (None,) * 4
+    builds = spark.createDataFrame([("s", "m", None, '{"status":"SUCCESS","tags":["[beta]svc"],"buildTriggerId":"t"}', None),
+                                    ("s", "m", None, '{"status":"SUCCESS","tags":[["svc"]],"buildTriggerId":"t"}', None)], S.EVENT_ENVELOPE)
+    assert [r.service_name for r in E.build_events(builds).collect()] == ["[beta]svc"]
+
+
 def test_q9_legacy_least_is_null_on_null(spark):
     df = spark.createDataFrame([("a", "sync", 0.99, None, None, 0, 10, 1.0, 1.0),
                                 ("b", "sync", 0.99, None, 0.0, 0, 10, 1.0, 1.0),

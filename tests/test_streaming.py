@@ -1,8 +1,9 @@
 """Stream == batch for the streaming ingestion paths; restarts add no rows."""
 
+import json
 import os
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, many_partitions
 
 from svcvitals import schemas as S
 from svcvitals.operators import events as E, logs as L
@@ -88,3 +89,22 @@ def test_kafka_record_mapping(spark):
                    ("cloud-builds", "m-1", t, '{"status":"SUCCESS"}', '{"buildId":"42"}')]
     env = kafka_to_envelopes(recs)
     assert E.build_events(env).count() == 0  # no tags -> dropped, like any untagged build
+
+
+def test_one_day_is_split_over_tasks(spark, tmp_dir):
+    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "sink", "ckpt"))
+    spark.range(4000).selectExpr("'s' AS subscription_name", "cast(id AS string) AS message_id", "timestamp'2024-01-01 10:00:00' AS publish_time",
+                                 "'x' AS data", "'y' AS attributes").coalesce(1).write.parquet(src)
+    with many_partitions(spark):
+        stream_events(spark, src, sink, ckpt, fmt="parquet", partition_by_day=True).awaitTermination()
+    files = [f for f in os.listdir(os.path.join(sink, "publish_date=2024-01-01")) if f.endswith(".parquet")]
+    assert len(files) > 1 and read_envelopes(spark, sink, since="2024-01-01").count() == 4000
+
+
+def test_repeated_kafka_headers(spark):
+    from svcvitals.streaming.ingest import kafka_to_envelopes
+    records = spark.createDataFrame(
+        [("t", b"k", b"v", 0, 1, None, [("a", b"1"), ("b", b"2"), ("a", b"3")]), ("t", None, b"v", 0, 2, None, None)],
+        "topic string, key binary, value binary, partition int, offset long, timestamp timestamp, headers array<struct<key:string,value:binary>>")
+    got = [r.attributes for r in kafka_to_envelopes(records).collect()]
+    assert [json.loads(x) for x in got] == [{"a": "3", "b": "2"}, {}]
