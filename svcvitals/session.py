@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -85,6 +87,26 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return _made[-1]
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application, as a zip that Spark
+    distributes: they need not have it installed."""
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _shipped or not os.path.isdir(root):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="svcvitals-"), "svcvitals-package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 @contextmanager
 def own_folders(spark: SparkSession):
     """Delete, at the end of the block, the shared folders that were made within it: for a
@@ -99,4 +121,4 @@ def own_folders(spark: SparkSession):
             path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["build_session", "configure", "recommended_conf", "shared_dir", "own_folders"]
+__all__ = ["build_session", "configure", "recommended_conf", "shared_dir", "own_folders", "ship_package"]

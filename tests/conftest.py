@@ -11,9 +11,10 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
-    from svcvitals.session import build_session
+    from svcvitals.session import build_session, ship_package
     s = build_session("local[4]", shuffle_partitions=8, app_name="svcvitals-tests")
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="svcvitals-test-ckpt-"))
+    ship_package(s)
     yield s
     s.stop()
 
