@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from svcvitals.llm import decontaminate, mixing, ngram_join, token_records, toxicity
+from svcvitals.llm.columns import prepared
 from svcvitals.sources.tables import materialize
 
 
@@ -26,6 +27,7 @@ def _judged(docs: DataFrame, judge, reject) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score does not predict to be toxic."""
+    prepared(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     lexicon = toxicity.learn(toxicity.training_rows(docs, labels))
     return _judged(docs, lambda d, **cols: toxicity.score_documents(d, lexicon, **cols), F.col("predicted") == 1)
@@ -34,6 +36,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest document of each group of linked documents; rows that share its id are
     one document, of which the first by text hash stays. Rows with a null id stay."""
+    prepared(spark)
     joined = ngram_join.join_documents(docs)
     stay = joined.filter("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
     kept = [f"in_{k}" for k in range(len(docs.columns))]
@@ -46,6 +49,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark passages make up less than a twentieth of the words."""
+    prepared(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _judged(docs, lambda d, **cols: decontaminate.find_benchmark(d, benchmark, **cols), F.col("contaminated"))
 
@@ -57,6 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each record, read back from the record files."""
+    prepared(spark)
     manifest = token_records.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return token_records.read_tokens(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from svcvitals.session import ship_package
 
 #: White space of the word definitions: space and U+0009 to U+000D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -24,4 +26,17 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in columns.items()])
 
 
-__all__ = ["WORD_PATTERN", "utf8", "word_count", "pick"]
+#: Bytes of an Arrow batch that a Python task takes at once.
+BATCH_BYTES = 16 << 20
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session, ready for the operators: its Python workers have this package, and Arrow
+    batches hold at most BATCH_BYTES (one longer row makes a batch of its own), so that what
+    a worker holds does not depend on the documents' lengths."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
+__all__ = ["WORD_PATTERN", "utf8", "word_count", "pick", "prepared"]

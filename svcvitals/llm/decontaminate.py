@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from svcvitals.llm.bytecols import mixed, ragged, row_slices, string_bytes, words
 from svcvitals.llm.columns import pick
+from svcvitals.llm.tasks import frugal
 from svcvitals.sources.tables import materialize
 
 WINDOW = 13
@@ -107,11 +108,11 @@ _RESULT = "n_words long, spans array<struct<first:long,last:long>>, items array<
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
-def _scan(tables, names: list[str]):
+def _scan(tables, items_of: list[str], kept: list[str]):
     """mapInArrow: each row's word count, hit runs (word numbers) and items."""
 
     def run(batches):
-        numbers = np.array(names, dtype=object)
+        numbers = np.array(items_of, dtype=object)
         for batch in batches:
             data, offsets = string_bytes(batch.column("text"))
             n_words, spans, items = np.zeros(len(batch), np.int64), [[]] * len(batch), [[]] * len(batch)
@@ -143,9 +144,8 @@ def _scan(tables, names: list[str]):
                 pairs = np.concatenate(pairs)
                 for k in np.unique(pairs[:, 0]):
                     items[i + k] = sorted(set(numbers[pairs[pairs[:, 0] == k, 1]]))
-            keep = [batch.column(c) for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(n_words), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))],
-                                             names=[c for c in batch.schema.names if c != "text"] + ["n_words", "spans", "items"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(n_words), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))],
+                                             names=kept + ["n_words", "spans", "items"])
 
     return run
 
@@ -161,18 +161,21 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     empty benchmark nothing is hit. Repeated rows are judged each for itself.
     """
     spark = docs.sparkSession
-    cols = {f"c{k}": c for k, c in enumerate(keep)}
+    cols = {f"c{k}": c for k, c in enumerate(keep) if c != text_col}
     rows = pick(docs, doc_id=id_col, text=text_col, **cols)
+    if text_col in keep:
+        cols["text"] = text_col
+    names = [c for c in rows.columns if c != "text" or text_col in keep]
     items = pick(benchmark, item=item_col, text=item_text_col).select(
         F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n_groups = max(1, -(-size // group_bytes))
     items = items.withColumn("g", F.pmod(F.xxhash64("item", "text"), F.lit(n_groups)))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
     found = None
     for g in range(n_groups):
         group = [(r["item"], r["text"]) for r in items.filter(F.col("g") == g).collect()]
-        one = rows.mapInArrow(_scan(spark.sparkContext.broadcast(build(group, window)), [name for name, _ in group]), f"{kinds}, {_RESULT}")
+        one = rows.mapInArrow(frugal(_scan(spark.sparkContext.broadcast(build(group, window)), [name for name, _ in group], names)), f"{kinds}, {_RESULT}")
         found = one if found is None else found.unionByName(one)
     if n_groups > 1:  # merge the passes' runs and items per document
         found = _merged(materialize(found, "benchmark-hits"), [c for c in found.columns if c not in ("n_words", "spans", "items")])

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from svcvitals.llm.columns import pick
+from svcvitals.llm.tasks import frugal
 from svcvitals.session import shared_dir
 
 STRIP = " \t\n\x0b\x0c\r"
@@ -210,7 +211,7 @@ class LineStore:
 
     def _refs_of(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        return rows.filter("doc_id IS NOT NULL").mapInArrow(_refs, "key binary, doc_id long").select(self._shard(), "key", "doc_id")
+        return rows.filter("doc_id IS NOT NULL").mapInArrow(frugal(_refs), "key binary, doc_id long").select(self._shard(), "key", "doc_id")
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> "LineStore":
         """Add the lines of documents. Rows that repeat a document add what is new."""
@@ -269,7 +270,7 @@ class LineStore:
         lost = self.refs.join(self.repeated(), "key").filter(F.col("doc_id") != F.col("keeper")).groupBy("doc_id").agg(
             F.collect_set("key").alias("lost"))
         rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        return rows.join(lost, "doc_id", "left").mapInArrow(_drop, "doc_id long, n_lines long, n_dropped long, text string")
+        return rows.join(lost, "doc_id", "left").mapInArrow(frugal(_drop), "doc_id long, n_lines long, n_dropped long, text string")
 
 
 def _counted(refs: DataFrame) -> DataFrame:

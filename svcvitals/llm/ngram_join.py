@@ -22,6 +22,8 @@ not compared; every document pair that links is connected in the result.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -31,11 +33,12 @@ from svcvitals.llm.bytecols import mixed, ragged, row_slices, rows_of, string_by
 from svcvitals.llm.columns import pick
 from svcvitals.llm.components import components
 from svcvitals.llm.signature_tree import SignatureTree, Union, connect
+from svcvitals.llm.tasks import frugal
 from svcvitals.sources.tables import materialize
 
 N = 4
 PERCENT = 85
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BLOCK_TOKENS = 1 << 21
 TILE = 512
 BUNDLE = 2000
@@ -92,7 +95,7 @@ def _deal(block: str, grams: np.ndarray, counts: np.ndarray, n_buckets: int, inf
     sent = (grams >> np.uint64(32)).astype("<u4") if token_type == "<u4" else grams.astype("<u8")
     sent, doc, bucket = sent[order], doc[order], bucket[order]
     ends = np.searchsorted(bucket, np.arange(n_buckets + 1))
-    rows = [(sum(block.encode()) % n_buckets, block, True, *info)]
+    rows = [(zlib.crc32(block.encode()) % n_buckets, block, True, *info)]
     for k in range(n_buckets):
         a, b = ends[k], ends[k + 1]
         if b > a:
@@ -363,14 +366,14 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = materialize(
-        source.filter("doc_id IS NOT NULL").mapInArrow(_scan(n, buckets), _PACKED).groupBy("bucket").applyInArrow(_count_repeats, _ANSWER)
+        source.filter("doc_id IS NOT NULL").mapInArrow(frugal(_scan(n, buckets)), _PACKED).groupBy("bucket").applyInArrow(_count_repeats, _ANSWER)
         .groupBy("block").applyInArrow(_docs_of_block, "doc_id long, n long, cid binary, repeats long"), "shingle-counts")
     classes = materialize(table.filter("n > 0").groupBy("cid").agg(
         F.min("doc_id").alias("class_id"), F.max("n").alias("n"), F.max("repeats").alias("repeats")), "classes")
     candidates = classes.filter(F.col("repeats") * 100 >= F.col("n") * percent).select("cid", F.col("class_id").alias("doc_id"))
     texts = source.join(candidates, "doc_id").select(F.col("doc_id").alias("class_id"), "cid", "text")
-    sets = materialize(texts.mapInArrow(_sets(n), "node long, grams binary").dropDuplicates(["node", "grams"]), "sets")
-    shared = materialize(sets.mapInArrow(_deal_sets(buckets), _PACKED).groupBy("bucket").applyInArrow(_count_classes, _ANSWER)
+    sets = materialize(texts.mapInArrow(frugal(_sets(n)), "node long, grams binary").dropDuplicates(["node", "grams"]), "sets")
+    shared = materialize(sets.mapInArrow(frugal(_deal_sets(buckets)), _PACKED).groupBy("bucket").applyInArrow(_count_classes, _ANSWER)
                          .groupBy("block").applyInArrow(_prefixes(percent), "token long, node long"), "prefixes")
     hubs = shared.groupBy("token").agg(F.min("node").alias("hub"))
     coarse = materialize(components(shared.join(hubs, "token").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "coarse")
@@ -380,7 +383,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("component_id", "class_id", "doc_id").alias("component_id"))
     lost = source.filter("doc_id IS NULL")
-    nulls = lost.mapInArrow(_sizes(n), "n_shingles long").select(
+    nulls = lost.mapInArrow(frugal(_sizes(n)), "n_shingles long").select(
         F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("component_id"))
     return result.unionByName(nulls)
 

@@ -6,11 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, sharding, suffix_dedup, token_records, topk_search, toxicity, url_filter
-from svcvitals.llm.columns import utf8
+from svcvitals.llm.columns import prepared, utf8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

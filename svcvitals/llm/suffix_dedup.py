@@ -29,6 +29,7 @@ equal keys of a block are sent once, so a hot passage costs one entry per block.
 from __future__ import annotations
 
 import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from svcvitals.llm.bytecols import CHUNK, mixed, powers, prefix_sums, ragged, row_slices, string_bytes, window_hashes
 from svcvitals.llm.columns import pick
+from svcvitals.llm.tasks import frugal
 from svcvitals.sources.tables import materialize
 
 LENGTH = 400
@@ -233,7 +235,7 @@ def _send_triggers(shape: Shape, n_buckets: int):
             k1, k2 = _keys_of(batch, i, j)
             plain = np.bincount(np.searchsorted(offsets, parse.plain(), side="right") - 1, minlength=j - i) > 0
             counts = np.bincount(parse.row, minlength=j - i).astype("<u4")
-            rows = [(seq % n_buckets, block, True, k1 + k2, counts.tobytes(), place.tobytes(), plain.tobytes())]
+            rows = [(zlib.crc32(block.encode()) % n_buckets, block, True, k1 + k2, counts.tobytes(), place.tobytes(), plain.tobytes())]
             ends = _split(n_buckets, bucket)
             rows += [(k, block, False, short[a:b].tobytes(), digest[a:b].tobytes(), state[a:b].tobytes(), None)
                      for k, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if b > a]
@@ -337,7 +339,7 @@ def _send_windows(shape: Shape, n_buckets: int):
             new = np.flatnonzero(np.concatenate([np.ones(min(1, len(local)), bool), (np.diff(local) != 1) | (np.diff(rows) != 0)]))
             runs = np.stack([local[new], np.diff(np.append(new, len(local)))]).astype("<u4")
             way = struct.pack("<Q", len(first)) + bucket.tobytes() + place[again].astype("<u4").tobytes()
-            out = [(seq % n_buckets, block, True, k1 + k2, counts.tobytes(), runs.tobytes(), np.packbits(again).tobytes() + way)]
+            out = [(zlib.crc32(block.encode()) % n_buckets, block, True, k1 + k2, counts.tobytes(), runs.tobytes(), np.packbits(again).tobytes() + way)]
             order = np.argsort(bucket, kind="stable")
             a, b, times, bucket = a[order].astype("<u8"), b[order].astype("<u4"), (times[order] > 1).astype(np.uint8), bucket[order]
             ends = _split(n_buckets, bucket)
@@ -469,19 +471,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("*", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("k1"), F.xxhash64("text").alias("k2"))
     codes = materialize(
-        rows.filter(F.octet_length("text") >= length).select("k1", "k2", "text").mapInArrow(_send_triggers(shape, buckets), _PACKED)
+        rows.filter(F.octet_length("text") >= length).select("k1", "k2", "text").mapInArrow(frugal(_send_triggers(shape, buckets)), _PACKED)
         .groupBy("bucket").applyInArrow(_judge_triggers, _ANSWER)
         .groupBy("block").applyInArrow(_codes_of_docs, "k1 long, k2 long, codes binary, open boolean")
         .dropDuplicates(["k1", "k2"]), "trigger-codes")
     runs = materialize(
         rows.select("k1", "k2", "text").join(codes.filter("open").select("k1", "k2", "codes"), ["k1", "k2"]).sortWithinPartitions("k1", "k2")
-        .mapInArrow(_send_windows(shape, buckets), _PACKED)
+        .mapInArrow(frugal(_send_windows(shape, buckets)), _PACKED)
         .groupBy("bucket").applyInArrow(_judge_windows, _ANSWER)
         .groupBy("block").applyInArrow(_windows_of_docs, "k1 long, k2 long, runs binary")
         .dropDuplicates(["k1", "k2"]), "window-runs")
     found = codes.select("k1", "k2", "codes").join(runs, ["k1", "k2"], "full")
     return rows.join(found, ["k1", "k2"], "left").select("doc_id", "text", "codes", "runs").mapInArrow(
-        _remove(shape), "doc_id long, n_bytes long, spans array<struct<first:long,last:long>>, kept binary")
+        frugal(_remove(shape)), "doc_id long, n_bytes long, spans array<struct<first:long,last:long>>, kept binary")
 
 
 __all__ = ["Shape", "Parse", "triggers", "sorted_common", "corpus_order", "remove_repeats", "LENGTH"]

@@ -32,6 +32,7 @@ from svcvitals.llm.columns import pick
 from svcvitals.llm.crc32c import crc32c, crc32c_rows, masked
 from svcvitals.llm.files import open_fs
 from svcvitals.llm.tokenizing import CachedTokenizer
+from svcvitals.llm.tasks import frugal
 from svcvitals.session import shared_dir
 from svcvitals.sources.tables import materialize
 
@@ -172,7 +173,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str | None = None
     rows = pick(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    files = materialize(ordered.mapInArrow(_write(folder, tokenizer_path, end_id, shard_bytes), _MANIFEST), "token-manifest")
+    files = materialize(ordered.mapInArrow(frugal(_write(folder, tokenizer_path, end_id, shard_bytes)), _MANIFEST), "token-manifest")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long"))
 
@@ -206,7 +207,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     """
     files = manifest.select("part", "seq", "file", "n_bytes", "start")
     n = max(1, files.count())
-    return files.repartitionByRange(n, "part", "seq").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids binary")
+    return files.repartitionByRange(n, "part", "seq").mapInArrow(frugal(_read), "doc_id long, start long, n_tokens long, ids binary")
 
 
 __all__ = ["RecordWriter", "read_index", "read_records", "parse", "write_tokens", "read_tokens", "END_ID"]

@@ -16,7 +16,7 @@ import numpy as np
 from svcvitals.llm.bytecols import prefix_sums, ragged, row_slices, span_hashes
 
 #: Distinct cuts that a worker keeps (about 50 bytes each) before it starts afresh.
-CACHE_ENTRIES = 1_500_000
+CACHE_ENTRIES = 1_000_000
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _ALNUM = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
 _PUNCT = np.array([33 <= b <= 126 and not a for b, a in enumerate(_ALNUM)])
@@ -54,7 +54,7 @@ class _Cache:
     def clear(self) -> None:
         self.keys = np.zeros(self.mask + 1, np.uint64)  # 0: free; a cut with hash 0 counts as 1
         self.entry = np.zeros(self.mask + 1, np.int32)
-        self.starts, self.ids, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, self.dtype), 0
+        self.starts, self.ids, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 18, self.dtype), 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Entry of each key, or -1."""
@@ -71,7 +71,7 @@ class _Cache:
 
     def add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
         """Add distinct keys that are not there."""
-        ends = self.starts[self.n] + np.cumsum([len(x) for x in ids])
+        ends = int(self.starts[self.n]) + np.cumsum([len(x) for x in ids])
         while self.n + len(keys) >= len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
         while ends[-1] > len(self.ids):
@@ -160,7 +160,7 @@ class CachedTokenizer:
             at = new[first]
             self.cache.add(keys, self._ids_of([raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())]))
             entry[new] = self.cache.find(hashes[new])
-        begin = self.cache.starts[entry]
+        begin = self.cache.starts[entry].astype(np.int64)
         n = self.cache.starts[entry + 1] - begin
         ids = self.cache.ids[np.repeat(begin, n) + ragged(n)]
         total = np.concatenate([[0], np.cumsum(n)])

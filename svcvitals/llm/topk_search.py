@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from svcvitals.llm.columns import pick
+from svcvitals.llm.tasks import frugal
 from svcvitals.sources.tables import materialize
 
 BLOCK = 1024
@@ -130,13 +131,13 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: float = 1024.0, id_c
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector")).distinct()
     rows = materialize(rows, "vectors")
     slots = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    candidates = rows.mapInArrow(_pack(scale, BLOCK), _PACKED).withColumn(
+    candidates = rows.mapInArrow(frugal(_pack(scale, BLOCK)), _PACKED).withColumn(
         "slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int"))
-    queries = rows.filter(is_query).mapInArrow(_pack(scale, QUERY_BLOCK), _PACKED).select(
+    queries = rows.filter(is_query).mapInArrow(frugal(_pack(scale, QUERY_BLOCK)), _PACKED).select(
         F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("weights").alias("q_weights"),
         F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
     found = queries.join(candidates, "slot").select("q_dim", "q_ids", "q_weights", "dim", "ids", "weights").mapInArrow(
-        _search(k), "query_id long, vec_id long, score long")
+        frugal(_search(k)), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from svcvitals.llm.columns import pick
+from svcvitals.llm.tasks import frugal
 from svcvitals.sources.tables import materialize
 
 #: Characters folded to the Latin letters they look like or stand for.
@@ -195,7 +196,7 @@ def learn(labelled: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
     n_toxic, n_other = totals["a"] or 0, totals["b"] or 0
     if not n_toxic or not n_other:
         return Lexicon(intercept=8.0 if n_toxic else -8.0)
-    words = materialize(labelled.mapInArrow(_count_words, "word string, a long, b long").groupBy("word").agg(
+    words = materialize(labelled.mapInArrow(frugal(_count_words), "word string, a long, b long").groupBy("word").agg(
         F.sum("a").alias("a"), F.sum("b").alias("b")), "term-counts")
     whole = words.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("term"), "a", "b")
     begun = words.select(F.explode(F.array(*[F.when(F.length("word") >= n, F.concat(F.lit(" "), F.substring("word", 1, n))) for n in PREFIXES])
@@ -211,13 +212,13 @@ def learn(labelled: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
         F.col("up") & (F.col("gain") >= bound) & (F.col("weight") >= MIN_WEIGHT))
     lexicon = Lexicon({r["term"]: r["weight"] for r in chosen.orderBy(F.desc("gain"), "term").limit(max_terms).collect()})
     sent = spark.sparkContext.broadcast(lexicon)
-    pairs = labelled.mapInArrow(_count_pairs(sent), "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    pairs = labelled.mapInArrow(frugal(_count_pairs(sent)), "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     base = n_toxic / (n_toxic + n_other)
     other = F.when(a > 0, a * F.log(a / (n * base))).otherwise(0.0) + F.when(b > 0, b * F.log(b / (n * (1 - base)))).otherwise(0.0)
     milder = pairs.filter((a / n < base) & (other >= 3.0)).orderBy(F.desc(other), "word").limit(max_terms)
     lexicon.exceptions = frozenset(r["word"] for r in milder.collect())
     sent = spark.sparkContext.broadcast(lexicon)
-    bins = labelled.mapInArrow(_raw_scores(sent), "toxic int, raw double").select("toxic", (F.ceil(F.log1p("raw") * BINS) / BINS).alias("x"))
+    bins = labelled.mapInArrow(frugal(_raw_scores(sent)), "toxic int, raw double").select("toxic", (F.ceil(F.log1p("raw") * BINS) / BINS).alias("x"))
     points = bins.groupBy("x").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).collect()
     lexicon.slope, lexicon.intercept = fit_curve([(r["x"], r["a"], r["b"]) for r in points])
     return lexicon
@@ -248,10 +249,12 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", t
     rows score alike.
     """
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)
-    cols = {f"c{k}": c for k, c in enumerate(keep)}
+    cols = {f"c{k}": c for k, c in enumerate(keep) if c != text_col}
     rows = pick(docs, doc_id=id_col, text=text_col, **cols)
-    names = [c for c in rows.columns if c != "text"]
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    if text_col in keep:
+        cols["text"] = text_col
+    names = [c for c in rows.columns if c != "text" or text_col in keep]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
 
     def run(batches):
         own = sent.value
@@ -266,7 +269,7 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(score, pa.float64()), pa.array(n_words, pa.int64()), pa.array(n_hits, pa.int64())],
                                              names=names + ["score", "n_words", "n_hits"])
 
-    out = rows.mapInArrow(run, f"{kinds}, score double, n_words long, n_hits long")
+    out = rows.mapInArrow(frugal(run), f"{kinds}, score double, n_words long, n_hits long")
     return out.select(F.col("doc_id").alias(id_col), *[F.col(k).alias(c) for k, c in cols.items()], "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"), "n_words", "n_hits")
 

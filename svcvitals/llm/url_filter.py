@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from svcvitals.llm.columns import pick
 from svcvitals.llm.files import write_bytes
+from svcvitals.llm.tasks import frugal
 from svcvitals.session import shared_dir
 
 #: The rules in use: (host, path prefix, verdict).
@@ -153,7 +154,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     host, path = url_parts(F.col("url"))
     kind = src.schema["page_id"].dataType.simpleString()
     return src.select("page_id", host.alias("host"), path.alias("path")).mapInArrow(
-        run, f"page_id {kind}, host string, path string, rule string, verdict string")
+        frugal(run), f"page_id {kind}, host string, path string, rule string, verdict string")
 
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
