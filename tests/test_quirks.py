@@ -6,7 +6,7 @@ import pytest
 from helpers import approx, events_df, one, raw_metrics_df, ts
 from pyspark.sql import functions as F
 
-from svcvitals import schemas as S
+from svcvitals import config as C, schemas as S
 from svcvitals.functions.columns import environment, json_scalar, py_round
 from svcvitals.operators import events as E, legacy as W, metrics as M, scores as SC, survey as SV
 
@@ -159,8 +159,8 @@ def test_q18_rerun_appends_duplicates(spark, tmp_dir):
 
 
 def test_q19_classifier_order(spark):
-    df = spark.createDataFrame([("product-dev",), ("x-staging-dev",), ("endpoints--api.datacommons.org",),
-                                ("endpoints--staging.api.datacommons.org",), (None,)], "n string")
+    df = spark.createDataFrame([("product-dev",), ("x-staging-dev",), (C.TARGET_SERVICES["mixer-prod"][0],),
+                                (C.TARGET_SERVICES["mixer-staging"][0],), (None,)], "n string")
     assert [r[0] for r in df.select(environment("n")).collect()] == ["Prod", "Staging", "Prod", "Staging", "Unknown"]
 
 

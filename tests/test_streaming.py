@@ -5,7 +5,7 @@ import os
 
 from conftest import SF_SMALL, many_partitions
 
-from svcvitals import schemas as S
+from svcvitals import config as C, schemas as S
 from svcvitals.operators import events as E, logs as L
 from svcvitals.sources import adapters as A
 from svcvitals.sources.tables import read_deployment_events, read_envelopes, read_routed_logs
@@ -57,8 +57,8 @@ def test_stream_route_logs_equals_batch(spark, tmp_dir):
     logs.write.parquet(src)
     sink, ckpt = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt")
     stream_route_logs(spark, src, sink, ckpt, partition_by_day=True).awaitTermination()
-    got = read_routed_logs(spark, sink).selectExpr("ts", "severity", "labels['datacommons-service'] AS s")
-    want = L.route_logs(logs).selectExpr("ts", "severity", "labels['datacommons-service'] AS s")
+    got = read_routed_logs(spark, sink).selectExpr("ts", "severity", f"labels['{C.LOG_SERVICE_LABEL}'] AS s")
+    want = L.route_logs(logs).selectExpr("ts", "severity", f"labels['{C.LOG_SERVICE_LABEL}'] AS s")
     assert _rows(got) == _rows(want)
 
 
