@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from svcvitals.llm.columns import pick, utf8
+from svcvitals.sources.tables import materialize
 
 #: The generator's multiplier, as published with the jump function (fixed value).
 LCG = 2862933555777941757
@@ -64,18 +65,17 @@ def assign_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_c
 
     size is the UTF-8 length plus 8. Slots number a shard's rows from 0 without gaps. A
     shard is numbered in hash ranges of its keys, ``rows_per_range`` rows each on average:
-    the ranges' counts are summed first, and only one range's rows (no texts) meet in a
-    task. Null text: no bytes; null id: key 0. Repeated rows each get a slot of their own;
+    the ranges' counts are summed first, and only one range's rows meet in a task. Texts are
+    read once; what is needed of them is written to the shared folder. Null text: no bytes; null id: key 0. Repeated rows each get a slot of their own;
     rows with one id share a shard by definition. An empty table gives no rows.
     """
     rows = pick(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(utf8(F.col("text"))) + 8).cast("long").alias("size"),
         F.crc32(utf8(F.col("text"))).alias("text_crc32"))
-    rows = rows.select("*", jump_hash(F.col("doc_id"), n_shards).alias("shard"),
-                       jump_hash(F.col("doc_id"), n_shards + 1).alias("grown_shard"))
-    # as many ranges as the table's row count asks for; a count reads no column
-    n_ranges = max(1, -(-docs.count() // (rows_per_range * n_shards)))
+    rows = materialize(rows.select("*", jump_hash(F.col("doc_id"), n_shards).alias("shard"),
+                                   jump_hash(F.col("doc_id"), n_shards + 1).alias("grown_shard")), "shard-rows")
+    n_ranges = max(1, -(-rows.count() // (rows_per_range * n_shards)))
     rows = rows.withColumn("range", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n_ranges)).cast("int"))
     counts = rows.groupBy("shard", "range").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
