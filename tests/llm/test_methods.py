@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from llm_fixtures import table  # noqa: F401
 
 from svcvitals.llm import decontaminate, line_dedup, ngram_join, suffix_dedup, token_records, toxicity
 from svcvitals.llm.bytecols import string_bytes, words

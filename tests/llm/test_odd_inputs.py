@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from svcvitals.llm import (decontaminate, line_dedup, mixing, ngram_join, sharding, suffix_dedup, token_records,
                            topk_search, toxicity, url_filter)
-from llm_fixtures import DOC_SCHEMA, odd_docs
+from llm_fixtures import DOC_SCHEMA, odd_docs, table  # noqa: F401
 
 
 @pytest.fixture(params=["odd", "empty"])
