@@ -14,6 +14,11 @@ from svcvitals.llm import decontaminate, mixing, ngram_join, token_records, toxi
 from svcvitals.llm.columns import prepared
 from svcvitals.sources.tables import materialize
 
+#: Words of a shingle, and the Jaccard similarity in percent from which documents are near
+#: copies, in the near-copy stage; the op5 query keeps its own contract.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def _judged(docs: DataFrame, judge, reject) -> DataFrame:
     """The rows of docs that ``judge`` does not ``reject``; its columns get names of their own
@@ -37,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The smallest document of each group of linked documents; rows that share its id are
     one document, of which the first by text hash stays. Rows with a null id stay."""
     prepared(spark)
-    joined = ngram_join.join_documents(docs)
+    joined = ngram_join.join_documents(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
     stay = joined.filter("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
     kept = [f"in_{k}" for k in range(len(docs.columns))]
     doc_id, text = (F.col(kept[docs.columns.index(c)]) for c in ("doc_id", "text"))

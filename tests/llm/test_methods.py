@@ -341,3 +341,17 @@ def test_pipeline_stages(spark, tmp_path):
     assert Counter(r["doc_id"] for r in after.collect()) == Counter({k: c for k, c in copies.items() if c})
     before, after = seen["token_records"]
     assert sorted(r["doc_id"] for r in after.collect()) == sorted(r["doc_id"] for r in before.collect())
+
+
+def test_pipeline_takes_near_copies_from_80_percent_of_five_words(spark, table):
+    import corpus_pipeline as P
+    base = [f"w{k}" for k in range(200)]
+    near, far = list(base), list(base)
+    near[50:65] = [f"x{k}" for k in range(15)]
+    far[50:75] = [f"y{k}" for k in range(25)]
+    texts = [" ".join(t) for t in (base, near, far)]
+    share = lambda n, k: (lambda a, b: len(a & b) / len(a | b))(grams(texts[0], n), grams(texts[k], n))
+    assert share(4, 1) < 0.85 and share(5, 1) >= 0.8 > share(5, 2)
+    docs = table(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in P.drop_near_copies(spark, docs, "").collect()) == [0, 2]
+    assert len({r["component_id"] for r in ngram_join.join_documents(docs).collect()}) == 3
