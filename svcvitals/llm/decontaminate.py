@@ -7,8 +7,9 @@ block are found through a bucket of that suffix and compared word by word. The w
 many documents are searched side by side: each lane of words moves by its own shift, and a
 word's number is looked up only where a lane stops.
 
-The benchmark is read by the driver in groups of at most ``GROUP_BYTES`` of text; one
-group's tables are broadcast at a time, and each group is one pass over the documents.
+The benchmark is read by the driver in groups of about ``GROUP_BYTES`` of text; one
+group's tables are built and broadcast at a time, and each group is one pass over the
+documents. The tables hold the group's words once and grow with its number of windows.
 """
 
 from __future__ import annotations
@@ -32,23 +33,22 @@ SEPARATOR = np.array([b < 128 and not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b
 
 
 class WuManber:
-    """The tables for patterns of one length, given as rows of word hashes."""
+    """The tables for patterns of one length, given by where they start in ``words`` (hashes)."""
 
-    def __init__(self, patterns: np.ndarray):
-        self.n, self.length = patterns.shape
+    def __init__(self, words: np.ndarray, starts: np.ndarray, length: int):
+        self.words, self.length = words, length
         self.block = min(2, self.length)
-        size = 1 << max(12, int(np.ceil(np.log2(max(1, patterns.size)))) + 3)
+        size = 1 << max(12, int(np.ceil(np.log2(max(1, len(starts))))) + 3)
         self.mask = np.uint64(size - 1)
-        self.shift = np.full(size, self.length - self.block + 1, dtype=np.int32)
+        self.shift = np.full(size, self.length - self.block + 1, dtype=np.min_scalar_type(self.length))
         for end in range(self.block, self.length + 1):  # later blocks allow smaller shifts
-            np.minimum.at(self.shift, self._slot(patterns, end - 1), self.length - end)
-        suffix = self._slot(patterns, self.length - 1)
+            self.shift[self._slot(starts, end - 1)] = self.length - end
+        suffix = self._slot(starts, self.length - 1)
         order = np.argsort(suffix, kind="stable")
-        self.patterns, self.order = patterns[order], order
-        self.first = np.searchsorted(suffix[order], np.arange(size + 1))
+        self.starts, self.order, self.suffix = (x.astype(np.int32) for x in (starts[order], order, suffix[order]))
 
-    def _slot(self, patterns: np.ndarray, at: int) -> np.ndarray:
-        return self.slots(patterns[:, at], patterns[:, at - 1] if self.block == 2 else None)
+    def _slot(self, starts: np.ndarray, at: int) -> np.ndarray:
+        return self.slots(self.words[starts + at], self.words[starts + at - 1] if self.block == 2 else None)
 
     def slots(self, last: np.ndarray, before: np.ndarray | None) -> np.ndarray:
         h = last if before is None else last + before * np.uint64(0x9E3779B97F4A7C15)
@@ -66,15 +66,17 @@ class WuManber:
             skip = self.shift[slot]
             here = np.flatnonzero(skip == 0)
             if len(here):
-                counts = self.first[slot[here] + 1] - self.first[slot[here]]
+                wanted = slot[here].astype(np.int32)
+                first = np.searchsorted(self.suffix, wanted)
+                counts = np.searchsorted(self.suffix, wanted, side="right") - first
                 at = np.repeat(pos[here], counts)
-                candidate = np.repeat(self.first[slot[here]], counts) + ragged(counts)
+                candidate = np.repeat(first, counts) + ragged(counts)
                 for back in range(self.length):  # direct comparison, last word first
-                    same = hashes[at - back] == self.patterns[candidate, self.length - 1 - back]
+                    same = hashes[at - back] == self.words[self.starts[candidate] + (self.length - 1 - back)]
                     at, candidate = at[same], candidate[same]
                 found_at.append(at)
                 found.append(self.order[candidate])
-            pos = pos + np.maximum(skip, 1)
+            pos = pos + np.maximum(skip, 1).astype(np.int64)
             left = pos < stop
             pos, stop = pos[left], stop[left]
         if not found:
@@ -82,25 +84,35 @@ class WuManber:
         return np.concatenate(found_at), np.concatenate(found)
 
 
+def _equal_windows(hashes: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows of ``length`` words: where each distinct one first starts, and each
+    window's number among those. Ranks of 1, 2, 4, ... words name what is equal."""
+    rank, span = np.unique(hashes, return_inverse=True)[1], 1
+    while 2 * span <= length:
+        pairs = rank[:len(rank) - span] * (int(rank.max()) + 1) + rank[span:]
+        rank, span = np.unique(pairs, return_inverse=True)[1], 2 * span
+    pairs = rank[starts] * (int(rank.max()) + 1) + rank[starts + length - span]
+    _, first, which = np.unique(pairs, return_index=True, return_inverse=True)
+    return starts[first], which
+
+
 def build(items: list[tuple[str, str]], window: int = WINDOW) -> list[tuple[WuManber, np.ndarray, np.ndarray]]:
     """For each pattern length: the tables, and each pattern's items as offsets and numbers."""
     texts = pa.array([t for _, t in items], pa.string())
     data, offsets = string_bytes(texts)
     starts, _, hashes = words(data, offsets, SEPARATOR)
     ends = np.searchsorted(starts, offsets[1:])
-    by_length: dict[int, tuple[list, list]] = {}
-    for item, (a, b) in enumerate(zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist())):
-        length = min(window, b - a)
-        if length:
-            rows = np.lib.stride_tricks.sliding_window_view(hashes[a:b], length)
-            own = by_length.setdefault(length, ([], []))
-            own[0].append(rows)
-            own[1].append(np.full(len(rows), item))
+    begins = np.concatenate([np.zeros(min(1, len(ends)), np.int64), ends[:-1]])
+    lengths = np.minimum(window, ends - begins)
     out = []
-    for length, (rows, owners) in sorted(by_length.items()):
-        patterns, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
-        pairs = np.unique(np.stack([which.reshape(-1), np.concatenate(owners)], axis=1), axis=0)
-        out.append((WuManber(patterns), np.searchsorted(pairs[:, 0], np.arange(len(patterns) + 1)), pairs[:, 1]))
+    for length in np.unique(lengths[lengths > 0]).tolist():
+        own = np.flatnonzero(lengths == length)
+        counts = ends[own] - begins[own] - length + 1
+        at = np.repeat(begins[own], counts) + ragged(counts)
+        patterns, which = _equal_windows(hashes, at, length)
+        pairs = np.unique(which * len(items) + np.repeat(own, counts))
+        first = np.searchsorted(pairs, np.arange(len(patterns) + 1) * len(items))
+        out.append((WuManber(hashes, patterns, length), first.astype(np.int32), (pairs % len(items)).astype(np.int32)))
     return out
 
 
@@ -170,22 +182,42 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
         F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n_groups = max(1, -(-size // group_bytes))
-    items = items.withColumn("g", F.pmod(F.xxhash64("item", "text"), F.lit(n_groups)))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
-    found = None
-    for g in range(n_groups):
-        group = [(r["item"], r["text"]) for r in items.filter(F.col("g") == g).collect()]
-        one = rows.mapInArrow(frugal(_scan(spark.sparkContext.broadcast(build(group, window)), [name for name, _ in group], names)), f"{kinds}, {_RESULT}")
-        found = one if found is None else found.unionByName(one)
-    if n_groups > 1:  # merge the passes' runs and items per document
-        found = _merged(materialize(found, "benchmark-hits"), [c for c in found.columns if c not in ("n_words", "spans", "items")])
+    if n_groups == 1:
+        found = _pass(rows, items, names, window)[0]
+    else:
+        found = _in_groups(rows, items, names, window, n_groups)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     found = found.withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words")))
     return found.select(F.col("doc_id").alias(id_col), *[F.col(k).alias(c) for k, c in cols.items()], "n_words", "n_hit", "spans", "items", "contaminated")
 
 
-def _merged(found: DataFrame, key: list[str]) -> DataFrame:
-    """One row per document from those of several passes: the union of runs and of items."""
+def _pass(rows: DataFrame, items: DataFrame, names: list[str], window: int):
+    """The named columns and the result of the items for each row, and what was broadcast."""
+    group = [(r["item"], r["text"]) for r in items.select("item", "text").collect()]
+    tables = rows.sparkSession.sparkContext.broadcast(build(group, window))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema)
+    return rows.mapInArrow(frugal(_scan(tables, [name for name, _ in group], names)), f"{kinds}, {_RESULT}"), tables
+
+
+def _in_groups(rows: DataFrame, items: DataFrame, names: list[str], window: int, n_groups: int) -> DataFrame:
+    """The passes of a larger benchmark, one stored after the other and merged by stored row
+    numbers, so that each row is judged for itself whatever repeats."""
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "benchmark-rows")
+    group = F.pmod(F.xxhash64("item", "text"), F.lit(n_groups)).alias("g")
+    items = materialize(items.distinct().select("*", group).sort("g"), "benchmark-items")
+    found = None
+    for g in range(n_groups):
+        one, tables = _pass(rows.select("row", "text"), items.filter(F.col("g") == g), ["row"], window)
+        if g:  # the first pass counts every row's words
+            one = one.filter(F.size("spans") > 0)
+        one = materialize(one, "benchmark-hits")
+        tables.destroy()
+        found = one if found is None else found.unionByName(one)
+    return rows.select("row", *names).join(_merged(found), "row").drop("row")
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """One row per row number from those of several passes: the union of runs and of items."""
     runs = F.array_sort(F.flatten(F.collect_list("spans")))
     joined = F.aggregate(
         runs, F.array().cast("array<struct<first:long,last:long>>"),
@@ -193,8 +225,8 @@ def _merged(found: DataFrame, key: list[str]) -> DataFrame:
             F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
             F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["last"], s["last"]).alias("last")))))
         .otherwise(F.concat(acc, F.array(s))))
-    return found.groupBy(*key).agg(F.first("n_words").alias("n_words"), joined.alias("spans"),
-                                   F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return found.groupBy("row").agg(F.first("n_words").alias("n_words"), joined.alias("spans"),
+                                    F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
 
 __all__ = ["WuManber", "build", "find_benchmark", "SEPARATOR", "WINDOW", "HIT_SHARE"]

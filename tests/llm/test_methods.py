@@ -355,3 +355,27 @@ def test_pipeline_takes_near_copies_from_80_percent_of_five_words(spark, table):
     docs = table(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r["doc_id"] for r in P.drop_near_copies(spark, docs, "").collect()) == [0, 2]
     assert len({r["component_id"] for r in ngram_join.join_documents(docs).collect()}) == 3
+
+
+def test_benchmark_groups_judge_each_row_for_itself(table):
+    """Repeated ids, null ids and repeated rows give the same rows by one pass or by many."""
+    rng = random.Random(9)
+    items = [(k, " ".join(rng.choice("abcdef") for _ in range(9))) for k in range(20)] + [(3, "a b"), (3, "a b"), (None, "")]
+    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 300))) for _ in range(30)]
+    docs = table([(None if k % 5 == 0 else k % 3, t, k % 2) for k, t in enumerate(texts)] + [(7, texts[1], 1)] * 3, "doc_id long, text string, row long")
+    benchmark = table(items, "item_id long, text string")
+
+    def found(**how):
+        got = decontaminate.find_benchmark(docs, benchmark, window=5, keep=("text", "row"), **how).collect()
+        return Counter(repr(sorted(r.asDict(recursive=True).items())) for r in got)
+
+    assert sum(found().values()) == len(texts) + 3
+    assert found(group_bytes=60) == found()
+
+
+def test_wu_manber_tables_grow_with_the_windows():
+    rng = np.random.default_rng(3)
+    text = " ".join(map(str, rng.integers(0, 1 << 20, 40000)))
+    (index, first, owners), = decontaminate.build([("1", text)])
+    held = [x for x in [*vars(index).values(), first, owners] if isinstance(x, np.ndarray)]
+    assert sum(x.nbytes for x in held) < 80 * 40000
