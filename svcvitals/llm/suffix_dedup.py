@@ -299,6 +299,17 @@ def _codes_of_docs(key, table):
                     names=["k1", "k2", "codes", "open"])
 
 
+def _joined_codes(batches):
+    """mapInArrow: the different code lists of one text -> one list. Of a row that blocks
+    repeat, the block chosen to send a digest's windows has 3 and the others 1; both bits
+    of every block count."""
+    for batch in batches:
+        codes = [lists[0] if len(lists) == 1 else np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in lists]).tobytes()
+                 for lists in batch.column("lists").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), pa.array(codes, pa.binary()), batch.column("open")],
+                                         names=["k1", "k2", "codes", "open"])
+
+
 def _send_windows(shape: Shape, n_buckets: int):
     """mapInArrow: texts with their triggers' codes -> per bucket the block's distinct open
     windows (fingerprints), per block the way back to its documents' windows."""
@@ -474,7 +485,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         rows.filter(F.octet_length("text") >= length).select("k1", "k2", "text").mapInArrow(frugal(_send_triggers(shape, buckets)), _PACKED)
         .groupBy("bucket").applyInArrow(_judge_triggers, _ANSWER)
         .groupBy("block").applyInArrow(_codes_of_docs, "k1 long, k2 long, codes binary, open boolean")
-        .dropDuplicates(["k1", "k2"]), "trigger-codes")
+        .groupBy("k1", "k2").agg(F.collect_set("codes").alias("lists"), F.max("open").alias("open"))
+        .mapInArrow(frugal(_joined_codes), "k1 long, k2 long, codes binary, open boolean"), "trigger-codes")
     runs = materialize(
         rows.select("k1", "k2", "text").join(codes.filter("open").select("k1", "k2", "codes"), ["k1", "k2"]).sortWithinPartitions("k1", "k2")
         .mapInArrow(frugal(_send_windows(shape, buckets)), _PACKED)

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import many_partitions
 from llm_fixtures import table  # noqa: F401
 
 from svcvitals.llm import decontaminate, line_dedup, ngram_join, suffix_dedup, token_records, toxicity
@@ -379,3 +380,18 @@ def test_wu_manber_tables_grow_with_the_windows():
     (index, first, owners), = decontaminate.build([("1", text)])
     held = [x for x in [*vars(index).values(), first, owners] if isinstance(x, np.ndarray)]
     assert sum(x.nbytes for x in held) < 80 * 40000
+
+
+def test_rows_repeated_over_blocks_send_their_windows(spark, table):
+    """Rows of one id and text in several blocks beside documents that share a part of them."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    rows = []
+    for k in range(60):
+        base = text(200)
+        i = rng.randint(1, 60)
+        rows += [(None if k % 3 == 0 else k, base)] * 3 + [(1000 + k, text(50) + base[i:i + rng.randint(60, 120)] + text(50))]
+    docs = table(rows, "doc_id long, text string", files=8)
+    with many_partitions(spark):
+        got = Counter((r["doc_id"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(docs, length=40, trigger=6, period=9).collect())
+    assert got == Counter((i, kept) for (i, _), (_, kept) in zip(rows, removed([t for _, t in rows], 40)))
