@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes handled at once; arrays of a few times this size live in a task.
 CHUNK = 1 << 20
@@ -86,6 +87,49 @@ def window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which:
     return out
 
 
+#: Ranges beyond so many bytes are hashed and compared one by one, by C code.
+LONG = 256
+_SEEDS = _rng.integers(1, 1 << 63, 2, dtype=np.uint64)
+_TAILS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def limbs(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that follow each position (zeros behind the end), as one number."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """64-bit hashes of ranges data[start:end], each mixed eight bytes at a time, so that no
+    structure of the bytes (as in sums of powers modulo 2^64) makes different ranges meet."""
+    sizes = np.asarray(ends - starts, dtype=np.int64)
+    out = mixed(_SEEDS[which] + sizes.astype(np.uint64))
+    eight, left, k = limbs(data), np.flatnonzero((sizes > 0) & (sizes <= LONG)), 0
+    while len(left):
+        rest = sizes[left] - k
+        limb = eight[starts[left] + k] & _TAILS[np.minimum(rest, 8)]
+        out[left] = mixed((out[left] ^ limb) + _SEEDS[which])
+        left, k = left[rest > 8], k + 8
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes(), int(_SEEDS[which]))
+    return out
+
+
+def same_ranges(a: np.ndarray, a_starts: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+    """Whether the bytes a[start:end] and b[start:end] are equal, pair by pair."""
+    sizes = np.asarray(a_ends - a_starts, dtype=np.int64)
+    same = sizes == b_ends - b_starts
+    eight_a, eight_b, left, k = limbs(a), limbs(b), np.flatnonzero(same & (sizes > 0) & (sizes <= LONG)), 0
+    while len(left):
+        rest = sizes[left] - k
+        equal = ((eight_a[a_starts[left] + k] ^ eight_b[b_starts[left] + k]) & _TAILS[np.minimum(rest, 8)]) == 0
+        same[left[~equal]] = False
+        left, k = left[equal & (rest > 8)], k + 8
+    for i in np.flatnonzero(same & (sizes > LONG)).tolist():
+        same[i] = np.array_equal(a[a_starts[i]:a_ends[i]], b[b_starts[i]:b_ends[i]])
+    return same
+
+
 def _cuts(data: np.ndarray, a: int, b: int, separator: np.ndarray):
     """Split data[a:b] at separators into ranges of about CHUNK bytes."""
     while b - a > CHUNK:
@@ -120,8 +164,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = ASCII_S
             ends = inside.copy()
             ends[:-1] &= ~inside[1:] | first[1:-1]
             s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-            sums = prefix_sums(fold[part])
-            out.append((s + a, e + a, span_hashes(sums, s, e)))
+            out.append((s + a, e + a, range_hashes(fold[part], s, e)))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -139,4 +182,4 @@ def ragged(counts: np.ndarray) -> np.ndarray:
 
 
 __all__ = ["ASCII_SPACE", "LOWER", "CHUNK", "string_bytes", "row_slices", "powers", "mixed", "prefix_sums", "span_hashes", "window_hashes",
-           "words", "rows_of", "ragged"]
+           "range_hashes", "same_ranges", "words", "rows_of", "ragged"]

@@ -3,8 +3,8 @@
 Every window of 13 consecutive benchmark words is a pattern (an item of fewer words is one
 shorter pattern). Patterns of one length share the tables of the method: a shift table over
 blocks of two words says how far the search may skip, and patterns that end in the same
-block are found through a bucket of that suffix and compared word by word. The words of
-many documents are searched side by side: each lane of words moves by its own shift, and a
+block are found through a bucket of that suffix and compared word by word: first by the
+words' hashes, then, for what is left, by their bytes. The words of many documents are searched side by side: each lane of words moves by its own shift, and a
 word's number is looked up only where a lane stops.
 
 The benchmark is read by the driver in groups of about ``GROUP_BYTES`` of text; one
@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from svcvitals.llm.bytecols import mixed, ragged, row_slices, string_bytes, words
+from svcvitals.llm.bytecols import LOWER, mixed, ragged, row_slices, same_ranges, string_bytes, words
 from svcvitals.llm.columns import pick
 from svcvitals.llm.tasks import frugal
 from svcvitals.sources.tables import materialize
@@ -32,11 +32,37 @@ LANE = 512
 SEPARATOR = np.array([b < 128 and not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122) for b in range(256)])
 
 
+class Words:
+    """The words of a text: their hashes, and where they lie in its lower-cased bytes."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray):
+        self.data, self.starts, self.ends, self.hashes = data, starts, ends, hashes
+
+    @classmethod
+    def of(cls, data: np.ndarray, offsets: np.ndarray) -> "Words":
+        """Those of rows of one buffer."""
+        a, b = int(offsets[0]), int(offsets[-1])
+        starts, ends, hashes = words(data, offsets, SEPARATOR)
+        return cls(LOWER[data[a:b]], starts - a, ends - a, hashes)
+
+    def same(self, at: np.ndarray, other: "Words", there: np.ndarray) -> np.ndarray:
+        """Whether the words numbered ``at`` have the bytes of the other's words ``there``."""
+        return same_ranges(self.data, self.starts[at], self.ends[at], other.data, other.starts[there], other.ends[there])
+
+    def ranks(self) -> np.ndarray:
+        """A number for each word, equal for equal words only."""
+        _, first, rank = np.unique(self.hashes, return_index=True, return_inverse=True)
+        if len(rank) and not self.same(np.arange(len(rank)), self, first[rank]).all():
+            raw, seen = self.data.tobytes(), {}
+            rank = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(self.starts.tolist(), self.ends.tolist())])
+        return rank
+
+
 class WuManber:
-    """The tables for patterns of one length, given by where they start in ``words`` (hashes)."""
+    """The tables for patterns of one length, given by where they start among ``own`` words."""
 
-    def __init__(self, words: np.ndarray, starts: np.ndarray, length: int):
-        self.words, self.length = words, length
+    def __init__(self, own: Words, starts: np.ndarray, length: int):
+        self.own, self.words, self.length = own, own.hashes, length
         self.block = min(2, self.length)
         size = 1 << max(12, int(np.ceil(np.log2(max(1, len(starts))))) + 3)
         self.mask = np.uint64(size - 1)
@@ -54,8 +80,9 @@ class WuManber:
         h = last if before is None else last + before * np.uint64(0x9E3779B97F4A7C15)
         return (mixed(h) & self.mask).astype(np.int64)
 
-    def search(self, hashes: np.ndarray, row_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, text: Words, row_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position of the last word, pattern) of every occurrence; rows end at row_ends."""
+        hashes = text.hashes
         starts = np.concatenate([[0], row_ends[:-1]]) if len(row_ends) else np.zeros(0, np.int64)
         lanes = np.maximum(0, -(-(row_ends - starts - self.length + 1) // LANE))
         pos = np.repeat(starts + self.length - 1, lanes) + ragged(lanes) * LANE
@@ -74,6 +101,9 @@ class WuManber:
                 for back in range(self.length):  # direct comparison, last word first
                     same = hashes[at - back] == self.words[self.starts[candidate] + (self.length - 1 - back)]
                     at, candidate = at[same], candidate[same]
+                for back in range(self.length):
+                    same = text.same(at - back, self.own, self.starts[candidate] + (self.length - 1 - back))
+                    at, candidate = at[same], candidate[same]
                 found_at.append(at)
                 found.append(self.order[candidate])
             pos = pos + np.maximum(skip, 1).astype(np.int64)
@@ -84,10 +114,11 @@ class WuManber:
         return np.concatenate(found_at), np.concatenate(found)
 
 
-def _equal_windows(hashes: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the windows of ``length`` words: where each distinct one first starts, and each
-    window's number among those. Ranks of 1, 2, 4, ... words name what is equal."""
-    rank, span = np.unique(hashes, return_inverse=True)[1], 1
+def _equal_windows(rank: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows of ``length`` words, given each word's rank: where each distinct one
+    first starts, and each window's number among those. Ranks of 2, 4, ... words name what
+    is equal."""
+    span = 1
     while 2 * span <= length:
         pairs = rank[:len(rank) - span] * (int(rank.max()) + 1) + rank[span:]
         rank, span = np.unique(pairs, return_inverse=True)[1], 2 * span
@@ -100,8 +131,9 @@ def build(items: list[tuple[str, str]], window: int = WINDOW) -> list[tuple[WuMa
     """For each pattern length: the tables, and each pattern's items as offsets and numbers."""
     texts = pa.array([t for _, t in items], pa.string())
     data, offsets = string_bytes(texts)
-    starts, _, hashes = words(data, offsets, SEPARATOR)
-    ends = np.searchsorted(starts, offsets[1:])
+    own_words = Words.of(data, offsets)
+    ranks = own_words.ranks()
+    ends = np.searchsorted(own_words.starts + offsets[0], offsets[1:])
     begins = np.concatenate([np.zeros(min(1, len(ends)), np.int64), ends[:-1]])
     lengths = np.minimum(window, ends - begins)
     out = []
@@ -109,10 +141,10 @@ def build(items: list[tuple[str, str]], window: int = WINDOW) -> list[tuple[WuMa
         own = np.flatnonzero(lengths == length)
         counts = ends[own] - begins[own] - length + 1
         at = np.repeat(begins[own], counts) + ragged(counts)
-        patterns, which = _equal_windows(hashes, at, length)
+        patterns, which = _equal_windows(ranks, at, length)
         pairs = np.unique(which * len(items) + np.repeat(own, counts))
         first = np.searchsorted(pairs, np.arange(len(patterns) + 1) * len(items))
-        out.append((WuManber(hashes, patterns, length), first.astype(np.int32), (pairs % len(items)).astype(np.int32)))
+        out.append((WuManber(own_words, patterns, length), first.astype(np.int32), (pairs % len(items)).astype(np.int32)))
     return out
 
 
@@ -129,13 +161,14 @@ def _scan(tables, items_of: list[str], kept: list[str]):
             data, offsets = string_bytes(batch.column("text"))
             n_words, spans, items = np.zeros(len(batch), np.int64), [[]] * len(batch), [[]] * len(batch)
             for i, j in row_slices(offsets):
-                starts, _, hashes = words(data, offsets[i:j + 1], SEPARATOR)
-                row_ends = np.searchsorted(starts, offsets[i + 1:j + 1])
+                text = Words.of(data, offsets[i:j + 1])
+                starts = text.starts
+                row_ends = np.searchsorted(starts, offsets[i + 1:j + 1] - offsets[i])
                 row_starts = np.concatenate([[0], row_ends[:-1]])
                 n_words[i:j] = row_ends - row_starts
                 cover, pairs = np.zeros(len(starts) + 1, np.int64), []
                 for index, first, owners in tables.value:
-                    at, pattern = index.search(hashes, row_ends)
+                    at, pattern = index.search(text, row_ends)
                     np.add.at(cover, at - index.length + 1, 1)
                     np.add.at(cover, at + 1, -1)
                     row = np.searchsorted(row_ends, at, side="right")
@@ -229,4 +262,4 @@ def _merged(found: DataFrame) -> DataFrame:
                                     F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
 
-__all__ = ["WuManber", "build", "find_benchmark", "SEPARATOR", "WINDOW", "HIT_SHARE"]
+__all__ = ["Words", "WuManber", "build", "find_benchmark", "SEPARATOR", "WINDOW", "HIT_SHARE"]

@@ -2,8 +2,10 @@
 
 A byte-level BPE tokenizer works on pre-tokens, and the same pre-tokens come back millions
 of times. Texts are cut where a pre-token ends whatever surrounds it; distinct cuts are
-encoded by the library once and their ids are put together again. The result is that of
-encoding the whole text.
+encoded by the library once and their ids are put together again. A cut takes cached ids
+only where its bytes are those the ids were made from. Rows that hold the literal of an
+added token (as ``<|endoftext|>``) go to the library whole, unless the literals are to be
+ordinary text. The result is that of encoding the whole text.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import re
 
 import numpy as np
 
-from svcvitals.llm.bytecols import prefix_sums, ragged, row_slices, span_hashes
+from svcvitals.llm.bytecols import ragged, range_hashes, row_slices, same_ranges
 
 #: Distinct cuts that a worker keeps (about 50 bytes each) before it starts afresh.
 CACHE_ENTRIES = 1_000_000
@@ -23,7 +25,7 @@ _PUNCT = np.array([33 <= b <= 126 and not a for b, a in enumerate(_ALNUM)])
 _VISIBLE = np.array([33 <= b <= 126 for b in range(256)])
 _LEAD2 = np.array([0xC3 <= b <= 0xDF for b in range(256)])  # two-byte characters, none of them white space
 _PLAIN = re.compile(r" ?\S+")
-_loaded: dict[str, "CachedTokenizer"] = {}
+_loaded: dict[tuple[str, bool], "CachedTokenizer"] = {}
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -45,7 +47,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class _Cache:
-    """Cut hash -> its ids, as an open-addressing table over one array of ids (numpy)."""
+    """Cut -> its ids, as an open-addressing table of hashes over one array of ids and one of
+    the cuts' bytes (numpy)."""
 
     def __init__(self, dtype: str):
         self.dtype, self.mask = dtype, (1 << int(np.ceil(np.log2(CACHE_ENTRIES * 2)))) - 1
@@ -55,6 +58,7 @@ class _Cache:
         self.keys = np.zeros(self.mask + 1, np.uint64)  # 0: free; a cut with hash 0 counts as 1
         self.entry = np.zeros(self.mask + 1, np.int32)
         self.starts, self.ids, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 18, self.dtype), 0
+        self.byte_starts, self.bytes = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint8)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Entry of each key, or -1."""
@@ -69,15 +73,26 @@ class _Cache:
             left, slot = left[more], (slot[more] + 1) & self.mask
         return out
 
-    def add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
+    def holds(self, entry: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether each entry was made from the bytes data[start:end]."""
+        return same_ranges(data, starts, ends, self.bytes, self.byte_starts[entry], self.byte_starts[entry + 1])
+
+    @staticmethod
+    def _appended(ends: np.ndarray, values: np.ndarray, n: int, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Cumulative ends and values with further parts behind the first n entries."""
+        new = int(ends[n]) + np.cumsum([len(x) for x in parts])
+        while n + len(parts) >= len(ends):
+            ends = np.concatenate([ends, np.zeros_like(ends)])
+        while new[-1] > len(values):
+            values = np.concatenate([values, np.zeros_like(values)])
+        values[ends[n]:new[-1]] = np.concatenate(parts)
+        ends[n + 1:n + 1 + len(parts)] = new
+        return ends, values
+
+    def add(self, keys: np.ndarray, ids: list[np.ndarray], raw: list[bytes]) -> None:
         """Add distinct keys that are not there."""
-        ends = int(self.starts[self.n]) + np.cumsum([len(x) for x in ids])
-        while self.n + len(keys) >= len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        while ends[-1] > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.starts[self.n]:ends[-1]] = np.concatenate(ids)
-        self.starts[self.n + 1:self.n + 1 + len(keys)] = ends
+        self.starts, self.ids = self._appended(self.starts, self.ids, self.n, ids)
+        self.byte_starts, self.bytes = self._appended(self.byte_starts, self.bytes, self.n, [np.frombuffer(x, np.uint8) for x in raw])
         entry = np.arange(self.n, self.n + len(keys), dtype=np.int32)
         self.n += len(keys)
         slot = (keys & np.uint64(self.mask)).astype(np.int64)
@@ -90,11 +105,12 @@ class _Cache:
 
 
 class CachedTokenizer:
-    def __init__(self, path: str, special_as_text: bool = True):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        self.literals = [] if special_as_text else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.newline = newline[0] if len(newline) == 1 else None
         kinds = self.tokenizer.pre_tokenizer
@@ -103,11 +119,11 @@ class CachedTokenizer:
         self.cache = _Cache(self.dtype)
 
     @classmethod
-    def load(cls, path: str) -> "CachedTokenizer":
+    def load(cls, path: str, special_as_text: bool = False) -> "CachedTokenizer":
         """One tokenizer and cache for each worker process."""
-        if path not in _loaded:
-            _loaded[path] = cls(path)
-        return _loaded[path]
+        if (path, special_as_text) not in _loaded:
+            _loaded[path, special_as_text] = cls(path, special_as_text)
+        return _loaded[path, special_as_text]
 
     @property
     def dtype(self) -> str:
@@ -133,22 +149,37 @@ class CachedTokenizer:
         """All ids of the rows data[offsets[i]:offsets[i+1]], and each row's number of ids."""
         out, counts = [], np.zeros(len(offsets) - 1, np.int64)
         for i, j in row_slices(offsets):
-            part = data[offsets[i]:offsets[j]]
-            ids, own = self._encode(part, offsets[i:j + 1] - offsets[i])
-            out.append(ids)
-            counts[i:j] = own
+            raw = data[offsets[i]:offsets[j]].tobytes()
+            for a, b, whole in self._runs(raw, offsets[i:j + 1] - offsets[i]):
+                encode = self._library if whole or not self.splits else self._encode
+                ids, own = encode(data[offsets[i + a]:offsets[i + b]], offsets[i + a:i + b + 1] - offsets[i + a])
+                out.append(ids)
+                counts[i + a:i + b] = own
         return (np.concatenate(out) if out else np.zeros(0, self.dtype)), counts
 
+    def _runs(self, raw: bytes, offsets: np.ndarray) -> list[tuple[int, int, bool]]:
+        """Runs of rows (a, b), and whether they hold an added token's literal."""
+        marked = np.zeros(len(offsets) - 1, dtype=bool)
+        for literal in self.literals:
+            at = raw.find(literal)
+            while at >= 0:
+                marked[int(np.searchsorted(offsets, at, side="right")) - 1] = True
+                at = raw.find(literal, at + 1)
+        edges = [0, *(np.flatnonzero(np.diff(marked)) + 1).tolist(), len(marked)]
+        return [(a, b, bool(marked[a])) for a, b in zip(edges, edges[1:])]
+
+    def _library(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows encoded whole by the library."""
+        raw = data.tobytes()
+        got = self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], add_special_tokens=False)
+        return np.concatenate([np.array(e.ids, dtype=self.dtype) for e in got]), np.array([len(e.ids) for e in got])
+
     def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not self.splits:
-            raw = data.tobytes()
-            got = self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], add_special_tokens=False)
-            return np.concatenate([np.array(e.ids, dtype=self.dtype) for e in got]), np.array([len(e.ids) for e in got])
         if not len(data):
             return np.zeros(0, self.dtype), np.zeros(len(offsets) - 1, np.int64)
         starts = cuts(data, offsets)
         ends = np.append(starts[1:], len(data))
-        hashes = np.maximum(span_hashes(prefix_sums(data), starts, ends), np.uint64(1))
+        hashes = np.maximum(range_hashes(data, starts, ends), np.uint64(1))
         entry = self.cache.find(hashes)
         if (entry < 0).any():
             if self.cache.n > CACHE_ENTRIES:
@@ -156,15 +187,29 @@ class CachedTokenizer:
                 entry[:] = -1
             new = np.flatnonzero(entry < 0)
             keys, first = np.unique(hashes[new], return_index=True)
-            raw = data.tobytes()
-            at = new[first]
-            self.cache.add(keys, self._ids_of([raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())]))
+            raw, at = data.tobytes(), new[first]
+            own = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+            self.cache.add(keys, self._ids_of([x.decode() for x in own]), own)
             entry[new] = self.cache.find(hashes[new])
+        if not (same := self.cache.holds(entry, data, starts, ends)).all():  # another cut has this hash: its row goes whole
+            rows = np.unique(np.searchsorted(offsets, starts[~same], side="right") - 1)
+            return self._around(data, offsets, rows)
         begin = self.cache.starts[entry].astype(np.int64)
         n = self.cache.starts[entry + 1] - begin
         ids = self.cache.ids[np.repeat(begin, n) + ragged(n)]
         total = np.concatenate([[0], np.cumsum(n)])
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
 
+    def _around(self, data: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The given rows by the library, the others as ever."""
+        parts, at = [], 0
+        for r in [*rows.tolist(), len(offsets) - 1]:
+            if r > at:
+                parts.append(self._encode(data[offsets[at]:offsets[r]], offsets[at:r + 1] - offsets[at]))
+            if r < len(offsets) - 1:
+                parts.append(self._library(data[offsets[r]:offsets[r + 1]], np.array([0, offsets[r + 1] - offsets[r]])))
+            at = r + 1
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
 
 __all__ = ["CachedTokenizer", "cuts"]
