@@ -1,8 +1,9 @@
 """Mixing sources to target weights, DataFrame functions only.
 
 Tokens are aggregated per source; a source's repetition rate is its target over its
-tokens. Each document is taken floor(rate) times, plus one copy when a hash of its id and
-the source's seed falls below the rate's fraction (a Bernoulli draw that reruns repeat).
+tokens. Each document is taken floor(rate) times, plus one copy when a hash of its id, its
+text and the source's seed falls below the rate's fraction (a Bernoulli draw that reruns
+repeat; rows that share an id, as null ids, draw apart where their texts differ).
 """
 
 from __future__ import annotations
@@ -19,9 +20,14 @@ CAP = 2.0
 N_SEEDS = 32
 
 
-def draw(id_col: Column, seed: Column) -> Column:
-    """A number in [0, 1) from the id and the (int) seed; the same in each run."""
-    return F.shiftrightunsigned(F.xxhash64(seed, id_col), 11).cast("double") / float(1 << 53)
+def text_hash(text: Column) -> Column:
+    """What a row's draw takes of its text; null and empty texts differ."""
+    return F.xxhash64(F.lit("mix"), text)
+
+
+def draw(id_col: Column, hashed: Column, seed: Column) -> Column:
+    """A number in [0, 1) from the id, the text's hash and the (int) seed; the same in each run."""
+    return F.shiftrightunsigned(F.xxhash64(seed, id_col, hashed), 11).cast("double") / float(1 << 53)
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -60,13 +66,13 @@ def _with_sources(df: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def _copies(seed: Column) -> Column:
-    """Copies of a row with doc_id and its source's rate, for a seed column."""
+    """Copies of a row with doc_id, text_hash and its source's rate, for a seed column."""
     fraction = F.col("rate") - F.floor("rate")
-    return (F.floor("rate") + (draw(F.col("doc_id"), seed) < fraction).cast("long")).cast("long")
+    return (F.floor("rate") + (draw(F.col("doc_id"), F.col("text_hash"), seed) < fraction).cast("long")).cast("long")
 
 
 def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, n_seeds: int = N_SEEDS) -> DataFrame:
-    """source, source_size, weight, target, rate, seed from rows (doc_id, source, size).
+    """source, source_size, weight, target, rate, seed from rows (doc_id, source, text_hash, size).
 
     Of n_seeds hash seeds, each source gets the one whose draws come nearest to its target:
     all are summed in one aggregation with map-side combine, so a hot source costs one
@@ -82,16 +88,16 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = C
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """doc_id, source, size, written once: texts are read once and never shuffled."""
+    """doc_id, source, text_hash, size, written once: texts are read once and never shuffled."""
     return materialize(pick(docs, doc_id=id_col, source=source_col, text=text_col).select(
-        "doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+        "doc_id", "source", text_hash(F.col("text")).alias("text_hash"), word_count(F.col("text")).alias("size")), "mix-sizes")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies, taken, one row per input row.
 
-    Null text: size 0. Null source: a source of its own, last in order. Repeated rows draw
-    alike. A source without words: target and rate 0, so none of it is taken. Empty tables
+    Null text: size 0. Null source: a source of its own, last in order. Rows of equal id
+    and text draw alike. A source without words: target and rate 0, so none of it is taken. Empty tables
     give no rows. Options: weights, share, cap, n_seeds (see :func:`plan`).
     """
     sized = _sized(docs, id_col, text_col, source_col)
@@ -104,10 +110,11 @@ def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     names = docs.columns
     kept = [f"k{i}" for i in range(len(names))]
     seeds = plan(_sized(docs, id_col, text_col, source_col), **options)
-    rows = docs.toDF(*kept).withColumns({"doc_id": F.col(kept[names.index(id_col)]), "source": F.col(kept[names.index(source_col)])})
+    rows = docs.toDF(*kept).withColumns({"doc_id": F.col(kept[names.index(id_col)]), "source": F.col(kept[names.index(source_col)]),
+                                          "text_hash": text_hash(F.col(kept[names.index(text_col)]))})
     taken = _with_sources(rows, seeds).withColumn("copies", _copies(F.col("seed"))).filter("copies > 0").select(
         *kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
     return taken.select(*[F.col(k).alias(n) for k, n in zip(kept, names)])
 
 
-__all__ = ["draw", "source_targets", "plan", "mix", "emit", "WEIGHTS", "SHARE", "CAP", "N_SEEDS"]
+__all__ = ["draw", "text_hash", "source_targets", "plan", "mix", "emit", "WEIGHTS", "SHARE", "CAP", "N_SEEDS"]
