@@ -7,8 +7,9 @@ are hashed, probed by vectorised binary search, and confirmed against the stored
 so a digest collision never decides. The longest confirmed rule wins.
 
 The file goes to the workers with ``SparkContext.addFile``; ``MAX_INDEX_BYTES`` bounds it.
-A longer rule list is joined instead: the same digests become join keys, and Spark shuffles
-both sides (:func:`judge_by_join`).
+A longer rule list, or one given as a DataFrame, is joined instead: the same digests become
+join keys, and Spark shuffles both sides (:func:`judge_by_join`). Results do not depend on
+the way: rules are numbered, and of those with one host and path the last one holds.
 """
 
 from __future__ import annotations
@@ -131,12 +132,17 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     Without a rule the verdict is allow and rule is null. A null URL, or one without
     '://', has empty host and path. A rule fits its host and all subdomains when the
     URL's path starts with the rule's path; of those that fit, the longest (host and path)
-    wins. Empty tables and an empty rule list give their plain results.
+    wins. Of rules with one host and path the last holds. Empty tables and an empty rule list
+    give their plain results. ``rules``: (host, path, verdict) in order, or a DataFrame of
+    host, path, verdict and their number ``nth`` (then nothing passes the driver).
     """
     spark = pages.sparkSession
+    if isinstance(rules, DataFrame):
+        return judge_by_join(pages, rules, id_col, url_col)
     packed = pack_rules(rules)
     if len(packed) > MAX_INDEX_BYTES:
-        return judge_by_join(pages, spark.createDataFrame(list(rules), "host string, path string, verdict string"), id_col, url_col)
+        numbered = [(*rule, nth) for nth, rule in enumerate(rules)]
+        return judge_by_join(pages, spark.createDataFrame(numbered, "host string, path string, verdict string, nth long"), id_col, url_col)
     folder = shared_dir(spark, "url-rules")
     name = f"{folder.rsplit('/', 1)[1]}.idx"
     write_bytes(f"{folder}/{name}", packed)
@@ -160,13 +166,15 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
 def judge_by_join(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """The same result for rule lists beyond the bound: digests as join keys.
 
-    rules: host, path, verdict. Only distinct (host, path) pairs are probed, so a hot host
+    rules: host, path, verdict, nth; of those with one host and path the one with the
+    greatest nth holds (of equal nth, the greatest verdict). Only distinct (host, path) pairs are probed, so a hot host
     costs what its distinct paths cost.
     """
     src = pick(pages, page_id=id_col, url=url_col)
     host, path = url_parts(F.col("url"))
     urls = src.select("page_id", host.alias("host"), path.alias("path"))
-    own = pick(rules, r_host="host", r_path="path", r_verdict="verdict").dropDuplicates(["r_host", "r_path"])
+    own = pick(rules, r_host="host", r_path="path", verdict="verdict", nth="nth").groupBy("r_host", "r_path").agg(
+        F.max(F.struct("nth", "verdict"))["verdict"].alias("r_verdict"))
     own = own.withColumn("digest", F.xxhash64(F.concat("r_host", "r_path")))
     lengths = [r[0] for r in own.select(F.length("r_path").alias("n")).distinct().orderBy("n").collect()]
     labels = F.split("host", r"\.")
