@@ -66,4 +66,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND keep
 FROM k LEFT JOIN r USING (key) GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op3_exact_topk": OP3, "op5_ngram_jaccard_join": OP5, "op7_benchmark_decontamination": OP7, "op9_line_dedup": OP9, "op10_url_filter": OP10}
+OP12 = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+t AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+l AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM l),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+i AS (SELECT t.doc_id, t.term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))) AS impact
+      FROM t JOIN f USING (term) JOIN l USING (doc_id), s WHERE t.term IN (SELECT term FROM q)),
+r AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY ALL),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op3_exact_topk": OP3, "op5_ngram_jaccard_join": OP5, "op7_benchmark_decontamination": OP7, "op9_line_dedup": OP9, "op10_url_filter": OP10,
+              "op12_ranked_search": OP12}

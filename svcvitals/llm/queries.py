@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, sharding, suffix_dedup, token_records, topk_search, toxicity, url_filter
+from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, ranked_search, sharding, suffix_dedup, token_records, topk_search, toxicity, url_filter
 from svcvitals.llm.columns import prepared, utf8
 
 
@@ -66,6 +66,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_suffix_dedup, op3_exact_topk, op4_toxicity, op5_ngram_jaccard_join, op6_source_mixing,
-    op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter)}
+    op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter,
+    op12_ranked_search)}
