@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, ranked_search, sharding, suffix_dedup, token_records, topk_search, toxicity, url_filter
+from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, ranked_search, sharding, suffix_dedup, token_alignment, token_records, topk_search, toxicity, url_filter
 from svcvitals.llm.columns import prepared, utf8
 
 
@@ -66,6 +66,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    n = {c: F.expr(f"octet_length({c}) div 4").cast("long") for c in ("a_ids", "b_ids", "a_sizes")}
+    return token_alignment.with_groups_text(aligned).select(
+        "doc_id", n["a_ids"].alias("n_a"), n["b_ids"].alias("n_b"), n["a_sizes"].alias("n_groups"), n["a_sizes"].alias("n_links"), "n_best", "count_sum",
+        F.when(F.col("groups") == "", "").otherwise(F.sha2(utf8(F.col("groups")), 256)).alias("groups_sha256"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -73,4 +81,4 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_suffix_dedup, op3_exact_topk, op4_toxicity, op5_ngram_jaccard_join, op6_source_mixing,
     op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter,
-    op12_ranked_search)}
+    op11_token_alignment, op12_ranked_search)}
