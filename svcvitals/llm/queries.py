@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals.llm import decontaminate, line_dedup, mixing, ngram_join, ranked_search, sharding, suffix_dedup, token_alignment, token_records, topk_search, toxicity, url_filter
+from svcvitals.llm import decontaminate, html_extract, line_dedup, mixing, ngram_join, ranked_search, sharding, suffix_dedup, token_alignment, token_records, topk_search, toxicity, url_filter
 from svcvitals.llm.columns import prepared, utf8
 
 
@@ -78,7 +78,12 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn(pages))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_suffix_dedup, op3_exact_topk, op4_toxicity, op5_ngram_jaccard_join, op6_source_mixing,
     op7_benchmark_decontamination, op8_jump_sharding, op9_line_dedup, op10_url_filter,
-    op11_token_alignment, op12_ranked_search)}
+    op11_token_alignment, op12_ranked_search, op13_html_extraction)}
