@@ -57,10 +57,14 @@ PRIOR = {**{t: (0.5, 50.0) for t in BOILERPLATE}, **{f"k:{k}": (0.5, 50.0) for k
 #: The greatest weight of a word; how far one feature moves it, down and up; by kind.
 MOST = 1.0
 LIMITS = {"declared": (-4.0, 1.0), "generic": (-0.75, 0.75), "textual": (-1.0, 1.0), "marked": (-2.0, 1.0)}
-#: A tag's cost where it only occurs outside of main text.
-TAG_COST = 2.0
+#: A tag's cost where it only occurs outside of main text, and prior tags (inside, outside) by
+#: the kind of element; inline elements count as textual ones.
+TAG_COST = 1.0
+PRIOR_TAGS = {"declared": (0.5, 10.0), "generic": (3.0, 2.0), "textual": (20.0, 1.0)}
 #: Words of this weight or less are left out of the region's text.
 DROPPED = -1.5
+#: The least share of words, without declared parts, that a labelled page marks as its article.
+MARKED = 0.25
 #: Elements nested deeper are read as if they were not nested (browsers have such a bound too).
 DEPTH = 512
 
@@ -203,6 +207,14 @@ def _kind(feature: str) -> str:
     return "declared" if _declared(feature) else "generic" if feature in GENERIC else "textual"
 
 
+def labelled(blocks: list[Block]) -> bool:
+    """Whether the page marks its article: marked parts, others than declared ones (as a
+    comment in an ``article`` element of its own), hold a share of MARKED of its words."""
+    own = [b for b in blocks if not any(map(_declared, b.features))]
+    marked = sum(b.words for b in own if b.marked)
+    return marked > 0 and marked >= MARKED * sum(b.words for b in own)
+
+
 _TAGS = BLOCK | RAW | VOID | {"a", "b", "i", "em", "strong", "span", "u", "s", "small", "sub", "sup", "code", "q", "cite", "abbr", "mark", "label", "time", "font"}
 
 
@@ -225,11 +237,14 @@ class Model:
             i, o = counts.get(f, (0, 0))
             low, high = LIMITS[_kind(f)]
             weights[f] = min(high, max(low, math.log((i + more) / (o * balance + less))))
-        costs = {t: TAG_COST * (o + 2.0) / (i + o + 4.0) for t in [*sorted(_TAGS), "other"] for i, o in [counts.get(f"t:{t}", (0, 0))]}
+        costs = {}
+        for t in [*sorted(_TAGS), "other"]:
+            (i, o), (more, less) = counts.get(f"t:{t}", (0, 0)), PRIOR_TAGS["generic" if t == "other" else _kind(t)]
+            costs[t] = TAG_COST * (o + less) / (i + o + more + less)
         return cls(weights, costs, min(MOST, max(0.25, math.log(balance))), use_marks)
 
     def word_weights(self, blocks: list[Block]) -> list[float]:
-        marks = self.use_marks and any(b.marked for b in blocks)
+        marks = self.use_marks and labelled(blocks)
         out = []
         for b, features in zip(blocks, features_of(blocks)):
             w = self.base + sum(self.weights.get(f, 0.0) for f in sorted(features) if not _declared(f))
@@ -243,7 +258,10 @@ class Model:
         blocks = blocks_of(page)
         weights = self.word_weights(blocks)
         costs = [sum(self.costs.get(t, self.costs["other"]) for t in b.tags) for b in blocks]
-        first, last = best_region([b.words * w for b, w in zip(blocks, weights)], costs)
+        marks = self.use_marks and labelled(blocks)
+        # what a marked part holds but is left out of its text does not divide it
+        scores = [0.0 if marks and b.marked and w <= DROPPED else b.words * w for b, w in zip(blocks, weights)]
+        first, last = best_region(scores, costs)
         kept = (b.text() for b, w in zip(blocks[first:last], weights[first:last]) if w > DROPPED)
         return " ".join(t for t in kept if t)
 
@@ -269,15 +287,16 @@ def _count(batches):
     for batch in batches:
         for page in batch.column("html").to_pylist():
             blocks = blocks_of(page)
-            if not any(b.marked for b in blocks):
+            if not labelled(blocks):
                 continue
             before = False
             for b, features in zip(blocks, features_of(blocks)):
                 side = 0 if b.marked and not any(map(_declared, features)) else 1
                 for f in (*features, "words"):
                     counts.setdefault(f, [0, 0])[side] += b.words
-                for t in b.tags:
-                    counts.setdefault(f"t:{t if t in _TAGS else 'other'}", [0, 0])[0 if before and b.marked else 1] += 1
+                if before or not b.marked:  # the tags before a marked part neither lie in it nor outside
+                    for t in b.tags:
+                        counts.setdefault(f"t:{t if t in _TAGS else 'other'}", [0, 0])[0 if b.marked else 1] += 1
                 before = b.marked
     names = sorted(counts)
     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([counts[n][0] for n in names], pa.int64()), pa.array([counts[n][1] for n in names], pa.int64())],
