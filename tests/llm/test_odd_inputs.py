@@ -123,7 +123,7 @@ def test_urls(table, spark, judge):
         got = rows(url_filter.judge(pages))
         assert rows(url_filter.judge(pages.limit(0))) == [] and all(r["verdict"] == "allow" for r in rows(url_filter.judge(pages, rules=())))
     else:
-        got = rows(url_filter.judge_by_join(pages, spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")))
+        got = rows(url_filter.judge_by_join(pages, spark.createDataFrame([(*r, n) for n, r in enumerate(url_filter.RULES)], "host string, path string, verdict string, nth long")))
     assert len(got) == len(urls) + 2
     seen = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got}
     assert seen[0] == seen[1] == seen[2] == ("", "", None, "allow")
