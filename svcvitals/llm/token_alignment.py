@@ -30,7 +30,7 @@ from svcvitals.llm.tokenizing import CachedTokenizer
 from svcvitals.sources.tables import materialize
 
 #: Bytes of text whose pairs are counted together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _SPACE_PIECE = "▁"
 _loaded: dict[str, "PieceTokenizer"] = {}
 
@@ -95,7 +95,7 @@ class PieceTokenizer:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = self.model.encode(texts, num_threads=1)
         counts = np.array([len(g) for g in got], dtype=np.int64)
-        return np.fromiter((i for g in got for i in g), dtype=np.int64, count=int(counts.sum())), counts
+        return np.concatenate([np.zeros(0, np.int64), *(np.array(g, dtype=np.int64) for g in got)]), counts
 
 
 def farthest(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,27 +239,33 @@ def _pairs(batches):
                                                   pa.array(times[i:i + (1 << 16)], pa.int64())], names=["block", "a_id", "b_id", "n"])
 
 
-_RESULT = "doc_id long, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary, n_best long, count_sum long"
+_RESULT = "doc_id long, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary, groups string, n_best long, count_sum long"
 
 
-def _counted(key, docs, totals):
+def _counted(text: bool):
     """One block: each document with the sums over its links of the pairs' totals."""
-    pairs = pair_key(totals.column("a_id").to_numpy(), totals.column("b_id").to_numpy())
-    order = np.argsort(pairs)
-    pairs, total, best = pairs[order], totals.column("total").to_numpy()[order], totals.column("best").to_numpy(zero_copy_only=False)[order].astype(bool)
-    n_best, count_sum, ids = [], [], ([], [])
-    for *packed, x, y in zip(*(docs.column(c).to_pylist() for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))):
-        sizes = [np.frombuffer(z, "<u4") for z in (x, y)]
-        a, b = (_wide(p, z) for p, z in zip(packed, sizes))
-        ends = [np.cumsum(z, dtype=np.int64) - 1 for z in sizes]
-        at = np.searchsorted(pairs, pair_key(a[ends[0]], b[ends[1]]))
-        n_best.append(int(best[at].sum()) if len(at) else 0)
-        count_sum.append(int(total[at].sum()) if len(at) else 0)
-        ids[0].append(a.tobytes())
-        ids[1].append(b.tobytes())
-    return pa.table({"doc_id": docs.column("doc_id"), "a_ids": pa.array(ids[0], pa.binary()), "b_ids": pa.array(ids[1], pa.binary()),
-                     "a_sizes": docs.column("a_sizes"), "b_sizes": docs.column("b_sizes"),
-                     "n_best": pa.array(n_best, pa.int64()), "count_sum": pa.array(count_sum, pa.int64())})
+
+    def run(key, docs, totals):
+        pairs = pair_key(totals.column("a_id").to_numpy(), totals.column("b_id").to_numpy())
+        order = np.argsort(pairs)
+        pairs, total, best = pairs[order], totals.column("total").to_numpy()[order], totals.column("best").to_numpy(zero_copy_only=False)[order].astype(bool)
+        n_best, count_sum, ids, groups = [], [], ([], []), []
+        for packed in zip(*(docs.column(c) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))):
+            p, q, x, y = (v.as_py() for v in packed)
+            sizes = [np.frombuffer(z, "<u4") for z in (x, y)]
+            a, b = (_wide(i, z) for i, z in zip((p, q), sizes))
+            ends = [np.cumsum(z, dtype=np.int64) - 1 for z in sizes]
+            at = np.searchsorted(pairs, pair_key(a[ends[0]], b[ends[1]]))
+            n_best.append(int(best[at].sum()) if len(at) else 0)
+            count_sum.append(int(total[at].sum()) if len(at) else 0)
+            ids[0].append(a.tobytes())
+            ids[1].append(b.tobytes())
+            groups.append(groups_text(a, b, *sizes) if text else None)
+        return pa.table({"doc_id": docs.column("doc_id"), "a_ids": pa.array(ids[0], pa.binary()), "b_ids": pa.array(ids[1], pa.binary()),
+                         "a_sizes": docs.column("a_sizes"), "b_sizes": docs.column("b_sizes"), "groups": pa.array(groups, pa.string()),
+                         "n_best": pa.array(n_best, pa.int64()), "count_sum": pa.array(count_sum, pa.int64())})
+
+    return run
 
 
 def pair_totals(blocks: DataFrame) -> DataFrame:
@@ -271,8 +277,8 @@ def pair_totals(blocks: DataFrame) -> DataFrame:
     return sums.join(most, "b_id").select("a_id", "b_id", "total", (F.col("total") == F.col("most")).alias("best"))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, a_ids, b_ids, a_sizes, b_sizes, n_best, count_sum, one row per input row.
+def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", text: bool = False) -> DataFrame:
+    """doc_id, a_ids, b_ids, a_sizes, b_sizes, groups, n_best, count_sum, one row per input row.
 
     a_ids: ids of " " + text by the byte-level tokenizer at ``path_a``; b_ids: ids of text by
     the sentencepiece model at ``path_b``, which adds the space; a_sizes and b_sizes: how many
@@ -292,7 +298,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     blocks = stored.filter("row < 0").select("block", "pairs", "times").mapInArrow(_pairs, "block string, a_id long, b_id long, n long")
     answers = blocks.join(pair_totals(blocks), ["a_id", "b_id"]).select("block", "a_id", "b_id", "total", "best")
     rows = stored.filter("row >= 0").select("block", "doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes")
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_counted, _RESULT)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_counted(text), _RESULT)
 
 
 def unpacked(packed: bytes) -> np.ndarray:
@@ -308,18 +314,4 @@ def groups_text(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.n
     return ";".join(out)
 
 
-def with_groups_text(aligned: DataFrame) -> DataFrame:
-    """The aligned rows with ``groups``, the text form of their groups."""
-    kept = [f for f in aligned.schema if f.name != "groups"]
-
-    def run(batches):
-        for batch in batches:
-            packed = (batch.column(c).to_pylist() for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-            texts = [groups_text(*map(unpacked, row)) for row in zip(*packed)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(texts, pa.string())], names=[*[f.name for f in kept], "groups"])
-
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
-    return aligned.mapInArrow(frugal(run), f"{types}, groups string")
-
-
-__all__ = ["align", "align_rows", "components", "farthest", "with_groups_text", "groups_text", "unpacked", "ByteTokenizer", "PieceTokenizer"]
+__all__ = ["align", "align_rows", "components", "farthest", "groups_text", "unpacked", "ByteTokenizer", "PieceTokenizer"]
