@@ -98,7 +98,7 @@ def test_alignment(table, spark):
     ids = [None if k % 11 == 0 else k % 90 for k in range(len(texts))]
     docs = table([(i, t, "x", 1, "g") for i, t in zip(ids, texts)], "doc_id long, text string, block string, row int, groups string", files=3)
     with many_partitions(spark):
-        check_alignment(token_alignment.with_groups_text(token_alignment.align(docs, A, B)).collect(), ids, texts)
+        check_alignment(token_alignment.align(docs, A, B, text=True).collect(), ids, texts)
 
 
 def test_alignment_of_blocks(table, monkeypatch):
@@ -106,7 +106,7 @@ def test_alignment_of_blocks(table, monkeypatch):
     texts = [f"some words that come back, number {k % 7}" for k in range(60)]
     monkeypatch.setattr(token_alignment, "BLOCK_BYTES", 300)
     docs = table(list(enumerate(texts)), "doc_id long, text string")
-    check_alignment(token_alignment.with_groups_text(token_alignment.align(docs, A, B)).collect(), range(60), texts)
+    check_alignment(token_alignment.align(docs, A, B, text=True).collect(), range(60), texts)
 
 
 def test_alignment_of_nothing(table):
