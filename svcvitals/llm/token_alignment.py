@@ -20,6 +20,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -120,9 +121,23 @@ def components(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
         succ = further
 
 
-_DOCS = pa.schema([("block", pa.string()), ("row", pa.int32()), ("doc_id", pa.int64()), ("a_ids", pa.binary()), ("b_ids", pa.binary()),
-                   ("a_sizes", pa.binary()), ("b_sizes", pa.binary()), ("pairs", pa.binary()), ("times", pa.binary())])
-_DOCS_TYPE = "block string, row int, doc_id long, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary, pairs binary, times binary"
+_STORED = pa.schema([("block", pa.string()), ("docs", pa.binary()), ("packed", pa.binary()), ("pairs", pa.binary()), ("times", pa.binary())])
+_STORED_TYPE = "block string, docs binary, packed binary, pairs binary, times binary"
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays in one compressed value: their types and lengths, then their bytes."""
+    head = ";".join(f"{x.dtype.str}{len(x)}" for x in arrays).encode()
+    return zstandard.ZstdCompressor(level=3).compress(len(head).to_bytes(4, "little") + head + b"".join(x.tobytes() for x in arrays))
+
+
+def unpack(packed: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    at, out = 4 + int.from_bytes(raw[:4], "little"), []
+    for part in raw[4:at].decode().split(";"):
+        out.append(np.frombuffer(raw, part[:3], int(part[3:]), at))
+        at += out[-1].nbytes
+    return out
 
 
 def _narrow(vocabulary: Vocabulary) -> str:
@@ -130,12 +145,6 @@ def _narrow(vocabulary: Vocabulary) -> str:
     return "<u2" if len(vocabulary.sizes) <= 1 << 16 else "<u4"
 
 
-def _wide(packed: bytes, sizes: np.ndarray) -> np.ndarray:
-    """Stored ids, whose width follows from how many the groups hold."""
-    n = int(sizes.sum())
-    return np.frombuffer(packed, "<u2" if n and len(packed) == 2 * n else "<u4").astype("<u4")
-
-
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.astype(np.int64) << 32) | b
 
@@ -184,50 +193,44 @@ def _spells(vocabulary: Vocabulary, ids: np.ndarray, counts: np.ndarray, data: n
 
 
 def _encode(path_a: str, path_b: str):
-    """mapInArrow: (doc_id, text) -> a row for each document, and one with each block's pairs
-    (row -1: distinct pairs and their counts)."""
+    """mapInArrow: (doc_id, text) -> rows of aligned documents (about 1 MB of text, or one
+    longer document, each), and a row with each block's distinct pairs and their counts."""
 
     def run(batches):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         a, b = ByteTokenizer(path_a), PieceTokenizer.load(path_b)
-        part, seq, row, size, pairs = TaskContext.get().partitionId(), 0, 0, 0, {}
+        types = _narrow(a.vocabulary), _narrow(b.vocabulary)
+        part, seq, size, pairs = TaskContext.get().partitionId(), 0, 0, {}
 
         def close():
-            nonlocal seq, row, size, pairs
+            nonlocal seq, size, pairs
             keys = np.array(sorted(pairs), dtype="<i8")
-            out = pa.RecordBatch.from_pylist([{"block": f"{part}-{seq}", "row": -1, "pairs": keys.tobytes(),
-                                               "times": np.array([pairs[k] for k in keys.tolist()], dtype="<i8").tobytes()}], schema=_DOCS)
-            seq, row, size, pairs = seq + 1, 0, 0, {}
+            times = np.array([pairs[k] for k in keys.tolist()], dtype="<i8")
+            out = pa.RecordBatch.from_pylist([{"block": f"{part}-{seq}", "pairs": keys.tobytes(), "times": times.tobytes()}], schema=_STORED)
+            seq, size, pairs = seq + 1, 0, {}
             return out
 
         for batch in batches:
             data, offsets = string_bytes(batch.column("text"))
-            ids = batch.column("doc_id").to_pylist()
+            known = np.array(batch.column("doc_id").is_valid())
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
             for i, j in row_slices(offsets):
                 a_ids, a_counts, b_ids, b_counts, a_sizes, b_sizes, groups = align_rows(data, offsets[i:j + 1], a, b)
                 linked, times = np.unique(pair_key(a_ids[np.cumsum(a_sizes) - 1], b_ids[np.cumsum(b_sizes) - 1]), return_counts=True)
                 for k, t in zip(linked.tolist(), times.tolist()):
                     pairs[k] = pairs.get(k, 0) + t
-                columns = [_cut(a_ids.astype(_narrow(a.vocabulary)), a_counts), _cut(b_ids.astype(_narrow(b.vocabulary)), b_counts), _cut(a_sizes.astype("<u4"), groups), _cut(b_sizes.astype("<u4"), groups)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([f"{part}-{seq}"] * (j - i), pa.string()), pa.array(range(row, row + j - i), pa.int32()), pa.array(ids[i:j], pa.int64()),
-                    *[pa.array(c, pa.binary()) for c in columns], pa.nulls(j - i, pa.binary()), pa.nulls(j - i, pa.binary())], schema=_DOCS)
-                row += j - i
+                packed = pack(*(x.astype("<u4") for x in (a_counts, b_counts, groups)), a_ids.astype(types[0]), b_ids.astype(types[1]),
+                              a_sizes.astype("<u4"), b_sizes.astype("<u4"))
+                yield pa.RecordBatch.from_pylist([{"block": f"{part}-{seq}", "docs": pack(ids[i:j], known[i:j].astype("|u1")), "packed": packed}], schema=_STORED)
                 size += int(offsets[j] - offsets[i]) + 64 * (j - i)
                 if size >= BLOCK_BYTES:
                     yield close()
-        if row:
+        if size:
             yield close()
 
     return run
 
 
-def _cut(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    raw, w = values.tobytes(), values.itemsize
-    ends = (np.cumsum(counts) * w).tolist()
-    return [raw[e - int(n) * w:e] for e, n in zip(ends, counts)]
-
-
 def _pairs(batches):
     """mapInArrow: the packed pairs of blocks -> block, a_id, b_id, n."""
     for batch in batches:
@@ -239,6 +242,12 @@ def _pairs(batches):
                                                   pa.array(times[i:i + (1 << 16)], pa.int64())], names=["block", "a_id", "b_id", "n"])
 
 
+def _cut(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    raw, w = values.tobytes(), values.itemsize
+    ends = (np.cumsum(counts, dtype=np.int64) * w).tolist()
+    return [raw[e - int(n) * w:e] for e, n in zip(ends, counts)]
+
+
 _RESULT = "doc_id long, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary, groups string, n_best long, count_sum long"
 
 
@@ -249,21 +258,20 @@ def _counted(text: bool):
         pairs = pair_key(totals.column("a_id").to_numpy(), totals.column("b_id").to_numpy())
         order = np.argsort(pairs)
         pairs, total, best = pairs[order], totals.column("total").to_numpy()[order], totals.column("best").to_numpy(zero_copy_only=False)[order].astype(bool)
-        n_best, count_sum, ids, groups = [], [], ([], []), []
-        for packed in zip(*(docs.column(c) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))):
-            p, q, x, y = (v.as_py() for v in packed)
-            sizes = [np.frombuffer(z, "<u4") for z in (x, y)]
-            a, b = (_wide(i, z) for i, z in zip((p, q), sizes))
-            ends = [np.cumsum(z, dtype=np.int64) - 1 for z in sizes]
-            at = np.searchsorted(pairs, pair_key(a[ends[0]], b[ends[1]]))
-            n_best.append(int(best[at].sum()) if len(at) else 0)
-            count_sum.append(int(total[at].sum()) if len(at) else 0)
-            ids[0].append(a.tobytes())
-            ids[1].append(b.tobytes())
-            groups.append(groups_text(a, b, *sizes) if text else None)
-        return pa.table({"doc_id": docs.column("doc_id"), "a_ids": pa.array(ids[0], pa.binary()), "b_ids": pa.array(ids[1], pa.binary()),
-                         "a_sizes": docs.column("a_sizes"), "b_sizes": docs.column("b_sizes"), "groups": pa.array(groups, pa.string()),
-                         "n_best": pa.array(n_best, pa.int64()), "count_sum": pa.array(count_sum, pa.int64())})
+        parts = []
+        for about, packed in zip(docs.column("docs"), docs.column("packed")):
+            ids, known = unpack(about.as_py())
+            *counts, a_ids, b_ids, a_sizes, b_sizes = unpack(packed.as_py())
+            at = np.searchsorted(pairs, pair_key(a_ids[np.cumsum(a_sizes, dtype=np.int64) - 1], b_ids[np.cumsum(b_sizes, dtype=np.int64) - 1]))
+            ends = [np.cumsum(c, dtype=np.int64) for c in counts]
+            begins = [e - c for e, c in zip(ends, counts)]
+            sums = [np.concatenate([[0], np.cumsum(x[at].astype(np.int64))]) for x in (best, total)]
+            cut = [_cut(x.astype("<u4"), counts[k]) for x, k in ((a_ids, 0), (b_ids, 1), (a_sizes, 2), (b_sizes, 2))]
+            groups = [groups_text(a_ids[a:b], b_ids[c:d], a_sizes[e:f], b_sizes[e:f]) if text else None
+                      for a, b, c, d, e, f in zip(*(x.tolist() for be in zip(begins, ends) for x in be))]
+            parts.append(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=known == 0), *[pa.array(c, pa.binary()) for c in cut], pa.array(groups, pa.string()),
+                                                     *[pa.array(s[ends[2]] - s[begins[2]], pa.int64()) for s in sums]], names=_RESULT.replace(",", "").split()[::2]))
+        return pa.Table.from_batches(parts)
 
     return run
 
@@ -294,10 +302,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     named by scan order.
     """
     source = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    stored = materialize(source.mapInArrow(frugal(_encode(path_a, path_b)), _DOCS_TYPE), "aligned")
-    blocks = stored.filter("row < 0").select("block", "pairs", "times").mapInArrow(_pairs, "block string, a_id long, b_id long, n long")
+    stored = materialize(source.mapInArrow(frugal(_encode(path_a, path_b)), _STORED_TYPE), "aligned")
+    blocks = stored.filter("pairs IS NOT NULL").select("block", "pairs", "times").mapInArrow(_pairs, "block string, a_id long, b_id long, n long")
     answers = blocks.join(pair_totals(blocks), ["a_id", "b_id"]).select("block", "a_id", "b_id", "total", "best")
-    rows = stored.filter("row >= 0").select("block", "doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes")
+    rows = stored.filter("packed IS NOT NULL").select("block", "docs", "packed")
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_counted(text), _RESULT)
 
 
