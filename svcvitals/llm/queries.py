@@ -67,11 +67,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = token_alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), text=True)
-    n = {c: F.expr(f"octet_length({c}) div 4").cast("long") for c in ("a_ids", "b_ids", "a_sizes")}
-    return aligned.select(
-        "doc_id", n["a_ids"].alias("n_a"), n["b_ids"].alias("n_b"), n["a_sizes"].alias("n_groups"), n["a_sizes"].alias("n_links"), "n_best", "count_sum",
-        F.when(F.col("groups") == "", "").otherwise(F.sha2(utf8(F.col("groups")), 256)).alias("groups_sha256"))
+    aligned = token_alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                    public_tokenizers.path("piece_bpe_32k.model"), packed=False, text=True)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), "n_best", "count_sum",
+                          F.when(F.col("groups") == "", "").otherwise(F.sha2(utf8(F.col("groups")), 256)).alias("groups_sha256"))
 
 
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:

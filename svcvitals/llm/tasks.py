@@ -30,4 +30,16 @@ def frugal(run):
     return wrapped
 
 
-__all__ = ["frugal"]
+def frugal_group(run):
+    """The same for the function of a (co)group: what one group took is given back before the next."""
+
+    def wrapped(*tables):
+        try:
+            return run(*tables)
+        finally:
+            _release()
+
+    return wrapped
+
+
+__all__ = ["frugal", "frugal_group"]

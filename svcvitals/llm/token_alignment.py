@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from svcvitals.llm.bytecols import ragged, row_slices, string_bytes
 from svcvitals.llm.columns import pick
-from svcvitals.llm.tasks import frugal
+from svcvitals.llm.tasks import frugal, frugal_group
 from svcvitals.llm.tokenizing import CachedTokenizer
 from svcvitals.sources.tables import materialize
 
@@ -248,10 +248,10 @@ def _cut(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [raw[e - int(n) * w:e] for e, n in zip(ends, counts)]
 
 
-_RESULT = "doc_id long, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary, groups string, n_best long, count_sum long"
+_RESULT = "doc_id long, n_a long, n_b long, n_groups long, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary, groups string, n_best long, count_sum long"
 
 
-def _counted(text: bool):
+def _counted(packed_forms: bool, text: bool):
     """One block: each document with the sums over its links of the pairs' totals."""
 
     def run(key, docs, totals):
@@ -266,10 +266,10 @@ def _counted(text: bool):
             ends = [np.cumsum(c, dtype=np.int64) for c in counts]
             begins = [e - c for e, c in zip(ends, counts)]
             sums = [np.concatenate([[0], np.cumsum(x[at].astype(np.int64))]) for x in (best, total)]
-            cut = [_cut(x.astype("<u4"), counts[k]) for x, k in ((a_ids, 0), (b_ids, 1), (a_sizes, 2), (b_sizes, 2))]
+            cut = [_cut(x.astype("<u4"), counts[k]) if packed_forms else [None] * len(ids) for x, k in ((a_ids, 0), (b_ids, 1), (a_sizes, 2), (b_sizes, 2))]
             groups = [groups_text(a_ids[a:b], b_ids[c:d], a_sizes[e:f], b_sizes[e:f]) if text else None
                       for a, b, c, d, e, f in zip(*(x.tolist() for be in zip(begins, ends) for x in be))]
-            parts.append(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=known == 0), *[pa.array(c, pa.binary()) for c in cut], pa.array(groups, pa.string()),
+            parts.append(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=known == 0), *[pa.array(c.astype(np.int64)) for c in counts], *[pa.array(c, pa.binary()) for c in cut], pa.array(groups, pa.string()),
                                                      *[pa.array(s[ends[2]] - s[begins[2]], pa.int64()) for s in sums]], names=_RESULT.replace(",", "").split()[::2]))
         return pa.Table.from_batches(parts)
 
@@ -285,8 +285,8 @@ def pair_totals(blocks: DataFrame) -> DataFrame:
     return sums.join(most, "b_id").select("a_id", "b_id", "total", (F.col("total") == F.col("most")).alias("best"))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", text: bool = False) -> DataFrame:
-    """doc_id, a_ids, b_ids, a_sizes, b_sizes, groups, n_best, count_sum, one row per input row.
+def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", packed: bool = True, text: bool = False) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, a_ids, b_ids, a_sizes, b_sizes, groups, n_best, count_sum, one row per input row.
 
     a_ids: ids of " " + text by the byte-level tokenizer at ``path_a``; b_ids: ids of text by
     the sentencepiece model at ``path_b``, which adds the space; a_sizes and b_sizes: how many
@@ -303,10 +303,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     """
     source = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     stored = materialize(source.mapInArrow(frugal(_encode(path_a, path_b)), _STORED_TYPE), "aligned")
-    blocks = stored.filter("pairs IS NOT NULL").select("block", "pairs", "times").mapInArrow(_pairs, "block string, a_id long, b_id long, n long")
+    blocks = stored.filter("pairs IS NOT NULL").select("block", "pairs", "times").mapInArrow(frugal(_pairs), "block string, a_id long, b_id long, n long")
     answers = blocks.join(pair_totals(blocks), ["a_id", "b_id"]).select("block", "a_id", "b_id", "total", "best")
     rows = stored.filter("packed IS NOT NULL").select("block", "docs", "packed")
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_counted(text), _RESULT)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(frugal_group(_counted(packed, text)), _RESULT)
 
 
 def unpacked(packed: bytes) -> np.ndarray:
