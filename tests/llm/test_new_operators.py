@@ -83,8 +83,10 @@ def check_alignment(rows, ids, texts):
     expected = Counter()
     for d, (a, b, groups, links) in zip(ids, want):
         expected[d, len(a), len(b), ";".join(groups), sum(counts[x] == most[x[1]] for x in links), sum(counts[x] for x in links)] += 1
-    got = Counter((r["doc_id"], len(r["a_ids"]) // 4, len(r["b_ids"]) // 4, r["groups"], r["n_best"], r["count_sum"]) for r in rows)
-    assert got == expected
+    assert Counter((r["doc_id"], r["n_a"], r["n_b"], r["groups"], r["n_best"], r["count_sum"]) for r in rows) == expected
+    for r in rows:
+        packed = [token_alignment.unpacked(r[c]) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")]
+        assert [len(x) for x in packed] == [r["n_a"], r["n_b"], r["n_groups"], r["n_groups"]] and token_alignment.groups_text(*packed) == r["groups"]
 
 
 ODD_ALIGNED = [*ODD_TEXTS, "▁ is a piece of its own", "<s> </s> <unk> <0x41> <|endoftext|>", "  two  spaces   three ", "\n\n\t x", "a" * 3000, "é" * 700, "日本語テキスト", "  ",
