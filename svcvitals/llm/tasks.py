@@ -30,16 +30,16 @@ def frugal(run):
     return wrapped
 
 
-def frugal_group(run):
-    """The same for the function of a (co)group: what one group took is given back before the next."""
+def frugal_cogroup(run):
+    """The same for the function of a cogroup: what one group took is given back before the next."""
 
-    def wrapped(*tables):
+    def wrapped(key, left, right):
         try:
-            return run(*tables)
+            return run(key, left, right)
         finally:
             _release()
 
     return wrapped
 
 
-__all__ = ["frugal", "frugal_group"]
+__all__ = ["frugal", "frugal_cogroup"]

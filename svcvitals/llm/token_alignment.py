@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from svcvitals.llm.bytecols import ragged, row_slices, string_bytes
 from svcvitals.llm.columns import pick
-from svcvitals.llm.tasks import frugal, frugal_group
+from svcvitals.llm.tasks import frugal, frugal_cogroup
 from svcvitals.llm.tokenizing import CachedTokenizer
 from svcvitals.sources.tables import materialize
 
@@ -306,7 +306,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     blocks = stored.filter("pairs IS NOT NULL").select("block", "pairs", "times").mapInArrow(frugal(_pairs), "block string, a_id long, b_id long, n long")
     answers = blocks.join(pair_totals(blocks), ["a_id", "b_id"]).select("block", "a_id", "b_id", "total", "best")
     rows = stored.filter("packed IS NOT NULL").select("block", "docs", "packed")
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(frugal_group(_counted(packed, text)), _RESULT)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(frugal_cogroup(_counted(packed, text)), _RESULT)
 
 
 def unpacked(packed: bytes) -> np.ndarray:
