@@ -403,6 +403,72 @@ W3 = f"""w3 AS (
   FROM w2)"""
 
 
+# distributions: buckets by plain comparisons, bounds written out per layout
+_finite = {"explicit": A.HISTOGRAM_BOUNDS, "exponential": [float(2 ** i) for i in range(A.HISTOGRAM_FINITE + 1)],
+           "linear": [A.HISTOGRAM_LINEAR[1] * i for i in range(A.HISTOGRAM_LINEAR[0] + 1)]}
+_layouts = ", ".join(f"('{k}', {i}, {D(lo)}, {D(hi)}, {int(first)}, {int(last)})" for k, v in _finite.items()
+                     for i, (lo, hi, first, last) in enumerate([((0.0 if v[0] > 0 else v[0]), v[0], 1, 0), *((a, b, 0, 0) for a, b in zip(v, v[1:])), (v[-1], v[-1], 0, 1)]))
+HIST = f"""hraw AS (
+  SELECT CAST(ts AS DATE) AS day, prefix, label, prefix || '--' || label AS service_name, user_id,
+         CASE WHEN user_id % 3 = 0 THEN 'explicit' WHEN user_id % 3 = 1 THEN 'exponential' WHEN hour(ts) < 12 THEN 'linear' ELSE 'explicit' END AS kind,
+         CASE WHEN prefix = 'endpoints' THEN {D(A.HISTOGRAM_UNIT)} ELSE {D(1)} END AS unit,
+         CASE WHEN prefix = 'endpoints' THEN (value * {D(14)}) / {D(1000)} ELSE value * {D(14)} END AS x
+  FROM ev WHERE user_id % 24 <> {A.COUNTS_ONLY[0]} AND label IS NOT NULL AND label <> '' AND NOT (prefix = 'endpoints' AND label LIKE '%.googleapis.com')),
+lay(kind, i, lo, hi, below, above) AS (VALUES {_layouts}),
+hb AS (
+  SELECT h.day, h.prefix, h.service_name, h.user_id, l.lo / h.unit AS lo, l.hi / h.unit AS hi
+  FROM hraw h JOIN lay l ON l.kind = h.kind AND (below = 1 OR x >= l.lo / h.unit) AND (above = 1 OR x < l.hi / h.unit))"""
+
+
+def _histogram(keys: str, ps: dict[str, float]) -> str:
+    """Percentiles of merged buckets: all bounds cut the axis, masses by share of each bucket."""
+    on = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys.split(", "))
+    cols = ", ".join(f"min(CASE WHEN upto >= n * {D(p)} AND upto - mass < n * {D(p)} THEN lo + ((n * {D(p)} - (upto - mass)) / mass) * (hi - lo) END) AS {c}" for c, p in ps.items())
+    return f"""hm AS (SELECT {keys}, lo, hi, CAST(count(*) AS DOUBLE) AS c FROM hb GROUP BY {keys}, lo, hi),
+he AS (SELECT {keys}, lo AS e FROM hm UNION SELECT {keys}, hi FROM hm),
+hs AS (SELECT {keys}, e AS lo, lead(e) OVER (PARTITION BY {keys} ORDER BY e) AS hi FROM he UNION ALL SELECT {keys}, e, e FROM he),
+hw AS (SELECT {", ".join("s." + k for k in keys.split(", "))}, s.lo, s.hi,
+              sum(CASE WHEN s.lo = s.hi THEN CASE WHEN m.lo = s.lo AND m.hi = s.lo THEN m.c ELSE 0 END
+                       WHEN m.lo <= s.lo AND m.hi >= s.hi AND m.lo < m.hi THEN m.c * ((s.hi - s.lo) / (m.hi - m.lo)) ELSE 0 END) AS mass
+       FROM hs s JOIN hm m ON {on("s", "m")} WHERE s.hi IS NOT NULL GROUP BY ALL),
+hc AS (SELECT *, sum(mass) OVER (PARTITION BY {keys} ORDER BY lo, hi) AS upto, sum(mass) OVER (PARTITION BY {keys}) AS n FROM hw WHERE mass > 0),
+hq AS (SELECT {keys}, {cols} FROM hc GROUP BY {keys})"""
+
+
+def _histogram_series() -> str:
+    def across(p, out):
+        return (f"{out}_t AS (SELECT x.day, x.service_name, CASE WHEN x.prefix = 'endpoints' THEN x.v * {D(1000)} ELSE x.v END AS {out} "
+                f"FROM {_interp('hq', 'day, service_name, prefix', out, p, 'v')} x)")
+    ps = {"latency_p50": 0.5, "latency_p95": 0.95}
+    return ",\n".join([HIST, _histogram("day, service_name, prefix, user_id", ps), *[across(p, c) for c, p in ps.items()]])
+
+
+# counters: every step by lag, days by a join with a calendar, shares in whole microseconds
+COUNTERS = f"""c0 AS (
+  SELECT user_id, ts, label, prefix, counts_type, CASE WHEN event_type = 'error' THEN '5xx' ELSE '2xx' END AS cls,
+         CAST(sum(CASE WHEN event_type = 'error' THEN 1 + k % 10 ELSE 50 * (1 + k % 10) END) AS BIGINT) AS cnt
+  FROM ev WHERE user_id % 24 <> {A.LATENCY_ONLY[0]} GROUP BY ALL),
+c1 AS (SELECT *, CAST(floor((date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) - 4) / {A.COUNTER_DAYS}) AS BIGINT) AS wk FROM c0),
+c2 AS (SELECT *, CAST(sum(cnt) OVER (PARTITION BY user_id, cls, wk ORDER BY ts) AS BIGINT) AS running,
+              CAST(DATE '1970-01-01' + CAST(wk * {A.COUNTER_DAYS} + 4 AS INTEGER) AS TIMESTAMP) AS wk_start FROM c1),
+c3 AS (SELECT *, lag(ts) OVER w AS ts0, lag(running) OVER w AS running0, lag(wk) OVER w AS wk0 FROM c2 WINDOW w AS (PARTITION BY user_id, cls ORDER BY ts)),
+c4 AS (
+  SELECT user_id, label, prefix, cls, CAST(CAST(ts AS DATE) - 3 AS TIMESTAMP) AS a, ts AS b, cnt AS d FROM c3 WHERE user_id % 4 = 3
+  UNION ALL
+  SELECT user_id, label, prefix, cls, CASE WHEN ts0 IS NULL THEN wk_start WHEN wk <> wk0 THEN greatest(wk_start, ts0) ELSE ts0 END, ts,
+         CASE WHEN ts0 IS NULL OR wk <> wk0 THEN running ELSE running - running0 END FROM c3 WHERE user_id % 4 < 2
+  UNION ALL
+  SELECT user_id, label, prefix, cls, ts0, ts, CASE WHEN running < running0 THEN running ELSE running - running0 END FROM c3 WHERE user_id % 4 = 2 AND ts0 IS NOT NULL),
+c5 AS (SELECT *, CAST(epoch_us(a) AS HUGEINT) AS ua, CAST(epoch_us(b) AS HUGEINT) AS ub FROM c4),
+cal0 AS (SELECT CAST(unnest(generate_series((SELECT min(a) FROM c4)::DATE::TIMESTAMP, (SELECT max(b) FROM c4), INTERVAL 1 DAY)) AS DATE) AS day),
+cal AS (SELECT day, CAST(epoch_us(CAST(day AS TIMESTAMP)) AS HUGEINT) AS u0 FROM cal0),
+c6 AS (SELECT c5.*, day, u0 FROM c5 JOIN cal ON u0 + 86400000000 > ua AND (u0 < ub OR (ua = ub AND u0 <= ub))),
+c7 AS (
+  SELECT day, prefix, label, cls, user_id, CASE WHEN ua = ub THEN d ELSE
+         (CASE WHEN u0 + 86400000000 >= ub THEN d ELSE (d * (u0 + 86400000000 - ua)) // (ub - ua) END) - (CASE WHEN u0 <= ua THEN 0 ELSE (d * (u0 - ua)) // (ub - ua) END) END AS part
+  FROM c6)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -438,6 +504,13 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_day": _with(ROLLUP) + _raw_rows(
         f"(SELECT * FROM merged_full WHERE day = DATE '{A.INGEST_AS_OF}' - INTERVAL 1 DAY)", False),
     "backfill_range": _with(ROLLUP, BACKFILL) + "SELECT * FROM bf",
+    "daily_histogram_percentiles": _with(EV, _histogram_series()) +
+        "SELECT a.day, a.service_name, latency_p50, latency_p95 FROM latency_p50_t a JOIN latency_p95_t b ON a.day = b.day AND a.service_name = b.service_name",
+    "daily_histogram_merged": _with(EV, HIST, _histogram("day, service_name, prefix", {"latency_p50": 0.5, "latency_p95": 0.95, "latency_p99": 0.99})) +
+        "SELECT day, service_name, " + ", ".join(f"CASE WHEN prefix = 'endpoints' THEN {c} * {D(1000)} ELSE {c} END AS {c}" for c in ("latency_p50", "latency_p95", "latency_p99")) + " FROM hq",
+    "daily_counter_deltas": _with(EV, COUNTERS) +
+        "SELECT day, prefix, label, cls AS response_code_class, CAST(sum(part) AS BIGINT) AS request_count, max('proj-' || CAST(user_id % 3 AS VARCHAR)) AS project_id "
+        "FROM c7 GROUP BY day, prefix, label, cls",
     "stream_events": _with(BR, DR) +
         "SELECT *, 'cloud_builds_raw' AS table_name FROM br UNION ALL SELECT *, 'cloud_deploy_raw' FROM dr",
     "build_events": _with(BR, BUILD_EVENTS) + "SELECT * FROM be",

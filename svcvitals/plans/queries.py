@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from svcvitals import config as C
 from svcvitals.functions.columns import environment, is_async_like
 from svcvitals.functions.sql import register_sql_functions
-from svcvitals.operators import events as E, legacy as W, logs as L, metrics as M, scores as SC, survey as SV
+from svcvitals.operators import cumulative as CU, events as E, histograms as H, legacy as W, logs as L, metrics as M, scores as SC, survey as SV
 from svcvitals.plans.health import HealthStack, materialize
 from svcvitals.plans.views import register_views
 from svcvitals.session import configure, shared_dir
@@ -124,6 +124,27 @@ def q_backfill_range(spark, sf):
     return A.backfilled_raw_metrics(spark, sf)
 
 
+def q_daily_histogram_percentiles(spark, sf):
+    """Distribution-valued latencies: per series and day, then across the series."""
+    configure(spark)
+    found = H.daily_histogram_percentiles(A.distribution_points(spark, sf), A.sources(spark))
+    return found.select("day", "service_name", "latency_p50", "latency_p95")
+
+
+def q_daily_histogram_merged(spark, sf):
+    """The same points, the buckets of a service's series merged first."""
+    configure(spark)
+    ps = {"latency_p50": 0.5, "latency_p95": 0.95, "latency_p99": 0.99}
+    found = H.daily_histogram_percentiles(A.distribution_points(spark, sf), A.sources(spark), ps, across="merged")
+    return found.select("day", "service_name", *ps)
+
+
+def q_daily_counter_deltas(spark, sf):
+    """Request counts per day out of cumulative counters and intervals."""
+    configure(spark)
+    return M.daily_request_counts(CU.daily_deltas(A.interval_points(spark, sf)), A.sources(spark))
+
+
 # --------------------------------------------------------------------------- events
 def q_stream_events(spark, sf):
     """Stream both envelope feeds (landed as Parquet files) into their raw tables with
@@ -348,6 +369,9 @@ QUERIES: dict[str, Query] = {
     "stored_availability": q_stored_availability,
     "ingest_day": q_ingest_day,
     "backfill_range": q_backfill_range,
+    "daily_histogram_percentiles": q_daily_histogram_percentiles,
+    "daily_histogram_merged": q_daily_histogram_merged,
+    "daily_counter_deltas": q_daily_counter_deltas,
     "stream_events": q_stream_events,
     "stream_deployment_events": q_stream_deployment_events,
     "stream_route_logs": q_stream_route_logs,

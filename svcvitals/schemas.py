@@ -66,6 +66,37 @@ METRIC_POINTS = T.StructType([
     T.StructField("double_value", T.DoubleType(), True),
 ])
 
+#: Counts over an interval: ``value_kind`` is 'cumulative' (since the start) or 'delta'.
+INTERVAL_POINTS = T.StructType([
+    T.StructField("metric_type", T.StringType(), True),
+    T.StructField("resource_labels", LABELS, True),
+    T.StructField("metric_labels", LABELS, True),
+    T.StructField("value_kind", T.StringType(), True),
+    T.StructField("start_ts", T.TimestampType(), True),
+    T.StructField("ts", T.TimestampType(), True),
+    T.StructField("int64_value", T.LongType(), True),
+])
+
+#: A bucket layout: explicit bounds, or n + 1 bounds by scale and growth, or by offset and width.
+BUCKET_LAYOUT = T.StructType([
+    T.StructField("kind", T.StringType(), True),
+    T.StructField("bounds", T.ArrayType(T.DoubleType()), True),
+    T.StructField("num_finite_buckets", T.IntegerType(), True),
+    T.StructField("scale", T.DoubleType(), True),
+    T.StructField("growth_factor", T.DoubleType(), True),
+    T.StructField("offset", T.DoubleType(), True),
+    T.StructField("width", T.DoubleType(), True),
+])
+
+DISTRIBUTION_POINTS = T.StructType([
+    T.StructField("metric_type", T.StringType(), True),
+    T.StructField("resource_labels", LABELS, True),
+    T.StructField("metric_labels", LABELS, True),
+    T.StructField("ts", T.TimestampType(), True),
+    T.StructField("layout", BUCKET_LAYOUT, True),
+    T.StructField("bucket_counts", T.ArrayType(T.LongType()), True),
+])
+
 LOG_ENTRIES = T.StructType([
     T.StructField("ts", T.TimestampType(), True),
     T.StructField("severity", T.StringType(), True),

@@ -128,6 +128,80 @@ def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("metric_type", "resource_labels", "metric_labels", "ts", "int64_value", "double_value"))
 
 
+# Bucket layouts of the distribution points, in the unit of a sample that is not scaled; all
+# widths are powers of two, so that shares of buckets are exact.
+HISTOGRAM_BOUNDS = [8.0, 16.0, 32.0, 64.0, 96.0, 128.0, 192.0, 256.0, 384.0, 512.0, 768.0, 1024.0, 1536.0, 2048.0]
+HISTOGRAM_FINITE = 12                  # bounds 1, 2, 4, ..., 4096
+HISTOGRAM_LINEAR = (16, 64.0)          # bounds 0, 64, ..., 1024
+HISTOGRAM_UNIT = 1024.0                # divides bounds of sources measured in seconds
+
+
+def distribution_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One distribution point per user (a series) and six hours: its latencies in buckets. The
+    layout is explicit for user_id % 3 = 0, exponential for 1; for 2 it changes over the day
+    (linear in the morning half, explicit in the other)."""
+    b = _event_base(spark, sf_dir)
+    seconds = F.col("prefix") == C.ENDPOINTS_PREFIX
+    unit = F.when(seconds, F.lit(HISTOGRAM_UNIT)).otherwise(F.lit(1.0))
+    sample = F.col("value") * F.lit(14.0)
+    sample = F.when(seconds, sample / F.lit(1000.0)).otherwise(sample)
+    slot = F.floor(F.hour("ts") / 6)
+    kind = (F.when(F.col("user_id") % 3 == 0, F.lit("explicit")).when(F.col("user_id") % 3 == 1, F.lit("exponential"))
+            .when(slot < 2, F.lit("linear")).otherwise(F.lit("explicit")))
+    n, width = HISTOGRAM_LINEAR
+    finite = {"explicit": HISTOGRAM_BOUNDS, "exponential": [float(1 << i) for i in range(HISTOGRAM_FINITE + 1)], "linear": [width * i for i in range(n + 1)]}
+    bounds = {k: F.transform(F.array(*[F.lit(x) for x in v]), lambda x: x / unit) for k, v in finite.items()}
+    own = F.when(kind == "explicit", bounds["explicit"]).when(kind == "exponential", bounds["exponential"]).otherwise(bounds["linear"])
+    bucket = F.size(F.filter(own, lambda x: x <= sample))
+    base = (b.filter(F.col("user_id") % 24 != COUNTS_ONLY[0])
+            .select("ts", "user_id", "label", "label_key", "prefix", "latency_type", kind.alias("kind"), unit.alias("unit"), slot.alias("slot"), bucket.alias("bucket")))
+    counted = (base.groupBy("user_id", F.to_date("ts").alias("d"), "slot", "label", "label_key", "prefix", "latency_type", "kind", "unit")
+               .agg(*[F.count_if(F.col("bucket") == i).alias(f"b{i}") for i in range(n + 2)]))
+    labels = F.create_map(F.col("label_key"), F.col("label"), F.lit("project_id"), F.concat(F.lit("proj-"), (F.col("user_id") % 3).cast("string")),
+                          F.lit("instance_id"), F.col("user_id").cast("string"))
+    expo, lin = F.col("kind") == "exponential", F.col("kind") == "linear"
+    layout = F.struct(
+        F.col("kind").alias("kind"),
+        F.when(F.col("kind") == "explicit", F.transform(F.array(*[F.lit(x) for x in HISTOGRAM_BOUNDS]), lambda x: x / F.col("unit"))).alias("bounds"),
+        F.when(expo, F.lit(HISTOGRAM_FINITE)).when(lin, F.lit(n)).alias("num_finite_buckets"),
+        F.when(expo, F.lit(1.0) / F.col("unit")).alias("scale"), F.when(expo, F.lit(2.0)).alias("growth_factor"),
+        F.when(lin, F.lit(0.0)).alias("offset"), F.when(lin, F.lit(width) / F.col("unit")).alias("width"))
+    size = {k: len(v) + 1 for k, v in finite.items()}
+    counts = F.slice(F.array(*[F.col(f"b{i}") for i in range(n + 2)]), 1, F.when(expo, size["exponential"]).when(lin, size["linear"]).otherwise(size["explicit"]))
+    return counted.select(
+        F.col("latency_type").alias("metric_type"), labels.alias("resource_labels"), F.create_map().cast(S.LABELS).alias("metric_labels"),
+        (F.col("d").cast("timestamp") + F.make_dt_interval(hours=F.col("slot").cast("int") * 6 + 5)).alias("ts"),
+        layout.alias("layout"), counts.alias("bucket_counts"))
+
+
+COUNTER_DAYS = 7  # days from one restart of a counter to the next
+
+
+def interval_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One counter per user and response class, restarted every week. For user_id % 4 = 3 the
+    points are deltas since midnight three days before instead; for user_id % 4 = 2 restarts are
+    not told (no start), so they show by smaller values only."""
+    from pyspark.sql import Window
+    b = _event_base(spark, sf_dir).filter(F.col("user_id") % 24 != LATENCY_ONLY[0])
+    k10 = (F.col("k") % 10) + 1
+    count = F.when(F.col("event_type") == "error", k10).otherwise(k10 * 50).cast("long")
+    cls = F.when(F.col("event_type") == "error", F.lit("5xx")).otherwise(F.lit("2xx"))
+    once = b.groupBy("user_id", "ts", "label", "label_key", "counts_type", cls.alias("cls")).agg(F.sum(count).alias("count"))
+    week = F.floor((F.unix_date(F.to_date("ts")) - F.lit(4)) / COUNTER_DAYS)
+    running = Window.partitionBy("user_id", "cls", "week").orderBy("ts")
+    rows = once.withColumn("week", week).withColumn("running", F.sum("count").over(running))
+    delta, blind = F.col("user_id") % 4 == 3, F.col("user_id") % 4 == 2
+    start = F.date_from_unix_date((F.col("week") * COUNTER_DAYS + 4).cast("int")).cast("timestamp")
+    return rows.select(
+        F.col("counts_type").alias("metric_type"),
+        F.create_map(F.col("label_key"), F.col("label"), F.lit("project_id"), F.concat(F.lit("proj-"), (F.col("user_id") % 3).cast("string")),
+                     F.lit("instance_id"), F.col("user_id").cast("string")).alias("resource_labels"),
+        F.create_map(F.lit("response_code_class"), F.col("cls")).alias("metric_labels"),
+        F.when(delta, F.lit("delta")).otherwise(F.lit("cumulative")).alias("value_kind"),
+        F.when(delta, F.date_sub(F.to_date("ts"), 3).cast("timestamp")).when(blind, F.lit(None).cast("timestamp")).otherwise(start).alias("start_ts"),
+        "ts", F.when(delta, F.col("count")).otherwise(F.col("running")).alias("int64_value"))
+
+
 def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log entry per event: severity by k % 6; service label unless k % 7 = 0."""
     b = _event_base(spark, sf_dir)
