@@ -44,7 +44,7 @@ def build_events(builds_raw: DataFrame) -> DataFrame:
     b = j.select(
         "publish_time",
         json_scalar("status", "data", "$.status").alias("status"),
-        json_scalar(F.col("tags").getItem(0), "data", "$.tags[0]").alias("_tag0"),
+        json_scalar(F.get("tags", F.lit(0)), "data", "$.tags[0]").alias("_tag0"),
         json_scalar("buildTriggerId", "data", "$.buildTriggerId").alias("_trigger"))
     tag = F.coalesce(F.col("_tag0"), F.lit(""))
     keep = (~F.coalesce(F.col("_trigger"), F.lit("")).startswith(C.BUILD_EXCLUDED_TRIGGER_PREFIX)

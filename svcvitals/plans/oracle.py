@@ -603,3 +603,4 @@ def _checksum(view: str, source: str, columns: str) -> str:
 ORACLE_SQL["registered_views"] = (
     _with(*_STACK, base_sql("perf"), PIPE, COMPOSITE, LOGS, LEGACY_IN, W1, W2, W3) +
     " UNION ALL ".join(_checksum(v, *VIEW_COLUMNS[v]) for v in VIEW_COLUMNS))
+ORACLE_SQL["catalog_views"] = ORACLE_SQL["registered_views"]

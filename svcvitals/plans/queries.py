@@ -7,6 +7,8 @@ the oracle SQL in :mod:`svcvitals.plans.oracle`.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +17,7 @@ from svcvitals import config as C
 from svcvitals.functions.columns import environment, is_async_like
 from svcvitals.functions.sql import register_sql_functions
 from svcvitals.operators import cumulative as CU, events as E, histograms as H, legacy as W, logs as L, metrics as M, scores as SC, survey as SV
+from svcvitals.plans import catalog as CAT
 from svcvitals.plans.health import HealthStack, materialize
 from svcvitals.plans.views import register_views
 from svcvitals.session import configure, shared_dir
@@ -353,6 +356,29 @@ def q_registered_views(spark, sf):
     return out
 
 
+def fill_catalog(spark, sf, database: str) -> None:
+    """The input tables of a catalog database, in the shared folder, with the test data's rows."""
+    CAT.create_tables(spark, database, shared_dir(spark, database))
+    backfilled = materialize(A.backfilled_raw_metrics(spark, sf))
+    rows = {"raw_metrics": A.raw_metrics(spark, sf, backfilled=backfilled), "cloud_builds_raw": A.cloud_builds_raw(spark, sf),
+            "cloud_deploy_raw": A.cloud_deploy_raw(spark, sf), "observability_survey_sheet": A.survey(spark, sf),
+            "legacy_metrics": A.legacy_metrics(spark, sf, backfilled=backfilled)}
+    for name, df in rows.items():
+        CAT.append_rows(df, database, name)
+
+
+def q_catalog_views(spark, sf):
+    """The stack as SQL views over stored tables of a catalog database, each counted
+    and checksummed."""
+    configure(spark)
+    database = f"vitals_{uuid.uuid4().hex[:12]}"
+    fill_catalog(spark, sf, database)
+    views = CAT.create_views(spark, database, A.AS_OF, A.EPOCH)
+    names = [n for n in CAT.TABLES if n != "legacy_metrics"] + views
+    parts = [view_checksum(spark.table(f"{database}.{n}")).select(F.lit(n).alias("view_name"), "row_count", "checksum") for n in names]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Query] = {
     "metric_sources_join": q_metric_sources_join,
     "day_slice": q_day_slice,
@@ -397,4 +423,5 @@ QUERIES: dict[str, Query] = {
     "legacy_pillar_score": q_legacy_pillar_score,
     "legacy_final_score": q_legacy_final_score,
     "registered_views": q_registered_views,
+    "catalog_views": q_catalog_views,
 }
