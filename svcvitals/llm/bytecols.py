@@ -115,11 +115,13 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which:
     return out
 
 
-def same_ranges(a: np.ndarray, a_starts: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
-    """Whether the bytes a[start:end] and b[start:end] are equal, pair by pair."""
+def same_ranges(a: np.ndarray, a_starts: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_ends: np.ndarray,
+                eight: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Whether the bytes a[start:end] and b[start:end] are equal, pair by pair; ``eight``: the
+    limbs of both, where they are there already."""
     sizes = np.asarray(a_ends - a_starts, dtype=np.int64)
     same = sizes == b_ends - b_starts
-    eight_a, eight_b, left, k = limbs(a), limbs(b), np.flatnonzero(same & (sizes > 0) & (sizes <= LONG)), 0
+    (eight_a, eight_b), left, k = eight or (limbs(a), limbs(b)), np.flatnonzero(same & (sizes > 0) & (sizes <= LONG)), 0
     while len(left):
         rest = sizes[left] - k
         equal = ((eight_a[a_starts[left] + k] ^ eight_b[b_starts[left] + k]) & _TAILS[np.minimum(rest, 8)]) == 0
@@ -181,5 +183,5 @@ def ragged(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-__all__ = ["ASCII_SPACE", "LOWER", "CHUNK", "string_bytes", "row_slices", "powers", "mixed", "prefix_sums", "span_hashes", "window_hashes",
+__all__ = ["ASCII_SPACE", "LOWER", "CHUNK", "limbs", "string_bytes", "row_slices", "powers", "mixed", "prefix_sums", "span_hashes", "window_hashes",
            "range_hashes", "same_ranges", "words", "rows_of", "ragged"]

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from svcvitals.llm.bytecols import LOWER, mixed, ragged, row_slices, same_ranges, string_bytes, words
+from svcvitals.llm.bytecols import LOWER, limbs, mixed, ragged, row_slices, same_ranges, string_bytes, words
 from svcvitals.llm.columns import pick
 from svcvitals.llm.tasks import frugal
 from svcvitals.sources.tables import materialize
@@ -37,6 +37,16 @@ class Words:
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray):
         self.data, self.starts, self.ends, self.hashes = data, starts, ends, hashes
+        self._eight = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_eight": None}
+
+    def eight(self) -> np.ndarray:
+        """The limbs of the bytes, made once."""
+        if self._eight is None:
+            self._eight = limbs(self.data)
+        return self._eight
 
     @classmethod
     def of(cls, data: np.ndarray, offsets: np.ndarray) -> "Words":
@@ -47,7 +57,7 @@ class Words:
 
     def same(self, at: np.ndarray, other: "Words", there: np.ndarray) -> np.ndarray:
         """Whether the words numbered ``at`` have the bytes of the other's words ``there``."""
-        return same_ranges(self.data, self.starts[at], self.ends[at], other.data, other.starts[there], other.ends[there])
+        return same_ranges(self.data, self.starts[at], self.ends[at], other.data, other.starts[there], other.ends[there], (self.eight(), other.eight()))
 
     def ranks(self) -> np.ndarray:
         """A number for each word, equal for equal words only."""
