@@ -369,7 +369,7 @@ def test_pipeline_stages_on_odd_rows(spark, table, tmp_path):
     """Nulls in any column, repeats, clashing columns and an empty table pass through every stage."""
     import corpus_pipeline as P
     from llm_fixtures import DOC_SCHEMA, odd_docs
-    table([(1, 0, 1), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    table([(k, 0, int(k == 1)) for k in range(11)] + [(None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     table([(1, "repeat me exactly please now"), (None, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for rows in (odd_docs() + [(None,) * 11], []):
         docs = table(rows, DOC_SCHEMA)
