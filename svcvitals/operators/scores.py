@@ -97,11 +97,11 @@ def _event_aggs(as_of) -> list[Column]:
     ]
 
 
-def _finish_base(df: DataFrame, as_of, epoch, k: Column) -> DataFrame:
+def _finish_base(df: DataFrame, as_of, epoch, k: Column, keep: tuple = ()) -> DataFrame:
     n = F.coalesce(F.col("_n"), F.lit(0)) * k
     n_ok = F.coalesce(F.col("_n_ok"), F.lit(0)) * k
     return df.select(
-        "service_name", "archetype",
+        *keep, "service_name", "archetype",
         F.col("_last_ok").alias("last_successful_deployment"),
         n.cast("long").alias("total_deployments_in_window"),
         F.coalesce(F.datediff(_date(as_of), F.to_date("_last_ok")), F.lit(C.NEVER_DEPLOYED_DAYS))
@@ -167,7 +167,7 @@ PIPELINE_COLUMNS = [
 
 
 # --------------------------------------------------------------------------- R7
-def pipeline_scores_from_base(base: DataFrame, keep_archetype: bool = False) -> DataFrame:
+def pipeline_scores_from_base(base: DataFrame, keep_archetype: bool = False, keep: tuple = ()) -> DataFrame:
     out = (base
            .withColumn("rollback_score", rollback_score())
            .withColumn("delivery_success_score", delivery_success_score())
@@ -175,7 +175,7 @@ def pipeline_scores_from_base(base: DataFrame, keep_archetype: bool = False) ->
            .withColumn("code_lead_time_score", F.lit(0.0))
            .withColumn("feature_flag_score", F.lit(0.0))
            .withColumn("pipeline_score", pipeline_score()))
-    cols = PIPELINE_COLUMNS + (["archetype"] if keep_archetype else [])
+    cols = [*keep, *PIPELINE_COLUMNS] + (["archetype"] if keep_archetype else [])
     return out.select(*cols)
 
 
@@ -206,8 +206,9 @@ def cat2_pipeline_score(archetype: Column, pipe: Column, flag: Column) -> Column
         p + (F.coalesce(flag, F.lit(0.0)) * F.lit(C.FEATURE_FLAG_WEIGHT)))
 
 
-def composite_health_scores(perf: DataFrame, obs: DataFrame | None, pipe: DataFrame) -> DataFrame:
-    """perf LEFT JOIN observability LEFT JOIN pipeline, on service_name only.
+def composite_health_scores(perf: DataFrame, obs: DataFrame | None, pipe: DataFrame, by_day: bool = False) -> DataFrame:
+    """perf LEFT JOIN observability LEFT JOIN pipeline, on service_name only; with
+    ``by_day``, pipeline rows have a ``target_date`` and join the perf rows of that day.
 
     Both right sides are per-service summaries (survey rows; service x archetype
     groups); the planner broadcasts them when their measured size is under the
@@ -219,8 +220,10 @@ def composite_health_scores(perf: DataFrame, obs: DataFrame | None, pipe: DataFr
             [], "service_name string, feature_flag_score double, observability_score double")
     o = obs.select("service_name", "feature_flag_score", "observability_score").alias("o")
     p = pipe.alias("p")
-    j = (r.join(o, F.col("r.service_name") == F.col("o.service_name"), "left")
-         .join(p, F.col("r.service_name") == F.col("p.service_name"), "left"))
+    same = F.col("r.service_name") == F.col("p.service_name")
+    if by_day:
+        same = same & (F.col("r.target_date") == F.col("p.target_date"))
+    j = (r.join(o, F.col("r.service_name") == F.col("o.service_name"), "left").join(p, same, "left"))
     obs_score = F.coalesce(F.col("o.observability_score"), F.lit(0.0))
     cat2 = cat2_pipeline_score(F.col("r.archetype"), F.col("p.pipeline_score"), F.col("o.feature_flag_score"))
     w = C.COMPOSITE_WEIGHTS

@@ -363,6 +363,33 @@ COMPOSITE = f"""comp AS (
   FROM perf r LEFT JOIN obs o ON r.service_name = o.service_name
               LEFT JOIN pipe p ON r.service_name = p.service_name)"""
 
+# scores of each day: every grid day joined to the events of its window
+_shift = (A.METRICS_AS_OF - A.AS_OF).days
+RM_MOVED = f"""rmh AS (
+  SELECT * REPLACE (strftime(CAST(target_date AS DATE) - {_shift}, '%Y-%m-%d') AS target_date) FROM rm)"""
+PERF_MOVED = PERF.replace("FROM rm)", "FROM rmh)")
+_hok = f"d.status IN {SUCCESS}"
+_day = "CAST(r.target_date AS DATE)"
+BASE_HISTORY = f"""base AS (
+  SELECT r.target_date, r.service_name, r.archetype,
+         max(CASE WHEN {_hok} THEN d.publish_time END) AS last_successful_deployment,
+         CAST(count(d.publish_time) AS BIGINT) AS total_deployments_in_window,
+         CAST(coalesce(date_diff('day', CAST(max(CASE WHEN {_hok} THEN d.publish_time END) AS DATE), {_day}), 999)
+              AS BIGINT) AS days_since_last_deploy,
+         CAST(count(DISTINCT CASE WHEN {_hok} THEN month(d.publish_time) END) AS BIGINT) AS months_deployed_in_window,
+         coalesce((CAST(count(CASE WHEN {_hok} THEN 1 END) AS DOUBLE) / nullif(CAST(count(d.publish_time) AS DOUBLE), 0)) * {D(100)},
+                  {D(0)}) AS raw_delivery_success,
+         CAST(count(CASE WHEN d.is_rollback = TRUE AND date_diff('day', CAST(d.publish_time AS DATE), {_day}) <= 30 THEN 1 END)
+              AS BIGINT) AS total_rollbacks_30d,
+         CAST(least(6, (year({_day}) - year({EPOCH})) * 12 + month({_day}) - month({EPOCH}) + 1) AS BIGINT)
+           AS valid_months_denominator
+  FROM (SELECT DISTINCT target_date, service_name, archetype FROM perf) r LEFT JOIN evs d
+    ON r.service_name = d.service_name AND CAST(d.publish_time AS DATE) >= {_day} - INTERVAL 6 MONTH
+       AND CAST(d.publish_time AS DATE) <= {_day}
+  GROUP BY r.target_date, r.service_name, r.archetype)"""
+PIPE_HISTORY = PIPE.replace("SELECT service_name, archetype,", "SELECT target_date, service_name, archetype,")
+COMPOSITE_HISTORY = COMPOSITE.replace("ON r.service_name = p.service_name)", "ON r.service_name = p.service_name AND r.target_date = p.target_date)")
+
 # legacy ------------------------------------------------------------------------
 _dom = "dayofmonth(CAST(b.target_date AS DATE))"
 _larch = " ".join(f"WHEN b.service_name = {_lit(s)} THEN {_lit(a)}" for s, a in A.LEGACY_ARCHETYPES.items())
@@ -547,6 +574,10 @@ ORACLE_SQL: dict[str, str] = {
         *_STACK, base_sql("(SELECT DISTINCT service_name, archetype FROM perf)"), PIPE) +
         f"SELECT {PIPE_COLS} FROM pipe",
     "composite_health_scores": _with(*_STACK, base_sql("perf"), PIPE, COMPOSITE) + "SELECT * FROM comp",
+    "pipeline_robustness_history": _with(ROLLUP, BACKFILL, RM, RM_MOVED, EVENTS, PERF_MOVED, BASE_HISTORY, PIPE_HISTORY) +
+        f"SELECT target_date, archetype, {PIPE_COLS} FROM pipe",
+    "composite_health_history": _with(ROLLUP, BACKFILL, RM, RM_MOVED, EVENTS, SURVEY, OBS, PERF_MOVED, BASE_HISTORY, PIPE_HISTORY, COMPOSITE_HISTORY) +
+        "SELECT * FROM comp",
     "legacy_component_scores": _with(ROLLUP, BACKFILL, LOGS, LEGACY_IN, W1) + "SELECT * FROM w1",
     "legacy_pillar_score": _with(*_LEGACY) + "SELECT * FROM w2",
     "legacy_final_score": _with(*_LEGACY) + "SELECT * FROM w3",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from svcvitals import config as C
 from svcvitals.functions.columns import environment, is_async_like
 from svcvitals.functions.sql import register_sql_functions
-from svcvitals.operators import cumulative as CU, events as E, histograms as H, legacy as W, logs as L, metrics as M, scores as SC, survey as SV
+from svcvitals.operators import cumulative as CU, events as E, histograms as H, history as HI, legacy as W, logs as L, metrics as M, scores as SC, survey as SV
 from svcvitals.plans import catalog as CAT
 from svcvitals.plans.health import HealthStack, materialize
 from svcvitals.plans.views import register_views
@@ -305,6 +305,35 @@ def q_composite_health_scores(spark, sf):
     return _stack(spark, sf).composite()
 
 
+def _perf_in_event_time(spark, sf):
+    """Performance rows of the backfilled days, moved as a block to the days before AS_OF;
+    the delivery events lie there."""
+    configure(spark)
+    days = (A.METRICS_AS_OF - A.AS_OF).days
+    moved = F.date_format(F.date_sub(F.to_date("target_date"), days), "yyyy-MM-dd")
+    return SC.service_performance_scores(A.raw_metrics(spark, sf).withColumn("target_date", moved))
+
+
+def _history_span():
+    return (A.AS_OF - dt.timedelta(days=A.BACKFILL_END_DAYS_AGO), A.AS_OF - dt.timedelta(days=A.BACKFILL_START_DAYS_AGO))
+
+
+def _events(spark, sf):
+    return E.deployment_events_raw(A.cloud_builds_raw(spark, sf), A.cloud_deploy_raw(spark, sf))
+
+
+def q_pipeline_robustness_history(spark, sf):
+    """Pipeline robustness of each service on each day, as of that day."""
+    return HI.pipeline_robustness_history(_perf_in_event_time(spark, sf), _events(spark, sf), A.EPOCH, *_history_span())
+
+
+def q_composite_health_history(spark, sf):
+    """Composite scores of each day with the pipeline part as of that day."""
+    perf = materialize(_perf_in_event_time(spark, sf))
+    obs = SV.observability_scores(A.survey(spark, sf))
+    return HI.composite_health_history(perf, obs, _events(spark, sf), A.EPOCH, *_history_span())
+
+
 # --------------------------------------------------------------------------- legacy
 def q_legacy_component_scores(spark, sf):
     configure(spark)
@@ -419,6 +448,8 @@ QUERIES: dict[str, Query] = {
     "pipeline_robustness_scores": q_pipeline_robustness_scores,
     "pipeline_robustness_scores_distinct": q_pipeline_robustness_scores_distinct,
     "composite_health_scores": q_composite_health_scores,
+    "pipeline_robustness_history": q_pipeline_robustness_history,
+    "composite_health_history": q_composite_health_history,
     "legacy_component_scores": q_legacy_component_scores,
     "legacy_pillar_score": q_legacy_pillar_score,
     "legacy_final_score": q_legacy_final_score,
