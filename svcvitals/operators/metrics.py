@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from svcvitals import config as C, schemas as S
 from svcvitals.functions.columns import py_round
 from svcvitals.operators.quantiles import exact_percentiles
+from svcvitals.sources.commits import DayCommits
 
 COUNTS, LATENCY = "counts", "latency"
 
@@ -363,6 +364,15 @@ def backfill(points: DataFrame, sources, as_of, start_days_ago: int = 1,
 REQUIRED = ("timestamp", "target_date", "service_name")
 
 
+def _fitting(rows: DataFrame) -> DataFrame:
+    """Rows with the columns of ``schemas.RAW_METRICS`` in order; others are refused."""
+    want = {f.name: f.dataType for f in S.RAW_METRICS.fields}
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    if want != have:
+        raise ValueError(f"raw_metrics rows do not fit the table: {sorted(set(want.items()) ^ set(have.items()), key=str)}")
+    return rows.select(*[F.coalesce(c, F.raise_error(F.lit(f"raw_metrics.{c} is required"))).alias(c) if c in REQUIRED else F.col(c) for c in want])
+
+
 def append_raw_metrics(rows: DataFrame, path: str) -> None:
     """Append rows to the raw_metrics table, partitioned by ``target_date``.
 
@@ -370,9 +380,10 @@ def append_raw_metrics(rows: DataFrame, path: str) -> None:
     required column fails the write. Re-running a day appends its rows again (the stored
     table keeps duplicates).
     """
-    want = {f.name: f.dataType for f in S.RAW_METRICS.fields}
-    have = {f.name: f.dataType for f in rows.schema.fields}
-    if want != have:
-        raise ValueError(f"raw_metrics rows do not fit the table: {sorted(set(want.items()) ^ set(have.items()), key=str)}")
-    checked = [F.coalesce(c, F.raise_error(F.lit(f"raw_metrics.{c} is required"))).alias(c) if c in REQUIRED else F.col(c) for c in want]
-    rows.select(*checked).write.mode("append").partitionBy("target_date").parquet(path)
+    _fitting(rows).write.mode("append").partitionBy("target_date").parquet(path)
+
+
+def replace_raw_metrics(rows: DataFrame, path: str, days) -> dict[str, int]:
+    """Write rows as all that raw_metrics holds of ``days``, each marked when complete
+    (:class:`svcvitals.sources.commits.DayCommits`): re-running a day adds nothing."""
+    return DayCommits(rows.sparkSession, path).replace(_fitting(rows), days)

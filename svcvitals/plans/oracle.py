@@ -583,6 +583,10 @@ ORACLE_SQL: dict[str, str] = {
     "legacy_final_score": _with(*_LEGACY) + "SELECT * FROM w3",
 }
 ORACLE_SQL["stream_deployment_events"] = ORACLE_SQL["deployment_events_raw"]
+ORACLE_SQL["stream_events_once"] = _with(BR, DR) + (
+    "SELECT DISTINCT subscription_name, message_id, 'cloud_builds_raw' AS table_name FROM br "
+    "UNION ALL SELECT DISTINCT subscription_name, message_id, 'cloud_deploy_raw' FROM dr")
+ORACLE_SQL["backfill_rerun"] = ORACLE_SQL["backfill_range"]
 ORACLE_SQL["stream_route_logs"] = ORACLE_SQL["route_logs"]
 
 # Columns of the published views by kind: s string, n number, b boolean, t timestamp, d date.

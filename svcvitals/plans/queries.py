@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from svcvitals import config as C
+from svcvitals import config as C, schemas as S
 from svcvitals.functions.columns import environment, is_async_like
 from svcvitals.functions.sql import register_sql_functions
 from svcvitals.operators import cumulative as CU, events as E, histograms as H, history as HI, legacy as W, logs as L, metrics as M, scores as SC, survey as SV
@@ -22,6 +22,7 @@ from svcvitals.plans.health import HealthStack, materialize
 from svcvitals.plans.views import register_views
 from svcvitals.session import configure, shared_dir
 from svcvitals.sources import adapters as A
+from svcvitals.sources.commits import DayCommits
 from svcvitals.sources.survey_sheet import read_survey, write_survey
 from svcvitals.sources.tables import read_deployment_events, read_envelopes, read_routed_logs
 from svcvitals.streaming.ingest import (
@@ -127,6 +128,17 @@ def q_backfill_range(spark, sf):
     return A.backfilled_raw_metrics(spark, sf)
 
 
+def q_backfill_rerun(spark, sf):
+    """The backfill written by replacing days, twice, read back over its committed days."""
+    configure(spark)
+    rows = materialize(A.backfilled_raw_metrics(spark, sf))
+    path = shared_dir(spark, "raw-metrics")
+    days = [str(A.METRICS_AS_OF - dt.timedelta(days=k)) for k in range(A.BACKFILL_START_DAYS_AGO, A.BACKFILL_END_DAYS_AGO + 1)]
+    for _ in range(2):
+        M.replace_raw_metrics(rows, path, days)
+    return DayCommits(spark, path).read(S.RAW_METRICS)
+
+
 def q_daily_histogram_percentiles(spark, sf):
     """Distribution-valued latencies: per series and day, then across the series."""
     configure(spark)
@@ -166,6 +178,23 @@ def q_stream_events(spark, sf):
     return out[0].unionByName(out[1])
 
 
+def q_stream_events_once(spark, sf):
+    """Both feeds with every message delivered twice, in two files that arrive in different
+    batches, streamed into their tables once: each message's key there."""
+    configure(spark)
+    running, sinks = [], []
+    for name, df in (("cloud_builds_raw", A.cloud_builds_raw(spark, sf)), ("cloud_deploy_raw", A.cloud_deploy_raw(spark, sf))):
+        landing, sink, ckpt = (shared_dir(spark, f"{name}-{x}") for x in ("landing", "sink", "ckpt"))
+        for _ in range(2):
+            df.coalesce(1).write.mode("append").parquet(landing)
+        running.append(_stream_events(spark, landing, sink, ckpt, fmt="parquet", max_files_per_trigger=1, redelivered_within="7 days"))
+        sinks.append((name, sink))
+    for q in running:
+        q.awaitTermination()
+    out = [read_envelopes(spark, sink).select("subscription_name", "message_id", F.lit(name).alias("table_name")) for name, sink in sinks]
+    return out[0].unionByName(out[1])
+
+
 def q_stream_deployment_events(spark, sf):
     """Both envelope feeds streamed through E2-E5 into a table stored by publish day."""
     configure(spark)
@@ -424,10 +453,12 @@ QUERIES: dict[str, Query] = {
     "stored_availability": q_stored_availability,
     "ingest_day": q_ingest_day,
     "backfill_range": q_backfill_range,
+    "backfill_rerun": q_backfill_rerun,
     "daily_histogram_percentiles": q_daily_histogram_percentiles,
     "daily_histogram_merged": q_daily_histogram_merged,
     "daily_counter_deltas": q_daily_counter_deltas,
     "stream_events": q_stream_events,
+    "stream_events_once": q_stream_events_once,
     "stream_deployment_events": q_stream_deployment_events,
     "stream_route_logs": q_stream_route_logs,
     "build_events": q_build_events,

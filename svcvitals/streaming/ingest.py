@@ -4,7 +4,8 @@ The reference's streams are append-only (message envelopes land in a raw table;
 logs are routed to the dataset). Here each is ``readStream`` -> map-only transform ->
 ``writeStream`` in append mode with a checkpoint, so a restart resumes where the last
 committed batch ended and does not re-append committed files. No state store is needed.
-Duplicated messages are kept, as in the raw tables (no dedup by message id).
+Duplicated messages are kept, as in the raw tables, unless ``stream_events`` is told for how
+long a message may be delivered again; only then is there a state store, of message ids.
 """
 
 from __future__ import annotations
@@ -85,17 +86,40 @@ def _sink(df: DataFrame, sink_path: str, checkpoint_path: str, available_now: bo
     return w.start()
 
 
+MESSAGE_KEY = ["subscription_name", "message_id"]
+
+
+def first_deliveries(messages: DataFrame, within: str) -> DataFrame:
+    """A stream of messages without those delivered again ``within`` an interval (such as
+    '7 days') of their first arrival.
+
+    The watermark follows the time of arrival, not of publishing: a message is never late,
+    so none is lost, and the state holds the ids of one interval. Messages of one id on
+    two subscriptions are two messages; messages without an id are all kept. At scale use
+    the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    known = (messages.filter(F.col("message_id").isNotNull())
+             .withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+             .dropDuplicatesWithinWatermark(MESSAGE_KEY).drop("_arrived"))
+    return known.unionByName(messages.filter(F.col("message_id").isNull()))
+
+
 def stream_events(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,
                   fmt: str = "json", available_now: bool = True,
                   processing_time: str | None = None, partition_by_day: bool = False,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = None,
+                  redelivered_within: str | None = None) -> StreamingQuery:
     """Append every message envelope (subscription, id, publish time, data, attributes)
     from ``source_path`` to the raw table at ``sink_path``. With ``partition_by_day`` the
     table is partitioned by publish day (for high-volume feeds; read it back with
     ``sources.tables.read_envelopes(path, since=...)`` to prune days). Unpartitioned by
     default, like the raw tables it mirrors: sparse feeds spread over years would
-    otherwise write one small file per day."""
-    df, parts = _by_day(read_envelope_stream(spark, source_path, fmt, max_files_per_trigger), partition_by_day)
+    otherwise write one small file per day. With ``redelivered_within`` (an interval),
+    messages delivered again within it are left out (:func:`first_deliveries`)."""
+    df = read_envelope_stream(spark, source_path, fmt, max_files_per_trigger)
+    if redelivered_within:
+        df = first_deliveries(df, redelivered_within)
+    df, parts = _by_day(df, partition_by_day)
     return _sink(df, sink_path, checkpoint_path, available_now, processing_time, parts)
 
 

@@ -5,6 +5,8 @@ import os
 
 from conftest import SF_SMALL, many_partitions
 
+from pyspark.sql import functions as F
+
 from svcvitals import config as C, schemas as S
 from svcvitals.operators import events as E, logs as L
 from svcvitals.sources import adapters as A
@@ -108,3 +110,22 @@ def test_repeated_kafka_headers(spark):
         "topic string, key binary, value binary, partition int, offset long, timestamp timestamp, headers array<struct<key:string,value:binary>>")
     got = [r.attributes for r in kafka_to_envelopes(records).collect()]
     assert [json.loads(x) for x in got] == [{"a": "3", "b": "2"}, {}]
+
+
+def test_messages_delivered_again_are_left_out_when_asked(spark, tmp_dir):
+    builds = A.cloud_builds_raw(spark, SF_SMALL).limit(300).cache()
+    landing, sink, ckpt, plain, ckpt2 = (os.path.join(tmp_dir, x) for x in ("landing", "sink", "ckpt", "plain", "ckpt2"))
+    nameless = builds.limit(20).withColumn("message_id", F.lit(None).cast("string"))
+    other = builds.limit(10).withColumn("subscription_name", F.lit("another"))
+    builds.unionByName(builds.limit(50)).unionByName(nameless).write.json(os.path.join(landing, "batch1"))
+    run = dict(available_now=True, redelivered_within="7 days")
+    stream_events(spark, landing + "/*", sink, ckpt, **run).awaitTermination()
+    # the state outlives the query: what comes again, much later by its publish time or not, is known
+    old = builds.limit(40).withColumn("publish_time", F.expr("publish_time - INTERVAL 1 YEAR"))
+    late = builds.limit(3).withColumns({"message_id": F.concat(F.lit("late-"), "message_id"), "publish_time": F.expr("publish_time - INTERVAL 9 YEARS")})
+    old.unionByName(other).unionByName(nameless).unionByName(late).write.json(os.path.join(landing, "batch2"))
+    stream_events(spark, landing + "/*", sink, ckpt, **run).awaitTermination()
+    want = builds.unionByName(nameless).unionByName(nameless).unionByName(other).unionByName(late)
+    assert sorted(map(str, read_envelopes(spark, sink).collect())) == sorted(map(str, want.collect()))
+    stream_events(spark, landing + "/*", plain, ckpt2).awaitTermination()
+    assert spark.read.parquet(plain).count() == 300 + 50 + 20 + 40 + 10 + 20 + 3
