@@ -1,24 +1,29 @@
 """Reversible line dedup: sharded cuckoo filters before exact reference-count tables.
 
-A store keeps, as Parquet in a shared folder,
+A store keeps, as Parquet segments in a shared folder,
 
-- ``refs``     one row per (line key, document): shard, key, doc_id;
-- ``counts``   one row per key: shard, key, n_docs, keeper (smallest document holding it);
-- ``filters``  one cuckoo filter per shard over the keys of ``counts``.
+- ``refs``     rows per (line key, document): shard, key, doc_id;
+- ``counts``   rows per key and segment: shard, key, n_docs, keeper (smallest document
+               holding it); a key's segments add up;
+- ``filters``  one cuckoo filter per shard over the keys of ``counts``; its newest counts.
 
 A key is the 128-bit digest of a normalised line; its first bytes name the shard. Inserting
-documents reduces their lines to one row per new key (map-side combine, so a hot line costs
-one row per task), probes the shard's filter, and reads the exact counts only of keys that
-the filter may hold. Deleting documents takes their references away, recounts the keys they
-held, and takes keys without references out of the filter again: after an insertion and a
-deletion of the same documents the store answers as before. The filter never decides; the
-exact tables do.
+documents reduces their lines to one row per key (map-side combine, so a hot line costs one
+row per task) and probes the shard's filter. Keys that it cannot hold are new: their counts
+are appended and nothing is looked up. Only documents of the other keys are compared with
+the exact references, to leave out what the store has already. An insertion appends segments
+of its own rows and rewrites the filters of the shards that it touches; segments written before stay
+as they are. A deletion takes references away, recounts, takes keys without references out
+of the filter again, and rewrites only the shards in which the documents have lines. After
+an insertion and a deletion of the same documents the store answers as before. The filter
+never decides; the exact tables do. ``compact`` makes one segment of many.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,8 @@ STRIP = " \t\n\x0b\x0c\r"
 MIN_CHARS = 10
 KEYS_PER_SHARD = 20_000
 SLOTS = 4
+#: A new filter has room for so many times its keys.
+ROOM = 2
 _COUNTS = "shard int, key binary, n_docs long, keeper long"
 
 
@@ -140,14 +147,16 @@ def _probe_and_add(key, new, filters):
     halves = _halves(keys)
     had = filters.column("filter").to_pylist()
     n_before = filters.column("n_keys").to_pylist()[0] if had else 0
-    index = CuckooFilter.load(had[0]) if had else CuckooFilter.sized(max(len(keys), 16))
+    if not keys:  # a shard that the insertion does not touch
+        return pa.table({name: [] for name in _PROBED_ARROW.names}, schema=_PROBED_ARROW)
+    index = CuckooFilter.load(had[0]) if had else CuckooFilter.sized(ROOM * max(len(keys), 16))
     maybe = index.may_hold(halves) if had else np.zeros(len(keys), dtype=bool)
     added = (~maybe).sum()
-    full = not keys or n_before + added > index.table.size * 0.9 or not index.insert(halves[~maybe])
+    full = n_before + added > index.table.size * 0.9 or not index.insert(halves[~maybe])
     rows = {"shard": [shard] * len(keys), "key": keys, "n_docs": new.column("n_docs").to_pylist(), "keeper": new.column("keeper").to_pylist(),
             "maybe": maybe.tolist(), "filter": [None] * len(keys), "n_keys": [None] * len(keys), "full": [None] * len(keys)}
     for name, value in (("shard", shard), ("key", None), ("n_docs", None), ("keeper", None), ("maybe", None),
-                        ("filter", index.dump()), ("n_keys", int(n_before + added)), ("full", bool(full and keys))):
+                        ("filter", index.dump()), ("n_keys", int(n_before + added)), ("full", bool(full))):
         rows[name].append(value)
     return pa.table(rows, schema=_PROBED_ARROW)
 
@@ -173,7 +182,7 @@ def _add(key, more, filters):
 def _build(key, counts):
     """A shard's filter from its exact keys."""
     keys = counts.column("key").to_pylist()
-    room = len(keys)
+    room = ROOM * len(keys)
     while not (index := CuckooFilter.sized(room)).insert(_halves(keys)):
         room *= 2
     return pa.table({"shard": [key[0].as_py()], "filter": [index.dump()], "n_keys": [len(keys)]}, schema=_FILTERS_ARROW)
@@ -190,70 +199,122 @@ def _take_out(key, gone, filters):
 
 
 class LineStore:
-    """The store's tables in ``folder``; each change writes the next version of them, and
-    the previous version stays readable until the change is complete."""
+    """The store's segments in ``folder``. A segment has the version of the change that wrote
+    it; ``bases`` says since which version a rewritten shard's segments count."""
+
+    _TABLES = {"refs": "shard int, key binary, doc_id long", "counts": _COUNTS, "filters": _FILTERS, "bases": "shard int"}
 
     def __init__(self, spark: SparkSession, n_shards: int, folder: str | None = None):
         self.spark, self.n_shards = spark, n_shards
         self.folder = folder or shared_dir(spark, "line-store")
-        self.refs = self.spark.createDataFrame([], "shard int, key binary, doc_id long")
-        self.counts = self.spark.createDataFrame([], _COUNTS)
-        self.filters = self.spark.createDataFrame([], _FILTERS)
-        self.empty = True
+        self.version = 0
+        self.segments: dict[str, list[DataFrame]] = {name: [] for name in self._TABLES}
+
+    @property
+    def empty(self) -> bool:
+        return not self.segments["filters"]
 
     def _shard(self) -> Column:
         return F.pmod(F.crc32(F.substring("key", 1, 8)), F.lit(self.n_shards)).cast("int").alias("shard")
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        path = f"{self.folder}/{name}-{self.version}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _publish(self, **parts: DataFrame) -> None:
+        """Stored tables become the segments of this version."""
+        for name, df in parts.items():
+            self.segments[name].append(df.withColumn("version", F.lit(self.version)))
+
+    def _all(self, name: str) -> DataFrame:
+        if not self.segments[name]:
+            return self.spark.createDataFrame([], self._TABLES[name] + ", version int")
+        return reduce(DataFrame.unionByName, self.segments[name])
+
+    def _live(self, name: str) -> DataFrame:
+        """The rows that count: those that no rewrite of their shard has replaced."""
+        rows = self._all(name)
+        if self.segments["bases"]:
+            bases = self._all("bases").groupBy("shard").agg(F.max("version").alias("base"))
+            rows = rows.join(bases, "shard", "left").filter("base IS NULL OR version >= base").drop("base")
+        return rows
+
+    @property
+    def refs(self) -> DataFrame:
+        """shard, key, doc_id; a row may repeat."""
+        return self._live("refs").select("shard", "key", "doc_id")
+
+    @property
+    def counts(self) -> DataFrame:
+        """shard, key, n_docs, keeper: one row per key."""
+        rows = self._live("counts").select("shard", "key", "n_docs", "keeper")
+        if len(self.segments["counts"]) < 2:
+            return rows
+        return rows.groupBy("shard", "key").agg(F.sum("n_docs").alias("n_docs"), F.min("keeper").alias("keeper"))
+
+    @property
+    def filters(self) -> DataFrame:
+        """shard, filter, n_keys: the newest of each shard."""
+        rows = self._all("filters")
+        if len(self.segments["filters"]) < 2:
+            return rows.select("shard", "filter", "n_keys")
+        return rows.groupBy("shard").agg(F.max_by(F.struct("filter", "n_keys"), "version").alias("f")).select("shard", "f.*")
+
     def _refs_of(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         return rows.filter("doc_id IS NOT NULL").mapInArrow(frugal(_refs), "key binary, doc_id long").select(self._shard(), "key", "doc_id")
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> "LineStore":
-        """Add the lines of documents. Rows that repeat a document add what is new."""
-        new = self._refs_of(docs, id_col, text_col)
-        if self.empty:  # repeats of one document count once
-            refs = self._keep(new, "refs")
-            added = refs
-        else:
-            added = self._keep(new.distinct().join(self.refs.select("key", "doc_id"), ["key", "doc_id"], "left_anti").select("shard", "key", "doc_id"), "new")
-            refs = self._keep(self.refs.unionByName(added), "refs")
-        fresh = _counted(added)
-        probed = self._keep(fresh.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_probe_and_add, _PROBED), "probed")
+        """Add the lines of documents. Rows that repeat a document, or come again, add what is new."""
+        first, refs, counts = self.empty, self.refs, self.counts
+        known_filters = self.filters
+        self.version += 1
+        new = self._keep(self._refs_of(docs, id_col, text_col), "refs")
+        probed = self._keep(_counted(new).groupBy("shard").cogroup(known_filters.groupBy("shard")).applyInArrow(_probe_and_add, _PROBED), "probed")
         fresh = probed.filter("key IS NOT NULL")
-        if self.empty:
-            counts = fresh.select("shard", "key", "n_docs", "keeper")
-        else:  # exact counts are read for keys the filter may hold, and merged
-            known = fresh.filter("maybe").select("key", F.col("n_docs").alias("more"), F.col("keeper").alias("other"))
-            merged = self.counts.join(known, "key", "full").select(
-                "key", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_docs"), F.least("keeper", "other").alias("keeper"))
-            counts = merged.select(self._shard(), "key", "n_docs", "keeper").unionByName(
-                fresh.filter("NOT maybe").select("shard", "key", "n_docs", "keeper"))
-        counts = self._keep(counts, "counts")
+        added = fresh.filter("NOT maybe").select("shard", "key", "n_docs", "keeper")
         filters = probed.filter("filter IS NOT NULL").select("shard", "filter", "n_keys", "full")
-        if not self.empty:  # new keys that the filter seemed to hold get their own fingerprint, so that deletion is exact
-            false = self._keep(fresh.filter("maybe").select("shard", "key").join(self.counts.select("key"), "key", "left_anti"), "false")
+        if not first:
+            maybe = fresh.filter("maybe").select("shard", "key")
+            again = new.join(maybe.select("key"), "key", "left_semi").join(refs.select("key", "doc_id"), ["key", "doc_id"], "left_anti")
+            added = added.unionByName(_counted(again))
+            # new keys that the filter seemed to hold get their own fingerprint, so that deletion is exact
+            false = self._keep(maybe.join(counts.select("key"), "key", "left_anti"), "false")
             filters = self._keep(false.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(_add, _ADDED), "added")
-        if filters.filter("full").head(1):  # some shard has outgrown its filter: build all anew from the exact keys
-            filters = counts.groupBy("shard").applyInArrow(_build, _FILTERS)
-        filters = self._keep(filters.select("shard", "filter", "n_keys"), "filters")
-        self.refs, self.counts, self.filters, self.empty = refs, counts, filters, False
+        self._publish(refs=new, counts=self._keep(added, "counts"))
+        full = filters.filter("full").select("shard")
+        if full.head(1):  # shards that have outgrown their filters get new ones from the exact keys
+            grown = self.counts.join(full, "shard", "left_semi").groupBy("shard").applyInArrow(_build, _FILTERS)
+            filters = filters.filter("NOT full").select("shard", "filter", "n_keys").unionByName(grown)
+        self._publish(filters=self._keep(filters.select("shard", "filter", "n_keys"), "filters"))
         return self
 
     def delete(self, doc_ids: DataFrame, id_col: str = "doc_id") -> "LineStore":
         """Take documents out again; their keys' next smallest documents become keepers."""
-        ids = pick(doc_ids, doc_id=id_col).distinct()
-        touched = self.refs.join(ids, "doc_id", "left_semi").select("key").distinct()
-        refs = self._keep(self.refs.join(ids, "doc_id", "left_anti").select("shard", "key", "doc_id"), "refs")
-        recounted = _counted(refs.join(touched, "key", "left_semi").select("shard", "key", "doc_id"))
-        gone = touched.join(recounted, "key", "left_anti").select(self._shard(), "key")
-        counts = self._keep(self.counts.join(touched, "key", "left_anti").select("shard", "key", "n_docs", "keeper").unionByName(recounted), "counts")
-        filters = self._keep(gone.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_take_out, _FILTERS), "filters")
-        self.refs, self.counts, self.filters = refs, counts, filters
+        refs, counts, filters = self.refs, self.counts, self.filters
+        ids = pick(doc_ids, doc_id=id_col).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+        self.version += 1
+        touched = self._keep(refs.join(ids, "doc_id", "left_semi").select("shard", "key").distinct(), "touched")
+        shards = self._keep(touched.select("shard").distinct(), "bases")
+        kept = self._keep(refs.join(shards, "shard", "left_semi").join(ids, "doc_id", "left_anti").select("shard", "key", "doc_id"), "refs")
+        recounted = _counted(kept.join(touched.select("key"), "key", "left_semi").select("shard", "key", "doc_id"))
+        others = counts.join(shards, "shard", "left_semi").join(touched.select("key"), "key", "left_anti").select("shard", "key", "n_docs", "keeper")
+        now = self._keep(others.unionByName(recounted), "counts")
+        gone = touched.join(now.select("key"), "key", "left_anti")
+        left = filters.join(shards, "shard", "left_semi")
+        left = self._keep(gone.groupBy("shard").cogroup(left.groupBy("shard")).applyInArrow(_take_out, _FILTERS), "filters")
+        self._publish(refs=kept, counts=now, filters=left, bases=shards)
+        return self
+
+    def compact(self) -> "LineStore":
+        """One segment of each table; references that repeat are stored once."""
+        if not self.empty:
+            tables = {"refs": self.refs.distinct(), "counts": self.counts, "filters": self.filters}
+            self.version += 1
+            kept = {name: self._keep(df, name) for name, df in tables.items()}
+            self.segments = {name: [] for name in self._TABLES}
+            self._publish(**kept)
         return self
 
     def repeated(self) -> DataFrame:

@@ -1,5 +1,6 @@
 """The operators' parts against brute force on small random inputs."""
 
+import os
 import random
 import re
 from collections import Counter
@@ -261,6 +262,45 @@ def test_line_store_is_reversible(table, spark):
     assert store.counts.count() == 0 and all(not line_dedup.CuckooFilter.load(r["filter"]).table.any() for r in store.filters.collect())
 
 
+def test_line_store_grows_by_what_changes(table, spark):
+    lines = [f"line number {k} of the pool" for k in range(400)]
+    first = table([(d, "\n".join(lines[d * 4:d * 4 + 6])) for d in range(90)], "doc_id long, text string")
+    store = line_dedup.LineStore(spark, 50).insert(first)
+    files = lambda df: {f: os.path.getmtime(f[7:]) for f in df.inputFiles()}
+    at = {name: files(parts[0]) for name, parts in store.segments.items() if parts}
+    # three keys, of which one is new; a document that comes again
+    store.insert(table([(500, "\n".join([lines[0], lines[1], "a line of its own"])), (0, "\n".join(lines[:6]))], "doc_id long, text string"))
+    last = {name: parts[-1] for name, parts in store.segments.items() if parts}
+    keys = {line_dedup.line_key(x) for x in (lines[0], lines[1], "a line of its own")}
+    assert {bytes(r["key"]): (r["n_docs"], r["keeper"]) for r in last["counts"].collect()} == {k: (1, 500) for k in keys}
+    seen = {line_dedup.line_key(x) for x in [*lines[:6], "a line of its own"]}
+    shards = {r["shard"] for r in store.counts.collect() if bytes(r["key"]) in seen}
+    assert {r["shard"] for r in last["filters"].collect()} == shards and len(shards) <= 7
+    # a deletion rewrites the shards of the document's lines only
+    store.delete(table([(500,)], "doc_id long"))
+    last = {name: parts[-1] for name, parts in store.segments.items()}
+    shards = {r["shard"] for r in last["bases"].collect()}
+    assert len(shards) <= 3 and all({r["shard"] for r in last[name].collect()} <= shards for name in ("refs", "counts", "filters"))
+    # what the first insertion wrote is as it was
+    assert all(files(store.segments[name][0]) == old for name, old in at.items())
+    answer = lambda s: {(bytes(r["key"]), r["keeper"], r["n_docs"]) for r in s.counts.collect()}
+    plain = answer(line_dedup.LineStore(spark, 50).insert(first))
+    assert answer(store) == plain == answer(store.compact()) and all(len(p) < 2 for p in store.segments.values())
+
+
+def test_line_store_outgrows_its_filters(table, spark):
+    rows = lambda ids: table([(d, "\n".join(f"line {d} and {k} of many" for k in range(40))) for d in ids], "doc_id long, text string")
+    store = line_dedup.LineStore(spark, 2).insert(rows(range(2))).insert(rows(range(1, 30)))
+    found = {r["shard"]: (line_dedup.CuckooFilter.load(r["filter"]), r["n_keys"]) for r in store.filters.collect()}
+    held = {}
+    for r in store.counts.collect():
+        held.setdefault(r["shard"], []).append(bytes(r["key"]))
+    assert sum(map(len, held.values())) == 1200
+    for shard, keys in held.items():
+        index, n = found[shard]
+        assert n == len(keys) and index.may_hold(line_dedup._halves(keys)).all()
+
+
 # --- decontamination, toxicity ---------------------------------------------------------------
 
 def test_wu_manber(table):
