@@ -535,6 +535,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT a.day, a.service_name, latency_p50, latency_p95 FROM latency_p50_t a JOIN latency_p95_t b ON a.day = b.day AND a.service_name = b.service_name",
     "daily_histogram_merged": _with(EV, HIST, _histogram("day, service_name, prefix", {"latency_p50": 0.5, "latency_p95": 0.95, "latency_p99": 0.99})) +
         "SELECT day, service_name, " + ", ".join(f"CASE WHEN prefix = 'endpoints' THEN {c} * {D(1000)} ELSE {c} END AS {c}" for c in ("latency_p50", "latency_p95", "latency_p99")) + " FROM hq",
+    "weekly_sketch_percentiles": _with(EV, PTS, KEYED, KEYED_LAT) +
+        "SELECT CAST(date_trunc('week', day) AS DATE) AS week, service_name, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS n_sketched, "
+        "TRUE AS latency_p50_within, TRUE AS latency_p95_within FROM keyed_lat WHERE double_value IS NOT NULL GROUP BY 1, 2",
     "daily_counter_deltas": _with(EV, COUNTERS) +
         "SELECT day, prefix, label, cls AS response_code_class, CAST(sum(part) AS BIGINT) AS request_count, max('proj-' || CAST(user_id % 3 AS VARCHAR)) AS project_id "
         "FROM c7 GROUP BY day, prefix, label, cls",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from svcvitals import config as C, schemas as S
 from svcvitals.functions.columns import environment, is_async_like
 from svcvitals.functions.sql import register_sql_functions
-from svcvitals.operators import cumulative as CU, events as E, histograms as H, history as HI, legacy as W, logs as L, metrics as M, scores as SC, survey as SV
+from svcvitals.operators import cumulative as CU, events as E, histograms as H, history as HI, legacy as W, logs as L, metrics as M, scores as SC, sketches as SK, survey as SV
 from svcvitals.plans import catalog as CAT
 from svcvitals.plans.health import HealthStack, materialize
 from svcvitals.plans.views import register_views
@@ -154,6 +154,21 @@ def q_daily_histogram_merged(spark, sf):
     return found.select("day", "service_name", *ps)
 
 
+def q_weekly_sketch_percentiles(spark, sf):
+    """Weekly percentiles out of the stored daily sketches, held against all samples: whether
+    each lies within twice the sketch's rank error (the sketches draw at random)."""
+    configure(spark)
+    points, path = A.metric_points(spark, sf), shared_dir(spark, "sketches")
+    SK.write_sketches(SK.daily_sketches(points, A.sources(spark)), path)
+    answers = SK.window_percentiles(SK.read_sketches(spark, path))
+    week = F.to_date(F.date_trunc("week", "day")).alias("window")
+    samples = SK.latency_samples(points, A.sources(spark)).select(week, "service_name", "ms")
+    errors = SK.measured_rank_error(answers, samples)
+    within = [(F.col(f"{c}_error") <= 2 * SK.rank_error()).alias(f"{c}_within") for c in SK.PERCENTILES]
+    return errors.join(answers.select("window", "service_name", F.col("n").alias("n_sketched")), ["window", "service_name"]).select(
+        F.col("window").alias("week"), "service_name", "n", "n_sketched", *within)
+
+
 def q_daily_counter_deltas(spark, sf):
     """Request counts per day out of cumulative counters and intervals."""
     configure(spark)
@@ -456,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "backfill_rerun": q_backfill_rerun,
     "daily_histogram_percentiles": q_daily_histogram_percentiles,
     "daily_histogram_merged": q_daily_histogram_merged,
+    "weekly_sketch_percentiles": q_weekly_sketch_percentiles,
     "daily_counter_deltas": q_daily_counter_deltas,
     "stream_events": q_stream_events,
     "stream_events_once": q_stream_events_once,
