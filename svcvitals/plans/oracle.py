@@ -531,6 +531,8 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_day": _with(ROLLUP) + _raw_rows(
         f"(SELECT * FROM merged_full WHERE day = DATE '{A.INGEST_AS_OF}' - INTERVAL 1 DAY)", False),
     "backfill_range": _with(ROLLUP, BACKFILL) + "SELECT * FROM bf",
+    "stream_raw_metrics": _with(ROLLUP) + _raw_rows(
+        "(SELECT * FROM merged_full WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM pts) - INTERVAL 1 DAY)", False),
     "daily_histogram_percentiles": _with(EV, _histogram_series()) +
         "SELECT a.day, a.service_name, latency_p50, latency_p95 FROM latency_p50_t a JOIN latency_p95_t b ON a.day = b.day AND a.service_name = b.service_name",
     "daily_histogram_merged": _with(EV, HIST, _histogram("day, service_name, prefix", {"latency_p50": 0.5, "latency_p95": 0.95, "latency_p99": 0.99})) +

@@ -24,7 +24,8 @@ from svcvitals.session import configure, shared_dir
 from svcvitals.sources import adapters as A
 from svcvitals.sources.commits import DayCommits
 from svcvitals.sources.survey_sheet import read_survey, write_survey
-from svcvitals.sources.tables import read_deployment_events, read_envelopes, read_routed_logs
+from svcvitals.sources.tables import read_deployment_events, read_envelopes, read_raw_metrics, read_routed_logs
+from svcvitals.streaming import daily as _daily
 from svcvitals.streaming.ingest import (
     stream_deployment_events as _stream_deployment_events, stream_events as _stream_events,
     stream_route_logs as _stream_route_logs,
@@ -210,6 +211,23 @@ def q_stream_events_once(spark, sf):
     return out[0].unionByName(out[1])
 
 
+STREAM_DELAY = "1 day"
+
+
+def q_stream_raw_metrics(spark, sf):
+    """The daily job as a stream over all points, delivered in two halves by time and then
+    the first day once more, which is late: the days that are over."""
+    p, s = _pts(spark, sf)
+    landing, gate, sink, c1, c2 = (shared_dir(spark, f"daily-{x}") for x in ("landing", "gate", "sink", "gate-ckpt", "ckpt"))
+    middle = F.lit(A.METRICS_AS_OF - dt.timedelta(days=A.BACKFILL_END_DAYS_AGO // 2)).cast("timestamp")
+    first = A.METRICS_AS_OF - dt.timedelta(days=A.BACKFILL_END_DAYS_AGO)
+    for part in (p.filter(F.col("ts") < middle), p.filter(F.col("ts") >= middle), M.day_slice(p, first, first).select(p.columns)):
+        part.write.mode("append").parquet(landing)
+        _daily.stream_gate(spark, landing, gate, c1, STREAM_DELAY).awaitTermination()
+        _daily.stream_raw_metrics(spark, gate, sink, c2, s, STREAM_DELAY, A.INGESTED_AT).awaitTermination()
+    return read_raw_metrics(spark, sink)
+
+
 def q_stream_deployment_events(spark, sf):
     """Both envelope feeds streamed through E2-E5 into a table stored by publish day."""
     configure(spark)
@@ -475,6 +493,7 @@ QUERIES: dict[str, Query] = {
     "daily_counter_deltas": q_daily_counter_deltas,
     "stream_events": q_stream_events,
     "stream_events_once": q_stream_events_once,
+    "stream_raw_metrics": q_stream_raw_metrics,
     "stream_deployment_events": q_stream_deployment_events,
     "stream_route_logs": q_stream_route_logs,
     "build_events": q_build_events,
