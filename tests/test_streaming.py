@@ -129,3 +129,56 @@ def test_messages_delivered_again_are_left_out_when_asked(spark, tmp_dir):
     assert sorted(map(str, read_envelopes(spark, sink).collect())) == sorted(map(str, want.collect()))
     stream_events(spark, landing + "/*", plain, ckpt2).awaitTermination()
     assert spark.read.parquet(plain).count() == 300 + 50 + 20 + 40 + 10 + 20 + 3
+
+
+def _state_files(ckpt) -> set[str]:
+    return {name.rsplit(".", 1)[-1] for _, _, names in os.walk(os.path.join(ckpt, "state", "0", "0")) for name in names if not name.startswith((".", "_"))}
+
+
+def test_ids_are_kept_on_disk_and_checkpoints_begun_in_memory_go_on(spark, tmp_dir):
+    from svcvitals.streaming import ingest as I
+    builds = A.cloud_builds_raw(spark, SF_SMALL).limit(200).cache()
+    landing, sink, ckpt, old_sink, old_ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "sink", "ckpt", "old_sink", "old_ckpt"))
+    before = {k: spark.conf.get(k, None) for k in I._ON_DISK}
+    run = dict(fmt="parquet", redelivered_within="7 days")
+    builds.write.parquet(landing)
+    messages = I.first_deliveries(I.read_envelope_stream(spark, landing, "parquet"), "7 days")
+    I._sink(messages, old_sink, old_ckpt, True, None).awaitTermination()  # in memory, as before
+    stream_events(spark, landing, sink, ckpt, **run).awaitTermination()
+    assert "zip" in _state_files(ckpt) and "delta" not in _state_files(ckpt)
+    assert {k: spark.conf.get(k, None) for k in I._ON_DISK} == before
+    builds.write.mode("append").parquet(landing)
+    for s, c in ((sink, ckpt), (old_sink, old_ckpt)):
+        stream_events(spark, landing, s, c, **run).awaitTermination()
+        assert _rows(read_envelopes(spark, s)) == _rows(builds)
+    assert "delta" in _state_files(old_ckpt) and "zip" not in _state_files(old_ckpt)
+    own = "org.example.OwnProvider"
+    spark.conf.set(I._PROVIDER, own)  # a provider that the session names is left
+    try:
+        with I.state_on_disk(spark):
+            assert spark.conf.get(I._PROVIDER) == own
+    finally:
+        spark.conf.unset(I._PROVIDER)
+
+
+def test_deliveries_of_the_query_are_many_files_and_two_batches(spark, tmp_dir, monkeypatch):
+    from svcvitals.plans import queries as Q
+    t = "timestamp'2001-05-01 00:00:00'"
+    spark.range(400).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "'1-URGENT' AS o_orderpriority", f"{t} AS o_orderdate"
+                                ).repartition(4).write.parquet(os.path.join(tmp_dir, "orders.parquet"))
+    spark.range(600).selectExpr("id div 3 AS l_orderkey", "id % 5 AS l_suppkey", "cast(id % 3 AS int) AS l_linenumber", "'N' AS l_returnflag", "'O' AS l_linestatus",
+                                f"{t} AS l_shipdate").repartition(4).write.parquet(os.path.join(tmp_dir, "lineitem.parquet"))
+    started, start = [], Q._stream_events
+
+    def spy(s, landing, *args, **kw):
+        query = start(s, landing, *args, **kw)
+        started.append((landing, query))
+        return query
+
+    monkeypatch.setattr(Q, "_stream_events", spy)
+    got = Q.q_stream_events_once(spark, tmp_dir)
+    assert sorted(r.message_id for r in got.collect()) == sorted([f"b-{k}" for k in range(400)] + [f"d-{k // 3}-{k % 3}" for k in range(600)])
+    for (landing, query), n in zip(started, (400, 600), strict=True):
+        files = [f for f in os.listdir(landing.removeprefix("file:")) if f.endswith(".parquet")]
+        assert len(files) > 2  # more than one task writes a delivery
+        assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [n, n]
