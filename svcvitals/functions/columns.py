@@ -34,13 +34,17 @@ def json_scalar(c, doc=None, path: str | None = None) -> Column:
     ``from_json``, which return the raw text of nested objects/arrays. Text that starts
     with '{' or '[' may also be a string scalar: given the document and the value's path,
     its JSON type decides (parsed for such rows only); without them it counts as nested.
+
+    The type is asked for in a branch's value, not behind an AND: what several fields of one
+    document have in common in their conditions Spark takes out and computes for every row,
+    which would parse every document a second time.
     """
     c = _col(c)
-    nested = c.startswith("{") | c.startswith("[")
+    scalar = F.lit(None).cast("string")
     if doc is not None:
         value = F.try_variant_get(F.try_parse_json(_col(doc)), path, "variant")
-        nested = nested & ~F.coalesce(F.schema_of_variant(value) == F.lit("STRING"), F.lit(False))
-    return F.when(nested, F.lit(None).cast("string")).otherwise(c)
+        scalar = F.when(F.schema_of_variant(value) == F.lit("STRING"), c)
+    return F.when(c.startswith("{") | c.startswith("["), scalar).otherwise(c)
 
 
 def py_round(c, digits: int) -> Column:

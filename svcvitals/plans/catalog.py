@@ -56,9 +56,10 @@ def _num(x: float) -> str:
 
 def _scalar(value: str, document: str, path: str) -> str:
     """A JSON value as text where it is a scalar; text that starts like an object or array may
-    be a string, which its JSON type decides."""
+    be a string, which its JSON type decides: in a branch, so that no other row's document
+    is parsed again (see :func:`svcvitals.functions.columns.json_scalar`)."""
     kind = f"schema_of_variant(try_variant_get(try_parse_json({document}), {text(path)}, 'variant'))"
-    return (f"CASE WHEN (startswith({value}, '{{') OR startswith({value}, '[')) AND NOT coalesce({kind} = 'STRING', false) THEN NULL ELSE {value} END")
+    return f"CASE WHEN startswith({value}, '{{') OR startswith({value}, '[') THEN CASE WHEN {kind} = 'STRING' THEN {value} END ELSE {value} END"
 
 
 def _events(db: str) -> str:

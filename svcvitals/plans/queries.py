@@ -426,14 +426,20 @@ def _cell(c, kind: str):
     return c.cast("long") if kind == "boolean" else F.round(c * F.lit(1000)).cast("long")
 
 
+#: Columns that name one of a few things (services, statuses, subscriptions), however many rows there are.
+LABEL_COLUMNS = ("archetype", "environment", "event_category", "service_name", "status", "subscription_name")
+
+
 def view_checksum(df: DataFrame):
-    """Row count and checksum of a view: every cell's code times its column's place by name."""
+    """Row count and checksum of a view: every cell's code times its column's place by name.
+    Rows are counted by their labels first, so that a label is coded once, not for every row."""
     kinds = dict(df.dtypes)
-    cells = [F.coalesce(_cell(F.col(c), kinds[c]), F.lit(0)) * F.lit(k) for k, c in enumerate(sorted(kinds), start=1)]
-    row = cells[0]
-    for c in cells[1:]:
-        row = row + c
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(row), F.lit(0)).alias("checksum"))
+    cells = {c: F.coalesce(_cell(F.col(c), kinds[c]), F.lit(0)) * F.lit(k) for k, c in enumerate(sorted(kinds), start=1)}
+    labels = [c for c in LABEL_COLUMNS if kinds.get(c) == "string"]
+    added = lambda names: functools.reduce(lambda x, y: x + y, [cells[c] for c in names], F.lit(0).cast("long"))
+    counted = df.groupBy(*labels).agg(F.count(F.lit(1)).alias("_n"), F.sum(added(c for c in cells if c not in labels)).alias("_rest"))
+    return counted.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
+                       F.coalesce(F.sum(F.coalesce("_rest", F.lit(0)) + F.col("_n") * added(labels)), F.lit(0)).alias("checksum"))
 
 
 def q_registered_views(spark, sf):

@@ -86,3 +86,42 @@ def test_payloads_as_the_columns_read_them(spark):
     with pytest.raises(ValueError):
         CAT.append_rows(b.withColumn("more", F.lit(1)), db, "cloud_builds_raw")
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_documents_are_not_parsed_a_second_time_for_every_row(spark):
+    """No parse is among what the fields of a row have in common, which Spark computes always."""
+    from svcvitals.operators import events as E
+    db = "vitals_once"
+    CAT.create_tables(spark, db, shared_dir(spark, db))
+    CAT.create_views(spark, db)
+    b, d = spark.table(f"{db}.cloud_builds_raw"), spark.table(f"{db}.cloud_deploy_raw")
+    jvm = spark._jvm.org.apache.spark.sql.catalyst
+
+    def common(plan) -> str:
+        found = ""
+        if plan.getClass().getSimpleName() == "Project":
+            seen = jvm.expressions.EquivalentExpressions(False)
+            for k in range(plan.projectList().size()):
+                seen.addExprTree(plan.projectList().apply(k), getattr(seen, "addExprTree$default$2")())
+            found = seen.getCommonSubexpressions().toString()
+        return found + "".join(common(plan.children().apply(k)) for k in range(plan.children().size()))
+
+    for df in (spark.table(f"{db}.deployment_events_raw"), E.build_events(b), E.deploy_events(d)):
+        plan = df._jdf.queryExecution().optimizedPlan()
+        assert "parseJson" in plan.toString() and "parseJson" not in common(plan)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_checksum_codes_each_label_once(spark):
+    import hashlib
+    code = lambda x: 0 if x is None else int(hashlib.md5(x.encode()).hexdigest()[:7], 16)
+    data = [(s, v, m, t) for s in ("OK", "FAILED", None) for v in ("a", "b", None) for m in ("m1", None) for t in (1.5, None)] * 2
+    schema = "status string, service_name string, message string, x double"
+    df = spark.createDataFrame(data, schema)
+    want = sum(code(m) + 2 * code(v) + 3 * code(s) + 4 * (0 if t is None else 1500) for s, v, m, t in data)
+    assert [tuple(r) for r in Q.view_checksum(df).collect()] == [(len(data), want)]
+    assert [tuple(r) for r in Q.view_checksum(df.limit(0)).collect()] == [(0, 0)]
+    assert [tuple(r) for r in Q.view_checksum(df.select("message")).collect()] == [(len(data), sum(code(r[2]) for r in data))]
+    assert [tuple(r) for r in Q.view_checksum(df.select("message").limit(0)).collect()] == [(0, 0)]
+    over_rows = Q.view_checksum(spark.createDataFrame(data, schema))._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+    assert "md5(cast(message" in over_rows and "md5(cast(status" not in over_rows
